@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "quarry.plans.invoice_plans",
+    "quarry.plans.profile_plans",
 ]
 
 

@@ -78,3 +78,53 @@ def field_match(p: str, g: str, field: str) -> str:
      WHEN {field} = 'invoice_number'
        THEN regexp_replace({pn}, '^#+', '') = regexp_replace({gn}, '^#+', '')
      ELSE contains({pn}, {gn}) OR contains({gn}, {pn}) END"""
+
+
+_WORD = r"[\pL\pN_]"
+_NONWORD = r"[^\pL\pN_]"
+
+
+def re2_unicode(p: str) -> str:
+    """Rewrite a Python-style pattern for a *presence test* in RE2 with
+    Python's Unicode classes: \\d, \\w, \\s become Unicode classes and \\b
+    becomes an explicit word/non-word edge (it may consume one character,
+    which a boolean test does not see)."""
+    out, i, n = [], 0, len(p)
+    in_class = False
+    while i < n:
+        ch = p[i]
+        if ch == "\\" and i + 1 < n:
+            nxt = p[i + 1]
+            if nxt == "d":
+                out.append(r"\p{Nd}" if in_class else r"\p{Nd}")
+            elif nxt == "w":
+                out.append(r"\pL\pN_" if in_class else _WORD)
+            elif nxt == "s":
+                out.append(WS[1:-1] if in_class else WS)
+            elif nxt == "b" and not in_class:
+                prev = "".join(out)
+                start = (not prev) or prev.endswith("|") or prev.endswith("(") or prev.endswith("(?:")
+                cls = prev[prev.rfind("["):] if prev.endswith("]") else ""
+                nonword_cls = cls and not any(c.isalnum() or c == "_" for c in cls[1:-1].replace("\\", ""))
+                if start:
+                    out.append(f"(?:^|{_NONWORD})")
+                elif nonword_cls:
+                    out.append(_WORD)
+                else:
+                    out.append(f"(?:{_NONWORD}|$)")
+            else:
+                out.append(ch + nxt)
+            i += 2
+            continue
+        if ch == "[" and not in_class:
+            in_class = True
+        elif ch == "]" and in_class:
+            in_class = False
+        out.append(ch)
+        i += 1
+    return "".join(out)
+
+
+def q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
