@@ -38,19 +38,22 @@ def show_all_duplicates(df: DataFrame, text: str) -> DataFrame:
     return keyed.join(dups, "_k", "inner").drop("_k")
 
 
-def sequence_id(df: DataFrame, order: str, out: str = "seq") -> DataFrame:
+def sequence_id(df: DataFrame, order, out: str = "seq") -> DataFrame:
     """Dense 0-based ids in ``order`` without a single-partition window.
 
     Rows are range-partitioned and sorted per partition; the index inside a
-    partition comes from ``monotonically_increasing_id``; per-partition
-    offsets are a running sum over the (partition count sized) counts
-    table, broadcast back.
+    partition comes from ``monotonically_increasing_id``. The numbered rows
+    are checkpointed (to the shared checkpoint folder) so that the
+    per-partition counts and the rows they offset are the same data even if
+    the plan is re-optimised or a task is retried. Offsets are a running sum
+    over the partition-count sized table, broadcast back.
     """
+    order = [order] if isinstance(order, str) else list(order)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order).sortWithinPartitions(order)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     pid = F.spark_partition_id()
     numbered = ranged.withColumn("_pid", pid).withColumn(
-        "_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+        "_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).checkpoint(eager=True)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "quarry.plans.invoice_plans",
     "quarry.plans.profile_plans",
+    "quarry.plans.feature_plans",
 ]
 
 
