@@ -19,13 +19,21 @@ def pair_counts(preds: DataFrame, label: str = "label", pred: str = "prediction"
 
 
 def per_class(preds: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """class, support, tp, fp, fn, precision, recall, f1 (0 when undefined)."""
+    """class, support, tp, fp, fn, precision, recall, f1 (0 when undefined).
+
+    One pass: each (label, prediction, n) pair row contributes to its actual
+    class and its predicted class, then one small grouped sum."""
     pc = pair_counts(preds, label, pred)
-    actual = pc.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    predicted = pc.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("n_pred"))
-    tp = pc.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    j = (actual.join(predicted, "cls", "full").join(tp, "cls", "left")
-         .na.fill(0, ["support", "n_pred", "tp"]))
+    zero = F.lit(0).cast("long")
+    eq = F.col("label") == F.col("prediction")
+    parts = F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"),
+                 F.when(eq, F.col("n")).otherwise(zero).alias("tp"), zero.alias("n_pred")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("support"), zero.alias("tp"),
+                 F.col("n").alias("n_pred")),
+    )
+    j = pc.select(F.inline(parts)).groupBy("cls").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))

@@ -8,6 +8,7 @@ MODULES = [
     "quarry.plans.invoice_plans",
     "quarry.plans.profile_plans",
     "quarry.plans.feature_plans",
+    "quarry.plans.model_plans",
 ]
 
 
