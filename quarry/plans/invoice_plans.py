@@ -374,3 +374,149 @@ def q_invoice_signals(spark, sf_dir):
 SELECT doc_id, CAST(len(list_filter([{_SIG_SQL}], lambda x: x IS NOT NULL)) AS INTEGER) AS n_signals FROM inv""")
 def q_signal_count(spark, sf_dir):
     return _inv(spark, sf_dir).select("doc_id", tx.signal_count("text").alias("n_signals"))
+
+
+# -- layout path (word boxes of the rendered invoices) -----------------------------------
+
+from ..operators import extract_layout as el  # noqa: E402
+
+# What the layout rules return on the grid word boxes, derived by hand from
+# the rules: a 60-unit column keeps 3 words of the name under "Bill To:";
+# block labels take the whole next row (300 units wide); "PO Number:" makes
+# "Number" the first valid token right of the "po" label; the bare "to"
+# label fires inside sentences of layouts 3 and 4.
+LAYOUT_EXPECTED_CTE = """
+lexpected AS (
+  SELECT doc_id, layout,
+         CASE WHEN layout IN (0, 1) THEN t_invoice_number WHEN layout = 3 THEN 'Number' END AS invoice_number,
+         CASE WHEN layout = 4 THEN t_due_date ELSE t_invoice_date END AS invoice_date,
+         t_due_date AS due_date,
+         CASE layout WHEN 0 THEN t_issuer WHEN 1 THEN 'To: ' || t_recipient
+                     WHEN 2 THEN 'Billed to: ' || t_recipient WHEN 3 THEN 'Buyer: ' || t_recipient
+                     ELSE 'Dear ' || t_recipient END AS issuer,
+         CASE layout WHEN 0 THEN 'Blue Sky Retail' WHEN 3 THEN t_issuer || '.'
+                     WHEN 4 THEN t_issuer || ' at your earliest convenience.' ELSE t_recipient END AS recipient,
+         t_total AS total
+  FROM inv
+)"""
+WITH_LEXPECTED = WITH_INV + ",\n" + LAYOUT_EXPECTED_CTE.strip()
+WB_CTE = ", wb AS (" + word_boxes_sql("inv") + ")"
+
+
+def _pages(spark, sf_dir):
+    return el.pages(word_boxes(_inv(spark, sf_dir)))
+
+
+def _layout(spark, sf_dir):
+    return el.extract_from_words(word_boxes(_inv(spark, sf_dir)))
+
+
+@register("extract_from_words", WITH_LEXPECTED + """
+SELECT doc_id, invoice_number, invoice_date, due_date, issuer, recipient, total FROM lexpected""")
+def q_extract_from_words(spark, sf_dir):
+    return _layout(spark, sf_dir)
+
+
+for _f in fixed.FIELDS:
+    register(f"layout_{_f}", WITH_LEXPECTED + f" SELECT doc_id, {_f} FROM lexpected")(
+        (lambda f: lambda spark, sf_dir: _layout(spark, sf_dir).select("doc_id", f))(_f))
+
+
+@register("extract_invoice_fields", WITH_LEXPECTED + """
+SELECT doc_id, invoice_number, invoice_date, due_date, issuer, recipient, total FROM lexpected""")
+def q_extract_invoice_fields(spark, sf_dir):
+    inv = _inv(spark, sf_dir)
+    return el.merge_layout_text(et.extract_from_text(inv), el.extract_from_words(word_boxes(inv)))
+
+
+@register("merge_layout_text", WITH_EXPECTED + ",\n" + LAYOUT_EXPECTED_CTE.strip() + """
+SELECT t.doc_id, coalesce(l.invoice_number, t.invoice_number) AS invoice_number,
+       coalesce(l.invoice_date, t.invoice_date) AS invoice_date, coalesce(l.due_date, t.due_date) AS due_date,
+       coalesce(l.issuer, t.issuer) AS issuer, coalesce(l.recipient, t.recipient) AS recipient,
+       coalesce(l.total, t.total) AS total
+FROM expected t LEFT JOIN (SELECT * FROM lexpected WHERE layout <> 0) l ON t.doc_id = l.doc_id""")
+def q_merge_layout_text(spark, sf_dir):
+    """Layout result only for pages of layouts 1-4 (layout 0 keeps its text result)."""
+    inv = _inv(spark, sf_dir)
+    lay = el.extract_from_words(word_boxes(inv.where(F.col("layout") != 0)))
+    return el.merge_layout_text(et.extract_from_text(inv), lay)
+
+
+@register("first_nonnull_across_pages", WITH_LEXPECTED + """
+SELECT doc_id, invoice_number, invoice_date, due_date, issuer, recipient, total FROM lexpected""")
+def q_first_nonnull_across_pages(spark, sf_dir):
+    """Page 1 = the invoice, page 2 = a blank-labelled copy with no values:
+    the merge must keep page 1's values."""
+    inv = _inv(spark, sf_dir)
+    wb = word_boxes(inv)
+    noise = wb.where(F.col("idx") < 1000).withColumn("page", F.lit(2)).withColumn("text", F.lit("Notes"))
+    return el.first_across_pages(el.extract_from_pages(el.pages(wb.unionByName(noise))))
+
+
+@register("reading_order_text", WITH_LINES + """
+SELECT doc_id, 1 AS page, string_agg(lt, chr(10) ORDER BY line_no) AS text
+FROM (SELECT doc_id, line_no, array_to_string(list_filter(string_split(line, ' '), lambda w: w <> ''), ' ') AS lt
+      FROM inv_lines) WHERE lt <> '' GROUP BY doc_id""")
+def q_reading_order_text(spark, sf_dir):
+    return el.reading_order_text(word_boxes(_inv(spark, sf_dir)))
+
+
+@register("group_rows", WITH_LINES + """
+SELECT doc_id, 1 AS page, CAST(count(*) AS INTEGER) AS n_rows
+FROM (SELECT doc_id, line_no FROM inv_lines WHERE len(list_filter(string_split(line, ' '), lambda w: w <> '')) > 0)
+GROUP BY doc_id""")
+def q_group_rows(spark, sf_dir):
+    return el.rows_per_page(_pages(spark, sf_dir))
+
+
+@register("line_height", WITH_INV + WB_CTE + """
+SELECT doc_id, page, avg(bottom - top) AS line_height FROM wb GROUP BY doc_id, page""")
+def q_line_height(spark, sf_dir):
+    return _pages(spark, sf_dir).select("doc_id", "page", el.line_height(F.col("W")).alias("line_height"))
+
+
+@register("y_overlap", WITH_INV + WB_CTE + """
+, nx AS (SELECT doc_id, idx, top, bottom, lead(top) OVER (PARTITION BY doc_id, page ORDER BY idx) AS t2,
+                lead(bottom) OVER (PARTITION BY doc_id, page ORDER BY idx) AS b2 FROM wb)
+SELECT doc_id, idx,
+       CASE WHEN least(bottom, b2) > greatest(top, t2) AND least(bottom - top, b2 - t2) > 0
+            THEN (least(bottom, b2) - greatest(top, t2)) / least(bottom - top, b2 - t2) ELSE 0.0 END AS overlap
+FROM nx WHERE t2 IS NOT NULL""")
+def q_y_overlap(spark, sf_dir):
+    pg = _pages(spark, sf_dir)
+    pairs = F.transform(F.slice("W", 1, F.size("W") - 1),
+                        lambda w, i: F.struct(w["i"].alias("i"), el.y_overlap(w, F.element_at("W", i + 2)).alias("overlap")))
+    wb = word_boxes(_inv(spark, sf_dir)).select("doc_id", "idx", F.row_number().over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("doc_id").orderBy("idx")).alias("rn"))
+    ov = pg.select("doc_id", F.inline(pairs))
+    return ov.join(wb, (ov.doc_id == wb.doc_id) & (ov.i + 1 == wb.rn)).select(ov.doc_id, "idx", "overlap")
+
+
+@register("right_of_join", WITH_INV + WB_CTE + """
+SELECT l.doc_id, l.page, l.text AS label,
+       coalesce(string_agg(r.text, ' ' ORDER BY r.x0, r.top, r.idx) FILTER (WHERE r.idx IS NOT NULL), '') AS right_text,
+       l.idx AS label_idx
+FROM (SELECT * FROM wb WHERE text LIKE '%:') l
+LEFT JOIN wb r ON r.doc_id = l.doc_id AND r.page = l.page AND r.idx <> l.idx AND r.x0 >= l.x1 - 2
+     AND least(l.bottom, r.bottom) > greatest(l.top, r.top)
+     AND (least(l.bottom, r.bottom) - greatest(l.top, r.top)) / least(l.bottom - l.top, r.bottom - r.top) >= 0.5
+GROUP BY l.doc_id, l.page, l.text, l.idx""")
+def q_right_of_join(spark, sf_dir):
+    """Per page array form (no pair rows); the oracle states it as a join."""
+    pg = _pages(spark, sf_dir)
+    r = el.right_of_labels(pg)
+    wb = word_boxes(_inv(spark, sf_dir)).select("doc_id", "idx")
+    from pyspark.sql import Window
+    wb = wb.withColumn("word_idx", (F.row_number().over(Window.partitionBy("doc_id").orderBy("idx")) - 1).cast("int"))
+    return r.join(wb, ["doc_id", "word_idx"]).select("doc_id", "page", "label", "right_text",
+                                                     F.col("idx").alias("label_idx"))
+
+
+@register("word_box_source", WITH_INV + WB_CTE + """
+SELECT doc_id, idx, text FROM wb
+WHERE trim(text) <> '' AND NOT ((length(text) * 13) % 100 - 1 >= 0 AND (length(text) * 13) % 100 - 1 < 30)""")
+def q_word_box_source(spark, sf_dir):
+    """OCR-style confidence derived from the word (length * 13 mod 100 - 1)."""
+    wb = word_boxes(_inv(spark, sf_dir)).withColumn(
+        "conf", ((F.length("text") * 13) % 100 - 1).cast("string"))
+    return el.word_box_filter(wb).select("doc_id", "idx", "text")
