@@ -9,6 +9,7 @@ MODULES = [
     "quarry.plans.profile_plans",
     "quarry.plans.feature_plans",
     "quarry.plans.model_plans",
+    "quarry.plans.io_plans",
 ]
 
 
