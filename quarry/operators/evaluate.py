@@ -76,10 +76,16 @@ def norm_for_field(c: Column, field: Column) -> Column:
 
 # -- shapes -------------------------------------------------------------------
 
-def long_form(pred: DataFrame, gold: DataFrame, gold_prefix: str = "") -> DataFrame:
-    """(doc_id, field, pred, gold) for docs in both tables."""
-    g = gold.select("doc_id", *[F.col(gold_prefix + f).alias("g_" + f) for f in fixed.FIELDS])
-    j = pred.select("doc_id", *fixed.FIELDS).join(g, "doc_id", "inner")
+def long_form(pred: DataFrame, gold: DataFrame | None = None, gold_prefix: str = "t_") -> DataFrame:
+    """(doc_id, field, pred, gold) for docs in both tables. With ``gold``
+    None, the gold values are columns ``<gold_prefix><field>`` of ``pred``
+    itself (same row, no join)."""
+    if gold is None:
+        j = pred.select("doc_id", *fixed.FIELDS,
+                        *[F.col(gold_prefix + f).alias("g_" + f) for f in fixed.FIELDS])
+    else:
+        g = gold.select("doc_id", *[F.col(f).alias("g_" + f) for f in fixed.FIELDS])
+        j = pred.select("doc_id", *fixed.FIELDS).join(g, "doc_id", "inner")
     pairs = F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).alias("pred"), F.col("g_" + f).alias("gold"))
         for f in fixed.FIELDS
@@ -92,7 +98,7 @@ def _field_order() -> Column:
     return m[F.col("field")]
 
 
-def field_recall(pred: DataFrame, gold: DataFrame) -> DataFrame:
+def field_recall(pred: DataFrame, gold: DataFrame | None = None) -> DataFrame:
     """Per field: rows with gold, hits, recall (4 decimals, null = n/a)."""
     lf = long_form(pred, gold)
     has_gold = F.coalesce(F.col("gold"), F.lit("")) != ""
@@ -107,7 +113,7 @@ def field_recall(pred: DataFrame, gold: DataFrame) -> DataFrame:
     )
 
 
-def field_match_rates(pred: DataFrame, gold: DataFrame) -> DataFrame:
+def field_match_rates(pred: DataFrame, gold: DataFrame | None = None) -> DataFrame:
     """Per field: rows with gold, exact and relaxed (substring) match rate."""
     lf = long_form(pred, gold)
     f = F.col("field")
@@ -140,7 +146,7 @@ def field_fill_rate(pred: DataFrame) -> DataFrame:
     )
 
 
-def mistakes_per_field(pred: DataFrame, gold: DataFrame, n: int = 5) -> DataFrame:
+def mistakes_per_field(pred: DataFrame, gold: DataFrame | None = None, n: int = 5) -> DataFrame:
     """First n mismatches per field, in doc_id order."""
     lf = long_form(pred, gold)
     f = F.col("field")

@@ -27,6 +27,9 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+TRUTH_COLS = ("doc_id",) + tuple("t_" + f for f in fixed.FIELDS)
+
+
 def _inv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoices(spark, sf_dir)
 
@@ -248,7 +251,7 @@ SELECT field, count_if(coalesce(gold, '') <> '') AS gt_present,
 FROM lf GROUP BY field""")
 def q_field_recall(spark, sf_dir):
     inv = _inv(spark, sf_dir)
-    return ev.field_recall(et.extract_from_text(inv), truth(inv))
+    return ev.field_recall(et.extract_from_text(inv, keep=TRUTH_COLS))
 
 
 def _norm_sql(x: str, field: str = "field") -> str:
@@ -267,7 +270,7 @@ SELECT field, count_if(g <> '') AS n_with_gt,
 FROM n GROUP BY field""")
 def q_field_match_rates(spark, sf_dir):
     inv = _inv(spark, sf_dir)
-    return ev.field_match_rates(et.extract_from_text(inv), truth(inv))
+    return ev.field_match_rates(et.extract_from_text(inv, keep=TRUTH_COLS))
 
 
 @register("mistakes_per_field", WITH_EXPECTED + LONG_SQL + f"""
@@ -277,7 +280,7 @@ def q_field_match_rates(spark, sf_dir):
 SELECT field, doc_id, pred, gold, CAST(rn AS INTEGER) AS rn FROM m WHERE rn <= 5""")
 def q_mistakes_per_field(spark, sf_dir):
     inv = _inv(spark, sf_dir)
-    return ev.mistakes_per_field(et.extract_from_text(inv), truth(inv), n=5)
+    return ev.mistakes_per_field(et.extract_from_text(inv, keep=TRUTH_COLS), n=5)
 
 
 _FILL = " UNION ALL ".join(
