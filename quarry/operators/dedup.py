@@ -48,6 +48,8 @@ def sequence_id(df: DataFrame, order, out: str = "seq") -> DataFrame:
     the plan is re-optimised or a task is retried. Offsets are a running sum
     over the partition-count sized table, broadcast back.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder; own one only when unset
     order = [order] if isinstance(order, str) else list(order)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)

@@ -438,3 +438,38 @@ def right_of_labels(pg: DataFrame) -> DataFrame:
 def rows_per_page(pg: DataFrame) -> DataFrame:
     lh = line_height(F.col("W"))
     return pg.select("doc_id", "page", F.size(group_rows(F.col("W"), lh * fixed.ROW_TOL_FACTOR)).alias("n_rows"))
+
+
+def pick_inline(W: Column, SP: Column) -> Column:
+    """Same-row text right of the first label (pattern order) that has any,
+    up to the next '...:' word (no validation)."""
+    def per_span(sp):
+        sw = _span_words(W, sp)
+        ref = F.element_at(W, sp["start"] + 1)
+        x_end = F.array_max(F.transform(sw, lambda w: w["x1"]))
+        right = _until_next_label(right_of(W, sp, ref, x_end))
+        return F.when(sp.isNotNull(), let(right, lambda r: F.when(F.size(r) > 0, py_strip(join_text(r)))))
+    return _first(F.transform(SP, per_span))
+
+
+def first_row_below(pg: DataFrame) -> DataFrame:
+    """For each word ending with ':' the text of the first visual row below it
+    (band join inside the page)."""
+    lh = line_height(F.col("W"))
+
+    def per_word(w):
+        sp = F.struct(w["i"].alias("start"), (w["i"] + 1).alias("end"))
+        rows = rows_below(F.col("W"), sp, w, 1, lh)
+        return F.struct(w["i"].alias("word_idx"), w["text"].alias("label"),
+                        F.when(F.size(rows) > 0, join_text(F.element_at(rows, 1))).alias("below_text"))
+    labels = F.filter(F.col("W"), lambda w: w["text"].endswith(":"))
+    return pg.select("doc_id", "page", F.inline(F.transform(labels, per_word)))
+
+
+def page_spans(pg: DataFrame, patterns: list[str]) -> DataFrame:
+    """(doc_id, page, pattern_rank, start, end) of the best span per pattern."""
+    s1 = pg.select("doc_id", "page", "W", span_candidates(F.col("W")).alias("C"))
+    sp = spans(F.col("W"), F.col("C"), patterns)
+    ranked = F.transform(sp, lambda x, k: F.struct(k.alias("pattern_rank"), x["start"].alias("start"),
+                                                   x["end"].alias("end")))
+    return s1.select("doc_id", "page", F.inline(ranked)).where(F.col("start").isNotNull())

@@ -523,3 +523,140 @@ def q_word_box_source(spark, sf_dir):
     wb = word_boxes(_inv(spark, sf_dir)).withColumn(
         "conf", ((F.length("text") * 13) % 100 - 1).cast("string"))
     return el.word_box_filter(wb).select("doc_id", "idx", "text")
+
+
+# -- remaining rule-level queries --------------------------------------------------------------
+
+from ..operators import train as _tr  # noqa: E402
+from .feature_plans import rule_predictions as _rule_predictions  # noqa: E402,F401
+
+
+def _stage2(spark, sf_dir):
+    pg = _pages(spark, sf_dir)
+    s1 = pg.select("doc_id", "page", "W", el.line_height(F.col("W")).alias("lh"),
+                   el.span_candidates(F.col("W")).alias("C"))
+    return s1
+
+
+@register("pick_value", WITH_LEXPECTED + " SELECT doc_id, due_date AS value FROM lexpected")
+def q_pick_value(spark, sf_dir):
+    s1 = _stage2(spark, sf_dir)
+    W, C, lh = F.col("W"), F.col("C"), F.col("lh")
+    s2 = s1.select("doc_id", "W", "lh", el.spans(W, C, fixed.DUE_DATE_LABELS).alias("SP"))
+    return s2.select("doc_id", el.pick_value(F.col("W"), F.col("SP"), F.col("lh"), inv_fn.find_date).alias("value"))
+
+
+@register("pick_inline", WITH_INV + """
+SELECT doc_id, CASE WHEN layout IN (0, 1) THEN t_invoice_number
+                    WHEN layout = 3 THEN 'Number: PO-' || CAST(CAST(regexp_extract(t_recipient, '([0-9]+)', 1) AS BIGINT) + 10000 AS VARCHAR)
+               END AS value FROM inv""")
+def q_pick_inline(spark, sf_dir):
+    s1 = _stage2(spark, sf_dir)
+    s2 = s1.select("doc_id", "W", el.spans(F.col("W"), F.col("C"), fixed.NUMBER_LABELS).alias("SP"))
+    return s2.select("doc_id", el.pick_inline(F.col("W"), F.col("SP")).alias("value"))
+
+
+@register("pick_block_below", WITH_INV + """
+SELECT doc_id, CASE layout WHEN 1 THEN 'To: ' || t_recipient WHEN 2 THEN 'Billed to: ' || t_recipient
+                           WHEN 3 THEN 'Buyer: ' || t_recipient END AS value FROM inv""")
+def q_pick_block_below(spark, sf_dir):
+    s1 = _stage2(spark, sf_dir)
+    s2 = s1.select("doc_id", "W", "lh", el.spans(F.col("W"), F.col("C"), fixed.ISSUER_LABELS).alias("SP"))
+    return s2.select("doc_id", el.pick_block_below(F.col("W"), F.col("SP"), F.col("lh")).alias("value"))
+
+
+@register("header_company_guess")
+def q_header_company_guess(spark, sf_dir):
+    pg = _pages(spark, sf_dir)
+    return pg.select("doc_id", el.header_company_guess(F.col("W"), el.line_height(F.col("W"))).alias("value"))
+
+
+@register("label_positions")
+def q_label_positions(spark, sf_dir):
+    return el.page_spans(_pages(spark, sf_dir), fixed.NUMBER_LABELS)
+
+
+@register("best_label_span")
+def q_best_label_span(spark, sf_dir):
+    return el.page_spans(_pages(spark, sf_dir), fixed.INVOICE_DATE_LABELS).where(F.col("pattern_rank") >= 0)
+
+
+@register("label_spans")
+def q_label_spans(spark, sf_dir):
+    s1 = _stage2(spark, sf_dir)
+    return s1.select("doc_id", "page", F.inline(el.total_hits(F.col("W"), F.col("C"))))
+
+
+@register("below_join")
+def q_below_join(spark, sf_dir):
+    return el.first_row_below(_pages(spark, sf_dir))
+
+
+@register("label_value_lookup", WITH_INV + """
+SELECT doc_id, CASE WHEN layout = 3
+       THEN 'PO-' || CAST(CAST(regexp_extract(t_recipient, '([0-9]+)', 1) AS BIGINT) + 10000 AS VARCHAR) END AS value
+FROM inv""")
+def q_label_value_lookup(spark, sf_dir):
+    """Generic label -> value lookup over lines: a 'PO Number' label with the
+    invoice-number validator."""
+    ls = tx.lines("text")
+    v = et.label_value_lookup(ls, r"po\s*number\s*:?", inv_fn.valid_invoice_number)
+    return _inv(spark, sf_dir).select("doc_id", v.alias("value"))
+
+
+@register("error_to_null_row", WITH_EXPECTED + """
+SELECT doc_id, """ + ", ".join(f"CASE WHEN doc_id % 97 <> 0 THEN {f} END AS {f}" for f in fixed.FIELDS) + """
+FROM expected""")
+def q_error_to_null_row(spark, sf_dir):
+    """Unreadable documents (every 97th has no text) keep their row with six nulls."""
+    inv = _inv(spark, sf_dir).withColumn("text", F.when(F.col("doc_id") % 97 != 0, F.col("text")))
+    return et.extract_from_text(inv)
+
+
+@register("normalise_for_match", WITH_INV + """
+SELECT doc_id,
+       regexp_replace(regexp_replace(lower(t_total), '[\\s,$€£#]', '', 'g'), '\\.+$', '') AS total_norm,
+       regexp_replace(lower(t_invoice_date), '[\\s,.\\-/]', '', 'g') AS date_norm,
+       regexp_replace(lower(t_issuer), '[^a-z0-9]', '', 'g') AS issuer_norm
+FROM inv""")
+def q_normalise_for_match(spark, sf_dir):
+    inv = _inv(spark, sf_dir)
+    return inv.select("doc_id", ev.norm_value(F.col("t_total")).alias("total_norm"),
+                      ev.norm_date(F.col("t_invoice_date")).alias("date_norm"),
+                      ev.norm_text(F.col("t_issuer")).alias("issuer_norm"))
+
+
+@register("normalise_labeled", WITH_INV + f"""
+SELECT doc_id, regexp_replace(t_invoice_date, '[^0-9]', '', 'g') AS date_norm,
+       {S.norm_amount('t_total')} AS total_norm, {S.norm_str('t_issuer')} AS issuer_norm
+FROM inv""")
+def q_normalise_labeled(spark, sf_dir):
+    inv = _inv(spark, sf_dir)
+    return inv.select("doc_id", ev.norm_digits(F.col("t_invoice_date")).alias("date_norm"),
+                      ev.norm_amount(F.col("t_total")).alias("total_norm"),
+                      ev.norm_str(F.col("t_issuer")).alias("issuer_norm"))
+
+
+@register("field_match", WITH_EXPECTED + LONG_SQL + f"""
+SELECT doc_id, field, {S.field_match('pred', 'gold', 'field')} AS is_match FROM lf""")
+def q_field_match(spark, sf_dir):
+    inv = _inv(spark, sf_dir)
+    lf = ev.long_form(et.extract_from_text(inv, keep=TRUTH_COLS))
+    return lf.select("doc_id", "field", ev.field_match(F.col("pred"), F.col("gold"), F.col("field")).alias("is_match"))
+
+
+@register("invoice_override", WITH_INV + f"""
+, s AS (SELECT doc_id, CAST(len(list_filter([{_SIG_SQL}], lambda x: x IS NOT NULL)) AS INTEGER) AS n_signals,
+               CASE WHEN regexp_matches(text, '[éèêç]') THEN 'fr' WHEN regexp_matches(text, '[üßäö]') THEN 'de'
+                    WHEN regexp_matches(text, '[ñáíó]') THEN 'es' ELSE 'en' END AS pred FROM inv)
+SELECT doc_id, CASE WHEN n_signals >= 4 THEN 'invoice' ELSE pred END AS label,
+       CASE WHEN n_signals >= 4 THEN 0.0 ELSE 1.0 END AS confidence, n_signals >= 4 AS overridden FROM s""")
+def q_invoice_override(spark, sf_dir):
+    """Signal override on a fixed rule predictor (class map = its guess)."""
+    t = F.col("text")
+    pred = (F.when(t.rlike("[éèêç]"), "fr").when(t.rlike("[üßäö]"), "de")
+            .when(t.rlike("[ñáíó]"), "es").otherwise("en"))
+    scored = _inv(spark, sf_dir).select(
+        "doc_id", pred.alias("label"), F.lit(1.0).alias("confidence"),
+        F.create_map(pred, F.lit(1.0)).alias("proba"), tx.signal_count("text").alias("n_signals"))
+    return _tr.invoice_override(scored).select("doc_id", "label", "confidence", "overridden")
