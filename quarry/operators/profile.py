@@ -165,8 +165,11 @@ def length_histogram(df: DataFrame, c: str, bins: int, group: str | None = None)
 
 
 def noise_profile(df: DataFrame, text: str) -> DataFrame:
+    """describe of the four ratios. Ratios are rounded to 1e-6 first, which
+    caps the exact-quartile state at 10^6 distinct values whatever the
+    corpus size (lengths are integers and bounded already)."""
     ratios = noise_ratios(text)
-    d = df.select(*[v.alias(k) for k, v in ratios.items()])
+    d = df.select(*[F.round(v, 6).alias(k) for k, v in ratios.items()])
     return describe(d, list(ratios))
 
 

@@ -174,7 +174,7 @@ RATIOS_SQL = {
 
 
 @register("noise_profile", " UNION ALL ".join(
-    _describe_sql(v, k, "documents") for k, v in RATIOS_SQL.items()))
+    _describe_sql(f"round({v}, 6)", k, "documents") for k, v in RATIOS_SQL.items()))
 def q_noise_profile(spark, sf_dir):
     return pf.noise_profile(docs(spark, sf_dir), "text")
 
