@@ -122,7 +122,10 @@ def text_total(ls: Column) -> Column:
 
 def extract_fields(text: Column) -> Column:
     """All six fields as one struct; null or empty text gives six nulls."""
-    ls = split_lines(text)
+    return fields_from_lines(text, split_lines(text))
+
+
+def fields_from_lines(text: Column, ls: Column) -> Column:
     return F.struct(
         text_invoice_number(text, ls).alias("invoice_number"),
         text_invoice_date(ls).alias("invoice_date"),
@@ -134,8 +137,11 @@ def extract_fields(text: Column) -> Column:
 
 
 def extract_from_text(df: DataFrame, text_col: str = "text", keep=("doc_id",)) -> DataFrame:
-    """(keep..., six fields) for each row of ``df``."""
-    return df.select(*keep, extract_fields(F.col(text_col)).alias("f")).select(*keep, "f.*")
+    """(keep..., six fields) for each row of ``df``. The lines are split once
+    into their own column (a projection Catalyst keeps, since the split is
+    used by every rule) and all six rules read it."""
+    staged = df.select(*keep, F.col(text_col).alias("_text"), split_lines(F.col(text_col)).alias("_ls"))
+    return staged.select(*keep, fields_from_lines(F.col("_text"), F.col("_ls")).alias("f")).select(*keep, "f.*")
 
 
 def non_null_count(df: DataFrame) -> Column:

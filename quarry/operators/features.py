@@ -35,10 +35,12 @@ def tokens_ngrams(text, ngram_max: int = 2) -> Column:
     return F.concat(u, bi)
 
 
-def term_counts(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2) -> DataFrame:
-    """(doc_id, term, tf)."""
-    t = df.select(key, F.explode(tokens_ngrams(F.col(text), ngram_max)).alias("term"))
-    return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2,
+                carry=()) -> DataFrame:
+    """(doc_id, carry..., term, tf); ``carry`` columns are per-document
+    attributes (e.g. the split) kept alongside the counts."""
+    t = df.select(key, *carry, F.explode(tokens_ngrams(F.col(text), ngram_max)).alias("term"))
+    return t.groupBy(key, *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(tc: DataFrame, min_df: int = fixed.MIN_DF, max_features: int = fixed.MAX_FEATURES,

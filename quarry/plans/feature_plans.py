@@ -89,17 +89,19 @@ def q_stratified_folds(spark, sf_dir):
 
 
 def _train_tc(spark, sf_dir):
+    """Term counts with the split carried along: the train subset is a
+    filter on the same counts, not a second pass over the documents."""
     sp = split_docs(spark, sf_dir)
-    tc = fe.term_counts(sp, "text")
+    tc_all = fe.term_counts(sp, "text", carry=("split",))
     train = sp.where(F.col("split") == "train").select("doc_id")
-    return sp, tc, train
+    return sp, tc_all, train
 
 
 @register("vocabulary", f"WITH {RANKED_SQL}, {TERMS_SQL}, {VOCAB_SQL} "
           "SELECT term, df, cf, CAST(\"index\" AS BIGINT) AS \"index\" FROM vocab")
 def q_vocabulary(spark, sf_dir):
     sp, tc, train = _train_tc(spark, sf_dir)
-    return fe.vocabulary(tc.join(train, "doc_id", "left_semi"))
+    return fe.vocabulary(tc.where(F.col("split") == "train"))
 
 
 @register("tfidf", f"""WITH {RANKED_SQL}, {TERMS_SQL}, {VOCAB_SQL},
@@ -107,9 +109,9 @@ w AS (SELECT doc_id, term, tf * idf AS w FROM tc JOIN idf USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf(spark, sf_dir):
     sp, tc, train = _train_tc(spark, sf_dir)
-    vocab = fe.vocabulary(tc.join(train, "doc_id", "left_semi"))
+    vocab = fe.vocabulary(tc.where(F.col("split") == "train"))
     idf = fe.idf_table(vocab, train)
-    return fe.tfidf(tc, idf).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    return fe.tfidf(tc.drop("split"), idf).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @register("append_synthetic_train", f"""WITH {RANKED_SQL}, {invoices_sql_cte('inv')}
