@@ -90,9 +90,24 @@ def group_rows(ws: Column, tol: Column) -> Column:
 
 # -- label spans -----------------------------------------------------------------------
 
+LABEL_SETS = {
+    "number": fixed.NUMBER_LABELS, "issue": fixed.INVOICE_DATE_LABELS, "due": fixed.DUE_DATE_LABELS,
+    "issuer": fixed.ISSUER_LABELS, "recipient": fixed.RECIPIENT_LABELS, "total": fixed.TOTAL_LABELS,
+}
+
+
+def _gate_rx(patterns: list[str]) -> str:
+    return UI + "^(?:" + "|".join("(?:" + p + ")" for p in patterns) + ")$"
+
+
 def span_candidates(W: Column, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS) -> Column:
     """Per start word: the joined text of 1..max_extra+1 words (null once a
-    word leaves the start word's line), lower-cased without trailing ':'."""
+    word leaves the start word's line), lower-cased without trailing ':'.
+
+    Each candidate also carries one gate flag per label set: the full match
+    of the set's patterns combined into one alternation. A single pattern's
+    regex is only tried where its set's gate matched, so most candidates
+    cost one regex test per set instead of one per pattern."""
     n = F.size(W)
 
     def per_start(w, i):
@@ -108,7 +123,10 @@ def span_candidates(W: Column, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS) -> C
             joined = py_strip(F.regexp_replace(F.lower(raw), ":+$", ""))
             fields.append(F.when(ok, joined).alias(f"s{d}"))
             fields.append(F.when(ok, raw.endswith(":")).alias(f"c{d}"))
-        return F.struct(*fields)
+        return let(F.struct(*fields), lambda c: F.struct(
+            *[c[f] for f in [x for d in range(max_extra + 1) for x in ("s%d" % d, "c%d" % d)]], c["i"],
+            *[F.coalesce(c[f"s{d}"].rlike(_gate_rx(pats)), F.lit(False)).alias(f"g_{name}{d}")
+              for name, pats in LABEL_SETS.items() for d in range(max_extra + 1)]))
 
     return F.transform(W, per_start)
 
@@ -124,7 +142,8 @@ def let(expr: Column, fn) -> Column:
     return F.get(F.transform(F.array(expr), fn), 0)
 
 
-def best_span(W: Column, C: Column, pattern: str, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS) -> Column:
+def best_span(W: Column, C: Column, pattern: str, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS,
+              gate: str | None = None) -> Column:
     """struct(start, end) of the best span matching ``pattern`` in full, or null."""
     rx = UI + "^(?:" + pattern + ")$"
 
@@ -132,7 +151,8 @@ def best_span(W: Column, C: Column, pattern: str, max_extra: int = fixed.SPAN_MA
         end = F.lit(None).cast("int")
         colon = F.lit(None).cast("boolean")
         for d in reversed(range(max_extra + 1)):
-            hit = c[f"s{d}"].isNotNull() & c[f"s{d}"].rlike(rx)
+            g = c[f"g_{gate}{d}"] if gate else c[f"s{d}"].isNotNull()
+            hit = g & c[f"s{d}"].rlike(rx)
             end = F.when(hit, c["i"] + d + 1).otherwise(end)
             colon = F.when(hit, c[f"c{d}"]).otherwise(colon)
 
@@ -151,7 +171,8 @@ def best_span(W: Column, C: Column, pattern: str, max_extra: int = fixed.SPAN_MA
 
 def spans(W: Column, C: Column, patterns: list[str]) -> Column:
     """Best span of each pattern, in pattern order (nulls kept)."""
-    return F.array(*[best_span(W, C, p) for p in patterns])
+    gate = next((k for k, v in LABEL_SETS.items() if v == patterns), None)
+    return F.array(*[best_span(W, C, p, gate=gate) for p in patterns])
 
 
 def _span_words(W: Column, sp: Column) -> Column:
@@ -187,6 +208,12 @@ def _first(arr: Column) -> Column:
     return F.get(F.filter(arr, lambda x: x.isNotNull()), 0)
 
 
+def _first_of(arr: Column, fn) -> Column:
+    """fn(x) of the first x (in order) where it is not null. A fold with
+    coalesce: fn is not evaluated once a value was found."""
+    return F.aggregate(arr, F.lit(None).cast("string"), lambda acc, x: F.coalesce(acc, fn(x)))
+
+
 # -- pickers ----------------------------------------------------------------------------
 
 def _text_of(ws: Column, validate) -> Column:
@@ -211,12 +238,12 @@ def pick_value(W: Column, SP: Column, lh: Column, validate, col_tol: Column | No
                 in_col = F.filter(r, lambda w: F.abs(w["x0"] - xa) <= col_tol)
                 aligned = let(in_col, lambda a: F.when(F.size(a) > 0, _text_of(sort_by_x(a), validate)))
                 return F.coalesce(aligned, _text_of(r, validate))
-            return _first(F.transform(rows_below(W, sp, ref, fixed.VALUE_ROWS_BELOW, lh), per_row))
+            return _first_of(rows_below(W, sp, ref, fixed.VALUE_ROWS_BELOW, lh), per_row)
 
         x_anchor = F.array_min(F.transform(sw, lambda w: w["x0"]))
         return F.when(sp.isNotNull(), F.coalesce(right, let(x_anchor, below)))
 
-    return _first(F.transform(SP, per_span))
+    return _first_of(SP, per_span)
 
 
 def pick_block_below(W: Column, SP: Column, lh: Column, col_tol: Column | None = None,
@@ -244,13 +271,13 @@ def pick_block_below(W: Column, SP: Column, lh: Column, col_tol: Column | None =
                 stops = F.transform(texts, lambda t: F.coalesce(is_stop_row(t), F.lit(False)))
                 first_stop = F.array_position(stops, True)
                 kept = F.when(first_stop > 0, F.slice(texts, 1, (first_stop - 1).cast("int"))).otherwise(texts)
-                return _first(F.transform(kept, lambda t: let(t, clean_party)))
+                return _first_of(kept, lambda t: let(t, clean_party))
 
             return let(F.transform(rows, row_text), usable)
 
         return F.when(sp.isNotNull(), let(F.array_min(F.transform(sw, lambda w: w["x0"])), with_anchor))
 
-    return _first(F.transform(SP, per_span))
+    return _first_of(SP, per_span)
 
 
 def header_company_guess(W: Column, lh: Column) -> Column:
@@ -266,7 +293,7 @@ def header_company_guess(W: Column, lh: Column) -> Column:
                | t.rlike(U + fixed.HEADER_MONEY) | (F.regexp_count(t, F.lit(r"\p{L}")) < 3))
         return F.when(~bad, t)
 
-    return _first(F.transform(rows, cand))
+    return _first_of(rows, cand)
 
 
 def layout_invoice_number(W, SP, lh) -> Column:
@@ -288,8 +315,8 @@ def layout_invoice_date(W, SP, SP_due, lh) -> Column:
     due_tops = F.transform(F.filter(SP_due, lambda sp: sp.isNotNull()),
                            lambda sp: F.bround(F.element_at(W, sp["start"] + 1)["top"], 0))
     rows = group_rows(W, lh * fixed.ROW_TOL_FACTOR)
-    fb = _first(F.transform(rows, lambda r: F.when(
-        ~F.array_contains(due_tops, F.bround(F.element_at(r, 1)["top"], 0)), let(join_text(r), find_date))))
+    fb = _first_of(rows, lambda r: F.when(
+        ~F.array_contains(due_tops, F.bround(F.element_at(r, 1)["top"], 0)), let(join_text(r), find_date)))
     return F.coalesce(v, fb)
 
 
@@ -313,7 +340,7 @@ def total_hits(W: Column, C: Column) -> Column:
             is_sub = F.lit(False)
             for d in reversed(range(fixed.TOTAL_SPAN_MAX_EXTRA_WORDS + 1)):
                 s_ = c[f"s{d}"]
-                hit = s_.isNotNull() & s_.rlike(rx)
+                hit = c[f"g_total{d}"] & s_.rlike(rx)
                 end = F.when(hit, c["i"] + d + 1).otherwise(end)
                 is_sub = F.when(hit, s_.rlike(sub)).otherwise(is_sub)
             top = F.element_at(W, c["i"] + 1)["top"]
@@ -336,10 +363,10 @@ def layout_total(W, HITS, lh) -> Column:
                                   & (w["x0"] >= ref["x1"] - fixed.RIGHT_SLACK)))
         amt = let(join_text(same), largest_monetary)
         below = rows_below(W, h, ref, fixed.TOTAL_ROWS_BELOW, lh)
-        amt_b = _first(F.transform(below, lambda r: let(join_text(r), largest_monetary)))
+        amt_b = _first_of(below, lambda r: let(join_text(r), largest_monetary))
         return let(F.coalesce(amt, amt_b), strip_currency)
 
-    return _first(F.transform(HITS, value))
+    return _first_of(HITS, value)
 
 
 # -- page and document -------------------------------------------------------------------
@@ -449,7 +476,7 @@ def pick_inline(W: Column, SP: Column) -> Column:
         x_end = F.array_max(F.transform(sw, lambda w: w["x1"]))
         right = _until_next_label(right_of(W, sp, ref, x_end))
         return F.when(sp.isNotNull(), let(right, lambda r: F.when(F.size(r) > 0, py_strip(join_text(r)))))
-    return _first(F.transform(SP, per_span))
+    return _first_of(SP, per_span)
 
 
 def first_row_below(pg: DataFrame) -> DataFrame:
