@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from .profile import text_key
 
 
-def dedup_keep_first(df: DataFrame, text: str, order: str) -> DataFrame:
+def dedup_keep_first(df: DataFrame, text: str, order: str, keep=None) -> DataFrame:
     """Keep the first row (lowest ``order``) of each distinct text; adds
-    ``n_copies``."""
-    cols = df.columns
+    ``n_copies``. ``keep`` limits the carried columns (default: all), so a
+    caller that only needs ids does not shuffle the texts."""
+    cols = list(keep) if keep else df.columns
     g = df.groupBy(text_key(text).alias("_k")).agg(
         F.min_by(F.struct(*cols), F.col(order)).alias("_r"),
         F.count(F.lit(1)).alias("n_copies"),

@@ -55,11 +55,10 @@ def vocabulary(tc: DataFrame, min_df: int = fixed.MIN_DF, max_features: int = fi
 
 
 def idf_table(vocab: DataFrame, docs: DataFrame) -> DataFrame:
-    """term -> smooth idf ln((1+n)/(1+df)) + 1, n = number of fit documents.
-    n is a one-row aggregate attached by a broadcast constant-key join."""
-    n = docs.agg(F.count(F.lit(1)).alias("_n")).withColumn("_j", F.lit(1))
-    v = vocab.withColumn("_j", F.lit(1)).join(F.broadcast(n), "_j")
-    return v.select("term", "index", "df", (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    """term -> smooth idf ln((1+n)/(1+df)) + 1, n = number of fit documents
+    (a scalar subquery)."""
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    return vocab.select("term", "index", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf(tc: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -117,9 +116,8 @@ def fold_ids(df: DataFrame, label: str, key: str, k: int = fixed.CV_FOLDS, seed:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """label -> n / (k * n_c) (balanced weights)."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = c.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k")).withColumn("_j", F.lit(1))
-    return (c.withColumn("_j", F.lit(1)).join(F.broadcast(tot), "_j")
-            .select(label, (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight")))
+    tot = c.agg(F.struct(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    return c.select(label, (tot["n"] / (tot["k"] * F.col("n_c"))).alias("weight"))
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:

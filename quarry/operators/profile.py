@@ -31,8 +31,8 @@ def value_counts(df: DataFrame, c: str, keep_null: bool = False) -> DataFrame:
 
 def class_share(df: DataFrame, label: str) -> DataFrame:
     counts = value_counts(df, label)
-    tot = F.sum("count").over(Window.partitionBy())
-    # the window runs over the (small) grouped result: one row per class
+    # the total is a scalar subquery over the per-class counts
+    tot = counts.agg(F.sum("count")).scalar()
     return counts.select(label, F.round(F.col("count") * 100.0 / tot, 2).alias("pct"))
 
 
@@ -148,14 +148,13 @@ def top_words(df: DataFrame, text: str, n: int, group: str | None = None) -> Dat
 def length_histogram(df: DataFrame, c: str, bins: int, group: str | None = None) -> DataFrame:
     """Equal-width bins between min and max; the top edge is in the last bin.
 
-    min/max is one aggregate row, attached by a broadcast equi-join on a
-    constant key (no shuffle of the data, no collect).
+    min/max are scalar subqueries (one aggregate, no join, no collect).
     """
     keep = [group] if group else []
     x = F.col(c).cast("double")
-    bounds = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).withColumn("_k", F.lit(1))
-    j = (df.select(*keep, x.alias("x")).where(F.col("x").isNotNull()).withColumn("_k", F.lit(1))
-         .join(F.broadcast(bounds), "_k"))
+    bounds = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    j = (df.select(*keep, x.alias("x")).where(F.col("x").isNotNull())
+         .withColumn("lo", bounds["lo"]).withColumn("hi", bounds["hi"]))
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")

@@ -91,9 +91,8 @@ def index_labels(df: DataFrame, label: str = "label"):
 def with_balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """weight = n / (k * n_c), from a per-class table broadcast back."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = c.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = (c.withColumn("_j", F.lit(1)).join(F.broadcast(tot.withColumn("_j", F.lit(1))), "_j")
-         .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias("weight")))
+    tot = c.agg(F.struct(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    w = c.select(label, (tot["n"] / (tot["k"] * F.col("_nc"))).alias("weight"))
     return df.join(F.broadcast(w), label)  # one row per class
 
 

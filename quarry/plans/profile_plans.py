@@ -463,7 +463,7 @@ def q_strip_name_suffix(spark, sf_dir):
 
 @register("dedup_keep_first", "SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
 def q_dedup_keep_first(spark, sf_dir):
-    return dd.dedup_keep_first(docs(spark, sf_dir), "text", "doc_id").select("doc_id", "n_copies")
+    return dd.dedup_keep_first(docs(spark, sf_dir), "text", "doc_id", keep=["doc_id"]).select("doc_id", "n_copies")
 
 
 @register("show_all_duplicates", """
