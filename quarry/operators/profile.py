@@ -9,16 +9,12 @@ distinct values (lengths), not by rows.
 
 from __future__ import annotations
 
-import io
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.fixed import SPARK_ENGLISH_STOP_WORDS
 from ..functions.text import UI, U, n_words, noise_ratios, py_strip
 
 R = 4  # decimals kept on double outputs
@@ -110,17 +106,9 @@ def flags_from(patterns, text: str) -> list[tuple[str, Column]]:
     return out
 
 
-@lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the Spark jar."""
-    import pyspark
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w.strip() for w in io.StringIO(data.decode("utf-8")) if w.strip())
-    raise FileNotFoundError("spark-mllib jar not found")
+    """Spark ML's default English stop-word list."""
+    return SPARK_ENGLISH_STOP_WORDS
 
 
 WORD_TOKEN = r"[\p{L}\p{N}_]{2,}"
