@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import op02_exact_dedup
+from . import op02_exact_dedup, op05_warc, op08_decontaminate, op09_secrets
 
 OPS = {
     "op2_exact_dedup": op02_exact_dedup,
+    "op5_warc": op05_warc,
+    "op8_decontaminate": op08_decontaminate,
+    "op9_secrets": op09_secrets,
 }
 
 

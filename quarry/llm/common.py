@@ -115,16 +115,12 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(U64))
 
 
-# Byte tables: 0 separates words, anything else is the byte as it is compared.
+# Byte tables. Word bytes: SPACED is [^\x20\x09-\x0D]; ALNUM is
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F] after lower-casing A-Z.
 _B = np.arange(256, dtype=np.uint8)
-_SPACE = np.isin(_B, [0x20, *range(0x09, 0x0E)])
-_LOWER = np.where((_B >= 0x41) & (_B <= 0x5A), _B + 32, _B).astype(np.uint8)
-SPACE_WORDS = np.where(_SPACE, 0, np.where(_B == 0, 0, _B)).astype(np.uint8)
-_KEEP = (~_SPACE)
-ALNUM_WORDS = np.where(((_B >= 0x30) & (_B <= 0x39)) | ((_B >= 0x61) & (_B <= 0x7A))
-                       | ((_B >= 0x41) & (_B <= 0x5A)) | (_B >= 0x80), _LOWER, 0).astype(np.uint8)
-SPACED = _KEEP                                    # [^\x20\x09-\x0D]
-ALNUM = ALNUM_WORDS != 0                          # [^\x00-\x2F\x3A-\x60\x7B-\x7F] after lower-casing
+LOWER = np.where((_B >= 0x41) & (_B <= 0x5A), _B + 32, _B).astype(np.uint8)
+SPACED = ~np.isin(_B, [0x20, *range(0x09, 0x0E)])
+ALNUM = ((_B >= 0x30) & (_B <= 0x39)) | ((LOWER >= 0x61) & (LOWER <= 0x7A)) | (_B >= 0x80)
 
 
 def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray):
@@ -148,7 +144,7 @@ def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray):
 
 def word_hashes(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, lower: bool):
     starts, ends, rows = word_spans(data, off, is_word)
-    p = prefix_hash(_LOWER[data] if lower else data)
+    p = prefix_hash(LOWER[data] if lower else data)
     return starts, ends, rows, span_hash(p, starts, ends)
 
 
@@ -200,3 +196,29 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 def as_blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
+
+
+def word_pieces(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, overlap: int, most: int = PIECE_BYTES):
+    """Like ``pieces``, but a row longer than ``most`` comes as several pieces
+    cut between words, each of which repeats the last ``overlap`` words of the
+    one before. Yields (first row, bytes, offsets, starts, ends, rows, index
+    of the first word in its row, last piece of the row?)."""
+    for i, d, o in pieces(data, off, most):
+        if len(d) <= most or len(o) > 2:
+            yield i, d, o, *word_spans(d, o, is_word), 0, True
+            continue
+        at, first = 0, 0
+        while True:
+            end = min(len(d), at + most)
+            while end < len(d) and is_word[d[end]] and is_word[d[end - 1]]:
+                gap = np.flatnonzero(~is_word[d[end:end + most]])
+                end = end + int(gap[0]) if len(gap) else min(len(d), end + most)
+            sub = d[at:end]
+            o = np.array([0, len(sub)], np.int64)
+            starts, ends, rows = word_spans(sub, o, is_word)
+            yield i, sub, o, starts, ends, rows, first, end == len(d)
+            if end == len(d):
+                break
+            keep = min(overlap, max(0, len(starts) - 1))
+            first += len(starts) - keep
+            at = at + int(starts[len(starts) - keep]) if keep else end
