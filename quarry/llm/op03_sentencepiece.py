@@ -15,7 +15,8 @@ merge (BPE) model an arc weighs 1, and weighs infinity after a piece it
 cannot stand next to: two pieces may be neighbours exactly when merging their
 joint string would end in these two. A sequence of pieces is the model's own
 encoding if and only if all neighbours may stand together, so just one path
-of finite weight remains, and every prefix has one as well.
+of finite weight remains, and every prefix has one as well: finding it is
+finding the shortest path.
 
 No piece of such models has the word mark after another character (this is
 checked when compiling), so a text falls into independent stretches before
@@ -39,6 +40,7 @@ import math
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -135,7 +137,7 @@ class Model:
                     self.table.setdefault(p[:n], -1)
                 self.table[p] = i
         self.neighbours: dict[int, bool] = {}
-        self.cache: dict[str, list[int]] = {}
+        self.words, self.stretches = Cache(lambda w: self.path(MARK + w)), Cache(self.path)
         self.surface = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t == CONTROL
                         else " ⁇ ".encode() if t == UNKNOWN else p.replace(MARK, " ").encode()
                         for p, _, t in self.pieces]
@@ -205,70 +207,109 @@ class Model:
             text = re.sub(" +", " ", text.strip(" "))
         return (MARK if self.dummy and text else "") + text.replace(" ", MARK)
 
+    def arcs(self, s: str, i: int) -> list[tuple[int, int]]:
+        """(piece, end) of the lattice's arcs from position i, longest last. A
+        character without a piece of its own has an arc (-2) that is spelled
+        in bytes, or unknown."""
+        out, get = [] if s[i] in self.id else [(-2, i + 1)], self.table.get
+        for j in range(i + 1, len(s) + 1):
+            piece = get(s[i:j])
+            if piece is None:
+                break
+            if piece >= 0:
+                out.append((piece, j))
+        return out
+
     def path(self, s: str) -> list[int]:
-        """Shortest path through the lattice of one stretch. A state is a
-        position and the piece before it; for unigram models the piece does
-        not matter, for merge models one piece survives per position."""
-        n, table = len(s), self.table
-        at: list[dict[int, tuple[float, tuple | None]]] = [{} for _ in range(n + 1)]
-        at[0][-1] = (0.0, None)
+        """Shortest path through the lattice of one stretch, as piece ids."""
+        out: list[int] = []
+        for piece, i in self.merge_path(s) if self.merges else self.cheapest_path(s):
+            if piece == -2:
+                out += [self.byte.get(b, self.unk) for b in s[i].encode()] if self.byte else [self.unk]
+            else:
+                out.append(piece)
+        return out
+
+    def cheapest_path(self, s: str) -> list[tuple[int, int]]:
+        """(piece, start) along the path of least weight: positions are the
+        states, in order."""
+        n = len(s)
+        cost, came = [0.0] + [INF] * n, [(-1, 0)] * (n + 1)
         for i in range(n):
-            here = at[i]
-            if not here:
-                continue
-            if not self.merges and len(here) > 1:
-                best = min(here, key=lambda k: here[k][0])
-                here = {best: here[best]}
-            single = False
-            j = i
-            while j < n:
-                j += 1
-                piece = table.get(s[i:j])
-                if piece is None:
-                    break
-                if piece < 0:
-                    continue
-                single |= j == i + 1
-                w = self.weight[piece]
-                for last, (cost, back) in here.items():
-                    if self.merges and last >= 0 and not self.may_follow(last, piece):
-                        continue
-                    old = at[j].get(piece)
-                    if old is None or cost + w < old[0]:
-                        at[j][piece] = (cost + w, (back, piece))
-            if not single and s[i] not in self.id:          # spelled in bytes, or unknown
-                cost, back = min(here.values(), key=lambda x: x[0])
-                spelled = [self.byte.get(b, self.unk) for b in s[i].encode()] if self.byte else [self.unk]
-                for b in spelled:
-                    back = (back, b)
-                at[i + 1].setdefault(-2, (cost + self.unk_weight, back))
-        out, back = [], min(at[n].values(), key=lambda x: x[0])[1]
-        while back is not None:
-            back, piece = back
-            out.append(piece)
+            for piece, j in self.arcs(s, i):
+                w = cost[i] + (self.unk_weight if piece < 0 else self.weight[piece])
+                if w < cost[j]:
+                    cost[j], came[j] = w, (piece, i)
+        out, j = [], n
+        while j:
+            out.append(came[j])
+            j = came[j][1]
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        norm = self.normalise(text)
-        cache = self.cache
-        for s in STRETCH.findall(norm) if self.split_at_marks else [norm] if norm else []:
-            ids = cache.get(s)
-            if ids is None:
-                ids = self.path(s)
-                if len(s) <= 64:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[s] = ids
-            out += ids
-        return out
+    def merge_path(self, s: str) -> list[tuple[int, int]]:
+        """(piece, start) along the one path of finite weight. A state is a
+        position with the piece before it; since each prefix has one finite
+        path, a position is entered once, and one from which no arc is finite
+        is dead for good. Longest arcs go first."""
+        n, follows, may_follow = len(s), self.neighbours.get, self.may_follow
+        out: list[tuple[int, int]] = []
+        pending, dead = [], set()
+        i, u, arcs = 0, -1, self.arcs(s, 0)
+        while True:
+            while arcs:
+                piece, j = arcs.pop()
+                if j in dead:
+                    continue
+                if u < 0 or piece < 0 or (ok := follows(u << 32 | piece)) or ok is None and may_follow(u, piece):
+                    out.append((piece, i))
+                    if j == n:
+                        return out
+                    pending.append((i, u, arcs))
+                    i, u, arcs = j, piece, self.arcs(s, j)
+                    break
+            else:
+                dead.add(i)
+                i, u, arcs = pending.pop()
+                out.pop()
+
+    def encode(self, text: str) -> np.ndarray:
+        """Piece ids of a text, int32."""
+        if not self.split_at_marks:
+            norm = self.normalise(text)
+            return np.array(self.path(norm) if norm else [], np.int32)
+        if self.dummy and text and MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            found = map(self.words.__getitem__, text.split(" "))
+        else:
+            found = map(self.stretches.__getitem__, STRETCH.findall(self.normalise(text)))
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids) -> str:
         surface = self.surface
-        text = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(surface.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
+class Cache(dict):
+    """Encodings (int32 bytes) by text, in two generations: when the newer one
+    is full it becomes the older one, so what is in use stays. Long texts are
+    not kept."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, s: str) -> bytes:
+        out = self.older.get(s)
+        if out is None:
+            out = np.array(self.make(s), np.int32).tobytes()
+        if len(s) <= 64:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[s] = out
+        return out
+
+
 STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _MODELS: dict[str, Model] = {}
 
@@ -300,9 +341,8 @@ def encode_docs(docs: DataFrame, model_path: str = MODEL_PATH, id_col: str = "do
                 ids, ok = [], []
                 for x in part.column("text"):
                     text = x.as_py()
-                    t = model.encode(text)
-                    ids.append(np.array(t, np.int32))
-                    ok.append(model.decode(t) == text)
+                    ids.append(model.encode(text))
+                    ok.append(model.decode(ids[-1].tolist()) == text)
                 at = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(t) for t in ids], out=at[1:])
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))

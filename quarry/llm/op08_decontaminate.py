@@ -93,7 +93,7 @@ def suffix_array(s: np.ndarray, bits: int) -> np.ndarray:
     key, alive = np.zeros(n, U64), np.ones(n, bool)
     for k in range(h):                                # the first h symbols, blank after a separator
         sym = np.zeros(n, np.int64)
-        sym[:n - k] = s[k:]
+        sym[:max(0, n - k)] = s[k:]
         alive &= sym > 0
         key = (key << U64(bits)) | np.where(alive, sym, 0).astype(U64)
     sa = np.argsort(key, kind="stable")
