@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import op02_exact_dedup, op03_sentencepiece, op05_warc, op08_decontaminate, op09_secrets
+from . import op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op08_decontaminate, op09_secrets
 
 OPS = {
     "op2_exact_dedup": op02_exact_dedup,
     "op3_sentencepiece": op03_sentencepiece,
+    "op4_language": op04_language,
     "op5_warc": op05_warc,
     "op8_decontaminate": op08_decontaminate,
     "op9_secrets": op09_secrets,
