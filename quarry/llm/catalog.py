@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op08_decontaminate, op09_secrets
+from . import (op01_suffix_array, op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op06_substring,
+               op08_decontaminate, op09_secrets)
 
 OPS = {
+    "op1_suffix_array_dedup": op01_suffix_array,
     "op2_exact_dedup": op02_exact_dedup,
     "op3_sentencepiece": op03_sentencepiece,
     "op4_language": op04_language,
     "op5_warc": op05_warc,
+    "op6_substring_dedup": op06_substring,
     "op8_decontaminate": op08_decontaminate,
     "op9_secrets": op09_secrets,
 }
