@@ -172,9 +172,9 @@ def packing(buckets: int, window: int, gram: int):
 
 
 def pack_piece(out, d, off, first, ids, window, gram) -> None:
-    p = prefix_hash(d)
     at = np.arange(len(d) - gram + 1)
-    mins = sliding_min(span_hash(p, at, at + gram), window - gram + 1)
+    h = span_hash(prefix_hash(d), at, at + gram)
+    mins = sliding_min(h, window - gram + 1)
     # a window may not reach over its row's end
     short = np.zeros(len(d) + 1, np.int64)
     np.add.at(short, np.maximum(off[:-1], off[1:] - window + 1), 1)
@@ -182,7 +182,21 @@ def pack_piece(out, d, off, first, ids, window, gram) -> None:
     a, b = window_runs(mins, np.cumsum(short[:len(mins)]) == 0)
     if len(a):
         row = np.searchsorted(off, a, "right") - 1
-        out.add(d.tobytes(), a, b + window - 1, mins[a], ids[row], a - off[row] + first, b - a + window - 1)
+        out.add(d.tobytes(), a, b + window - 1, mins[a], ids[row], a - off[row] + first, b - a + window - 1,
+                stands_again(h, mins[a], a, b, window - gram + 1))
+
+
+def stands_again(h, least, a, b, grams: int, at_once: int = 10_000) -> np.ndarray:
+    """Whether a run's minimiser stands in it more than once: its first place
+    is in the first window, its last place in the last one."""
+    view = np.lib.stride_tricks.sliding_window_view(h, grams)
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), at_once):
+        s = slice(k, k + at_once)
+        first = a[s] + (view[a[s]] == least[s, None]).argmax(1)
+        last = b[s] - 2 + grams - (view[b[s] - 1] == least[s, None])[:, ::-1].argmax(1)
+        out[s] = first != last
+    return out
 
 
 def sorting(window: int):

@@ -10,7 +10,8 @@ one string per task, not one per document.
 
 Bundles reach their bucket as one row per task and bucket (zstd-compressed
 bytes and arrays), and ``unpack`` puts a bucket's rows together. Strings whose
-minimiser came once cannot hold a repeated window and are left out there.
+minimiser came once, and stands in them once, cannot hold a repeated window
+and are left out there.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from .common import U64, as_blob, merge_spans
 
 MAX_RUN = 1024                     # windows per packed string
 FLUSH_BYTES = 16 << 20             # text per bundle
-PACKED = ("bucket long, data binary, size long, lens binary, keys binary, docs binary, reps binary, starts binary, "
+PACKED = ("bucket long, data binary, size long, lens binary, keys binary, again binary, docs binary, reps binary, starts binary, "
           "cover_doc binary, cover_start binary, cover_end binary")
 PACKED_NAMES = [x.split()[0] for x in PACKED.split(", ")]
 SPANS = "doc_id long, starts array<long>, ends array<long>"
@@ -61,15 +62,18 @@ class Bundles:
         self.cover: list[tuple[int, int, int]] = []
         self.text = 0
 
-    def add(self, raw: bytes, lo, hi, keys, docs, starts, units) -> None:
+    def add(self, raw: bytes, lo, hi, keys, docs, starts, units, again=None) -> None:
         """String raw[lo:hi] with its minimiser, document, first unit and
-        number of units (words or bytes) covered, for every run."""
+        number of units (words or bytes) covered, for every run; ``again``:
+        does the minimiser stand in the string more than once?"""
         seen, cover, within = self.seen, self.cover, self.within
-        for a, b, k, d, s, n in zip(lo.tolist(), hi.tolist(), keys.tolist(), docs.tolist(), starts.tolist(), units.tolist()):
+        again = np.zeros(len(lo), bool) if again is None else again
+        for a, b, k, d, s, n, r in zip(lo.tolist(), hi.tolist(), keys.tolist(), docs.tolist(), starts.tolist(),
+                                       units.tolist(), again.tolist()):
             c = raw[a:b]
             e = seen.get(c)
             if e is None:
-                seen[c] = [k, d, [s]]
+                seen[c] = [k, d, [s], r]
             elif d > e[1]:
                 cover.append((d, s, s + n))
             elif d < e[1]:
@@ -105,7 +109,7 @@ class Bundles:
                 starts = [entries[i][2] for i in group]
                 for c, v in zip(PACKED_NAMES, (
                         int(bucket[group[0]]), squeeze(data), len(data), as_blob(np.array([len(x) for x in mine], np.int32)),
-                        as_blob(keys[group]), as_blob(np.array([entries[i][1] for i in group], np.int64)),
+                        as_blob(keys[group]), as_blob(np.array([entries[i][3] for i in group], bool)), as_blob(np.array([entries[i][1] for i in group], np.int64)),
                         as_blob(np.array([len(x) for x in starts], np.int32)),
                         as_blob(np.array([x for y in starts for x in y], np.int64)), none, none, none)):
                     columns[c].append(v)
@@ -114,7 +118,7 @@ class Bundles:
             at = (doc % self.buckets + self.buckets) % self.buckets
             order = np.argsort(at, kind="stable")
             for group in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-                for c, v in zip(PACKED_NAMES, (int(at[group[0]]), none, 0, none, none, none, none, none,
+                for c, v in zip(PACKED_NAMES, (int(at[group[0]]), none, 0, none, none, none, none, none, none,
                                                as_blob(doc[group]), as_blob(s[group]), as_blob(e[group]))):
                     columns[c].append(v)
         self.clear()
@@ -134,9 +138,9 @@ class Unpacked:
         keys, lens, self.docs = get("keys", U64), get("lens", np.int32).astype(np.int64), get("docs", np.int64)
         self.reps, self.starts = get("reps", np.int32).astype(np.int64), get("starts", np.int64)
         self.rep_at = np.cumsum(self.reps) - self.reps
-        # strings whose minimiser came once hold no repeated window
+        # strings whose minimiser came and stands in them once hold no repeated window
         _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
-        keep = count[which] > 1
+        keep = (count[which] > 1) | get("again", bool)
         parts, at = [], 0
         for blob, size, n in zip(rows["data"], rows["size"], map(len, rows["lens"])):
             mine = keep[at:at + n // 4]
