@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (op01_suffix_array, op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op06_substring,
-               op08_decontaminate, op09_secrets)
+               op08_decontaminate, op09_secrets, op10_minhash)
 
 OPS = {
     "op1_suffix_array_dedup": op01_suffix_array,
@@ -14,6 +14,7 @@ OPS = {
     "op6_substring_dedup": op06_substring,
     "op8_decontaminate": op08_decontaminate,
     "op9_secrets": op09_secrets,
+    "op10_minhash_near_dedup": op10_minhash,
 }
 
 

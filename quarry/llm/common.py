@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 NULL_ID = -(2 ** 63)
-PIECE_BYTES = 4 << 20            # bytes of text that numpy works on at once
+PIECE_BYTES = 2 << 20            # bytes of text that numpy works on at once
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 U64 = np.uint64
 A_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -88,7 +88,7 @@ _POW: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse powers modulo 2**64, i < n."""
     if len(_POW[0]) < n:
-        size = max(n, 1 << 16)
+        size = max(n, PIECE_BYTES + (1 << 16)) if n > 1 << 16 else 1 << 16
         inv = U64(pow(int(BASE), -1, 1 << 64))
         for k, b in enumerate((BASE, inv)):
             a = np.full(size, b, U64)
@@ -222,3 +222,19 @@ def word_pieces(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, overlap:
             keep = min(overlap, max(0, len(starts) - 1))
             first += len(starts) - keep
             at = at + int(starts[len(starts) - keep]) if keep else end
+
+
+HOT_SHARE = 1000
+
+
+def hot_join(rows: DataFrame, entries: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with ``entries`` (unique in ``key``), whose
+    ``size`` counts the rows of each key among ``total``. An entry with more
+    than 1/1000 of the rows is hot; there are fewer than 1000 such entries,
+    whatever the input, and they are broadcast. In the sort-merge join of the
+    others no key holds more than 1/1000 of the rows."""
+    hot = entries.where(F.col(size) * HOT_SHARE > total)
+    cold = entries.where(F.col(size) * HOT_SHARE <= total)
+    marked = rows.join(F.broadcast(hot), key, "left")
+    return marked.where(F.col(size).isNotNull()).unionByName(
+        marked.where(F.col(size).isNull()).select(*rows.columns).join(cold.hint("merge"), key, "left"))

@@ -39,7 +39,7 @@ from .common import (PIECE_BYTES, U64, key_text, merge_spans, n_buckets, pieces,
 from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, spans_table, window_runs)
 
 WINDOW = 100
-GRAM = 24
+GRAM = 16
 SHALLOW = 24
 BUCKET_BYTES = 16 << 20
 
@@ -173,7 +173,8 @@ def packing(buckets: int, window: int, gram: int):
 
 def pack_piece(out, d, off, first, ids, window, gram) -> None:
     at = np.arange(len(d) - gram + 1)
-    h = span_hash(prefix_hash(d), at, at + gram)
+    p = prefix_hash(d)
+    h = span_hash(p, at, at + gram)
     mins = sliding_min(h, window - gram + 1)
     # a window may not reach over its row's end
     short = np.zeros(len(d) + 1, np.int64)
@@ -182,7 +183,8 @@ def pack_piece(out, d, off, first, ids, window, gram) -> None:
     a, b = window_runs(mins, np.cumsum(short[:len(mins)]) == 0)
     if len(a):
         row = np.searchsorted(off, a, "right") - 1
-        out.add(d.tobytes(), a, b + window - 1, mins[a], ids[row], a - off[row] + first, b - a + window - 1,
+        hi = b + window - 1
+        out.add(d, a, hi, span_hash(p, a, hi), mins[a], ids[row], a - off[row] + first, hi - a,
                 stands_again(h, mins[a], a, b, window - gram + 1))
 
 

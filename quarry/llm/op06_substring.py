@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (SPACED, U64, key_text, merge_spans, mix, n_buckets, prefix_hash, ranges, restore_id, runs, sliding_min,
+from .common import (SPACED, U64, key_text, merge_spans, mix, n_buckets, prefix_hash, ranges, restore_id, sliding_min,
                      span_hash, text_bytes, utf8, word_pieces, word_spans)
-from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, spans_table, window_runs)
+from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, same_strings, spans_table,
+                        window_runs)
 
 WINDOW = 13
 GRAM = 3
 BUCKET_BYTES = 16 << 20
-CONFIRM = 50_000                 # windows compared byte by byte at once
 
 
 def packing(buckets: int, window: int, gram: int):
@@ -70,34 +70,8 @@ def pack_piece(out, d, starts, ends, rows, first, ids, window, gram) -> None:
     count = np.bincount(rows, minlength=int(rows[-1]) + 1)
     number = a - (np.cumsum(count) - count)[rows[a]] + first
     last = b + window - 2
-    out.add(joined.tobytes(), at[a], at[last] + size[last], mins[a], ids[rows[a]], number, b - a + window - 1)
-
-
-def same_windows(data, lo, hi, h) -> np.ndarray:
-    """Class number of every window data[lo:hi], -1 for windows that are alone;
-    ``h`` are their hashes. Equal hashes are confirmed on bytes."""
-    out = np.full(len(h), -1, np.int64)
-    todo, classes = np.argsort(h), 0
-    while len(todo):
-        begin, end = runs(h[todo])
-        many = end - begin > 1
-        todo = todo[np.repeat(many, end - begin)]
-        size = (end - begin)[many]
-        if not len(size):
-            break
-        head = np.repeat(todo[np.cumsum(size) - size], size)
-        equal = (hi - lo)[todo] == (hi - lo)[head]
-        for k in range(0, len(todo), CONFIRM):
-            t, u = todo[k:k + CONFIRM], head[k:k + CONFIRM]
-            n = np.where(equal[k:k + CONFIRM], (hi - lo)[t], 0)
-            bad = np.r_[0, np.cumsum(data[ranges(lo[t], n)] != data[ranges(lo[u], n)])]
-            stop = np.cumsum(n)
-            equal[k:k + CONFIRM] &= bad[stop] == bad[stop - n]
-        number = np.repeat(np.arange(len(size)) + classes, size)
-        out[todo[equal]] = number[equal]
-        classes += len(size)
-        todo = todo[~equal]                       # other windows with the same hash
-    return out
+    lo, hi = at[a], at[last] + size[last]
+    out.add(joined, lo, hi, span_hash(prefix_hash(joined), lo, hi), mins[a], ids[rows[a]], number, b - a + window - 1)
 
 
 def counting(window: int):
@@ -109,7 +83,7 @@ def counting(window: int):
             w = np.flatnonzero(rows[:len(rows) - window + 1] == rows[window - 1:])
             p = prefix_hash(span_hash(prefix_hash(u.data), starts, ends))
             lo, hi = starts[w], ends[w + window - 1]
-            cls = same_windows(u.data, lo, hi, span_hash(p, w, w + window))
+            cls = same_strings(u.data, lo, hi, span_hash(p, w, w + window))
             # a window goes if its class holds a smaller document
             many = np.flatnonzero(cls >= 0)
             first = np.full(int(cls.max(initial=-1)) + 1, np.iinfo(np.int64).max)

@@ -23,12 +23,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, as_blob, merge_spans
+from .common import U64, merge_spans, ranges, runs
 
 MAX_RUN = 1024                     # windows per packed string
-FLUSH_BYTES = 16 << 20             # text per bundle
-PACKED = ("bucket long, data binary, size long, lens binary, keys binary, again binary, docs binary, reps binary, starts binary, "
-          "cover_doc binary, cover_start binary, cover_end binary")
+FLUSH_BYTES = 8 << 20              # text per bundle
+CONFIRM = 1 << 20                  # bytes compared at once
+LEVEL = 3                          # of zstd
+PACKED = "bucket long, data binary, size long, numbers binary, cover binary"
 PACKED_NAMES = [x.split()[0] for x in PACKED.split(", ")]
 SPANS = "doc_id long, starts array<long>, ends array<long>"
 
@@ -49,107 +50,166 @@ def window_runs(mins: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.nda
     return at[begin], at[begin] + size
 
 
+def same_strings(data, lo, hi, h) -> np.ndarray:
+    """Class number of every string data[lo:hi], -1 for strings that are
+    alone; ``h`` are their hashes. Equal hashes are confirmed on bytes."""
+    out = np.full(len(h), -1, np.int64)
+    todo, classes, size_of = np.argsort(h), 0, hi - lo
+    while len(todo):
+        begin, end = runs(h[todo])
+        many = end - begin > 1
+        todo = todo[np.repeat(many, end - begin)]
+        size = (end - begin)[many]
+        if not len(size):
+            break
+        head = np.repeat(todo[np.cumsum(size) - size], size)
+        equal = size_of[todo] == size_of[head]
+        length = np.where(equal, size_of[todo], 0)
+        lot = (np.cumsum(length) - length) // CONFIRM
+        for k, stop in zip(*(x.tolist() for x in runs(lot))):
+            t, u, n = todo[k:stop], head[k:stop], length[k:stop]
+            bad = np.r_[0, np.cumsum(data[ranges(lo[t], n)] != data[ranges(lo[u], n)])]
+            end_at = np.cumsum(n)
+            equal[k:stop] &= bad[end_at] == bad[end_at - n]
+        number = np.repeat(np.arange(len(size)) + classes, size)
+        out[todo[equal]] = number[equal]
+        classes += len(size)
+        todo = todo[~equal]                       # other strings with the same hash
+    return out
+
+
+def planes(a: np.ndarray) -> bytes:
+    """Differences of neighbours, byte by byte, which compress well."""
+    d = np.diff(a, prepend=a[:1] * 0)
+    return np.ascontiguousarray(d.view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
+def from_planes(b: np.ndarray, n: int) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(b.reshape(8, n).T).view(np.int64).ravel())
+
+
 class Bundles:
     """Packed strings of a task. ``within``: a window that starts earlier in
     the same document counts, too (else only smaller documents do)."""
 
     def __init__(self, buckets: int, within: bool):
         self.buckets, self.within, self.text = buckets, within, 0
-        self.clear()
-
-    def clear(self):
-        self.seen: dict[bytes, list] = {}
-        self.cover: list[tuple[int, int, int]] = []
-        self.text = 0
-
-    def add(self, raw: bytes, lo, hi, keys, docs, starts, units, again=None) -> None:
-        """String raw[lo:hi] with its minimiser, document, first unit and
-        number of units (words or bytes) covered, for every run; ``again``:
-        does the minimiser stand in the string more than once?"""
-        seen, cover, within = self.seen, self.cover, self.within
-        again = np.zeros(len(lo), bool) if again is None else again
-        for a, b, k, d, s, n, r in zip(lo.tolist(), hi.tolist(), keys.tolist(), docs.tolist(), starts.tolist(),
-                                       units.tolist(), again.tolist()):
-            c = raw[a:b]
-            e = seen.get(c)
-            if e is None:
-                seen[c] = [k, d, [s], r]
-            elif d > e[1]:
-                cover.append((d, s, s + n))
-            elif d < e[1]:
-                cover.extend((e[1], x, x + n) for x in e[2])
-                e[1], e[2] = d, [s]
-            elif s in e[2][-1:]:
-                pass                                       # a repeated row, or a piece's overlap
-            elif not within:
-                e[2].append(s)
-            elif s > e[2][0]:
-                cover.append((d, s, s + n))
-            else:
-                cover.append((d, e[2][0], e[2][0] + n))
-                e[2] = [s]
+        self.raw: list[np.ndarray] = []
+        self.parts: list[tuple] = []
+        self.size = 0
+
+    def add(self, raw: np.ndarray, lo, hi, hashes, keys, docs, starts, units, again=None) -> None:
+        """Strings raw[lo:hi] with their hash, minimiser, document, first unit
+        and number of units (words or bytes) covered; ``again``: does the
+        minimiser stand in the string more than once?"""
+        self.raw.append(raw)
+        self.parts.append((lo + self.size, hi + self.size, hashes, keys, docs, starts, units,
+                           np.zeros(len(lo), bool) if again is None else again))
+        self.size += len(raw)
 
     def flush(self) -> pa.RecordBatch | None:
         """Rows of what was added since the last flush."""
-        if not self.seen and not self.cover:
+        self.text = 0
+        if not self.parts:
             return None
+        data = np.concatenate(self.raw)
+        lo, hi, hashes, keys, docs, starts, units, again = (np.concatenate(x) for x in zip(*self.parts))
+        self.raw, self.parts, self.size = [], [], 0
+        cls = same_strings(data, lo, hi, hashes)
+        # of the strings in several places, those of the first document (within: the first place) go on
+        many = np.flatnonzero(cls >= 0)
+        many = many[np.lexsort((starts[many], docs[many], cls[many]))]
+        begin, end = runs(cls[many])
+        head = np.repeat(many[begin], end - begin)
+        later = docs[many] != docs[head]
+        if self.within:
+            later |= starts[many] != starts[head]
+        gone = many[later]
+        cover = merge_spans(docs[gone], starts[gone], starts[gone] + units[gone])
+        # the head stands for its string; its document's other places are repeats
+        stay = np.ones(len(lo), bool)
+        stay[many] = many == head
+        more = many[~later & (many != head)]
+        owner = head[~later & (many != head)]
+        first = np.flatnonzero(stay)
+        bucket = (keys[first] % U64(self.buckets)).astype(np.int64)
+        first = first[np.lexsort((starts[first], docs[first], bucket))]
+        bucket = (keys[first] % U64(self.buckets)).astype(np.int64)
+        place = np.zeros(len(lo), np.int64)
+        place[first] = np.arange(len(first))
+        of = np.r_[np.arange(len(first)), place[owner]]                  # string of each place
+        order = np.argsort(of, kind="stable")
+        reps = np.bincount(of, minlength=len(first))
+        where = np.r_[starts[first], starts[more]][order]
+        at_place = np.cumsum(reps) - reps
+        size = hi[first] - lo[first]
+        squeeze = zstandard.ZstdCompressor(level=LEVEL).compress
         columns: dict[str, list] = {c: [] for c in PACKED_NAMES}
-        none = b""
-        if self.seen:
-            strings = list(self.seen)
-            entries = list(self.seen.values())
-            keys = np.array([e[0] for e in entries], U64)
-            bucket = (keys % U64(self.buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            squeeze = zstandard.ZstdCompressor(level=1).compress
-            for group in np.split(order, cuts):
-                mine = [strings[i] for i in group]
-                data = b"".join(mine)
-                starts = [entries[i][2] for i in group]
-                for c, v in zip(PACKED_NAMES, (
-                        int(bucket[group[0]]), squeeze(data), len(data), as_blob(np.array([len(x) for x in mine], np.int32)),
-                        as_blob(keys[group]), as_blob(np.array([entries[i][3] for i in group], bool)), as_blob(np.array([entries[i][1] for i in group], np.int64)),
-                        as_blob(np.array([len(x) for x in starts], np.int32)),
-                        as_blob(np.array([x for y in starts for x in y], np.int64)), none, none, none)):
-                    columns[c].append(v)
-        if self.cover:
-            doc, s, e = merge_spans(*np.array(self.cover, np.int64).T)
-            at = (doc % self.buckets + self.buckets) % self.buckets
+        for a, b in zip(*(x.tolist() for x in runs(bucket))):
+            numbers = b"".join((
+                np.array([b - a, int(reps[a:b].sum())], np.int64).tobytes(), (keys[first[a:b]] >> U64(32)).astype(np.uint32).tobytes(),
+                again[first[a:b]].tobytes(), planes(size[a:b]), planes(docs[first[a:b]]), planes(reps[a:b]),
+                planes(where[at_place[a]:at_place[b - 1] + reps[b - 1]])))
+            mine = data[ranges(lo[first[a:b]], size[a:b])]
+            for c, v in zip(PACKED_NAMES, (int(bucket[a]), squeeze(mine), len(mine), squeeze(numbers), b"")):
+                columns[c].append(v)
+        if len(cover[0]):
+            at = np.mod(cover[0], self.buckets)
             order = np.argsort(at, kind="stable")
-            for group in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-                for c, v in zip(PACKED_NAMES, (int(at[group[0]]), none, 0, none, none, none, none, none, none,
-                                               as_blob(doc[group]), as_blob(s[group]), as_blob(e[group]))):
+            for a, b in zip(*(x.tolist() for x in runs(at[order]))):
+                found = np.stack([x[order[a:b]] for x in cover])
+                for c, v in zip(PACKED_NAMES, (int(at[order[a]]), b"", 0, b"", squeeze(found.tobytes()))):
                     columns[c].append(v)
-        self.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[c], pa.int64() if c in ("bucket", "size") else pa.binary()) for c in PACKED_NAMES], names=PACKED_NAMES)
 
 
 class Unpacked:
     """A bucket's strings: bytes, offsets, documents, repeats and starts, and
-    the spans that tasks had found covered."""
+    the spans that tasks had found covered. Strings whose minimiser came and
+    stands in them once hold no repeated window and are left out."""
 
     def __init__(self, table: pa.Table):
-        rows = table.to_pydict()
         expand = zstandard.ZstdDecompressor().decompress
-        get = lambda c, t: np.frombuffer(b"".join(rows[c]), t)
-        self.cover = tuple(get(c, np.int64) for c in ("cover_doc", "cover_start", "cover_end"))
-        keys, lens, self.docs = get("keys", U64), get("lens", np.int32).astype(np.int64), get("docs", np.int64)
-        self.reps, self.starts = get("reps", np.int32).astype(np.int64), get("starts", np.int64)
-        self.rep_at = np.cumsum(self.reps) - self.reps
-        # strings whose minimiser came and stands in them once hold no repeated window
-        _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
-        keep = (count[which] > 1) | get("again", bool)
+        z = np.zeros(0, np.int64)
+        cover, keys, again, lens, docs, reps, starts = [np.zeros((3, 0), np.int64)], [], [], [z], [z], [z], [z]
+        for b in table.column("cover").to_pylist():
+            if b:
+                cover.append(np.frombuffer(expand(b), np.int64).reshape(3, -1))
+        self.cover = tuple(np.concatenate(cover, axis=1))
+        counts = []
+        for b in table.column("numbers").to_pylist():
+            if not b:
+                counts.append(0)
+            else:
+                x = np.frombuffer(expand(b), np.uint8)
+                n, m = x[:16].view(np.int64).tolist()
+                counts.append(n)
+                at = np.cumsum([16, 4 * n, n, 8 * n, 8 * n, 8 * n, 8 * m])
+                keys.append(x[at[0]:at[1]].view(np.uint32))
+                again.append(x[at[1]:at[2]].view(bool))
+                for to, k, c in ((lens, 2, n), (docs, 3, n), (reps, 4, n), (starts, 5, m)):
+                    to.append(from_planes(x[at[k]:at[k + 1]], c))
+        lens, docs, reps, self.starts = (np.concatenate(x) for x in (lens, docs, reps, starts))
+        if not len(lens):
+            self.data, self.off, self.docs, self.reps, self.rep_at = np.zeros(0, np.uint8), np.zeros(1, np.int64), z, z, z
+            return
+        keys, again = np.concatenate(keys), np.concatenate(again)
+        order = np.argsort(keys)
+        begin, end = runs(keys[order])
+        keep = np.zeros(len(keys), bool)
+        keep[order] = np.repeat(end - begin > 1, end - begin)
+        keep |= again
         parts, at = [], 0
-        for blob, size, n in zip(rows["data"], rows["size"], map(len, rows["lens"])):
-            mine = keep[at:at + n // 4]
-            if size and mine.any():
+        for blob, size, n in zip(table.column("data").to_pylist(), table.column("size").to_pylist(), counts):
+            mine = keep[at:at + n]
+            if mine.any():
                 raw = np.frombuffer(expand(blob, max_output_size=size), np.uint8)
-                parts.append(raw[np.repeat(mine, lens[at:at + n // 4])] if not mine.all() else raw)
-            at += n // 4
+                parts.append(raw if mine.all() else raw[np.repeat(mine, lens[at:at + n])])
+            at += n
+        rep_at = np.cumsum(reps) - reps
         self.data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
-        self.docs, self.reps, self.rep_at = self.docs[keep], self.reps[keep], self.rep_at[keep]
+        self.docs, self.reps, self.rep_at = docs[keep], reps[keep], rep_at[keep]
         self.off = np.r_[0, np.cumsum(lens[keep])]
 
 

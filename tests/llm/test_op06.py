@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quarry.llm import common, op06_substring as op, superkmer
@@ -63,16 +64,23 @@ def test_small_pieces_runs_and_buckets(spark, make_docs, monkeypatch):
 
 
 def test_bundles_cover_what_repeats_inside_a_task():
-    b = superkmer.Bundles(4, within=False)
+    raw = np.frombuffer(b"aabbaabb", np.uint8)
     arr = lambda *x: np.array(x, np.int64)
-    b.add(b"aabbaabb", arr(0, 4, 2), arr(2, 6, 4), np.array([7, 7, 9], np.uint64), arr(5, 3, 5), arr(0, 10, 4), arr(2, 2, 2))
-    assert b.cover == [(5, 0, 2)] and b.seen[b"aa"][1:] == [3, [10]] and b.seen[b"bb"][1:] == [5, [4]]
+    lo, hi = arr(0, 4, 2, 0), arr(2, 6, 4, 2)
+    for within, cover, starts in ((False, [5, 0, 2], [10, 30, 4]), (True, [5, 3, 0, 30, 2, 32], [10, 4])):
+        b = superkmer.Bundles(1, within)
+        b.add(raw, lo, hi, np.array([1, 1, 1, 1], np.uint64), np.array([7, 7, 9, 7], np.uint64), arr(5, 3, 5, 3), arr(0, 10, 4, 30), arr(2, 2, 2, 2))
+        u = superkmer.Unpacked(pa.Table.from_batches([b.flush()]))
+        doc, s, e = u.cover
+        want = sorted(zip(cover[0:len(cover) // 3], cover[len(cover) // 3:2 * len(cover) // 3], cover[2 * len(cover) // 3:]))
+        assert sorted(zip(doc.tolist(), s.tolist(), e.tolist())) == want
+        assert u.starts.tolist() == starts and b.flush() is None
 
 
 def test_equal_hashes_are_confirmed_on_bytes():
     data = np.frombuffer(b"abcabdabc", np.uint8)
     lo, hi = np.array([0, 3, 6]), np.array([3, 6, 9])
-    cls = op.same_windows(data, lo, hi, np.zeros(3, np.uint64))
+    cls = superkmer.same_strings(data, lo, hi, np.zeros(3, np.uint64))
     assert cls[0] == cls[2] >= 0 and cls[1] == -1
 
 
