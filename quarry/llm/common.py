@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 NULL_ID = -(2 ** 63)
-PIECE_BYTES = 2 << 20            # bytes of text that numpy works on at once
+PIECE_BYTES = 1 << 20            # bytes of text that numpy works on at once
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 U64 = np.uint64
 A_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -36,12 +36,13 @@ from pyspark.sql import functions as F
 
 from .common import (PIECE_BYTES, U64, key_text, merge_spans, n_buckets, pieces, prefix_hash, ranges, restore_id, runs,
                      sliding_min, span_hash, text_bytes, utf8)
-from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, spans_table, window_runs)
+from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, repeated, same_strings, spans_table,
+                        window_runs)
 
 WINDOW = 100
 GRAM = 16
 SHALLOW = 24
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 # ------------------------------------------------------------ suffix sorting
@@ -201,21 +202,39 @@ def stands_again(h, least, a, b, grams: int, at_once: int = 10_000) -> np.ndarra
     return out
 
 
+def merge_equal(u: Unpacked):
+    """Of the bucket's equal strings the first place goes on; the others are
+    covered. Returns these spans, and the strings to sort: the rest, if their
+    minimiser comes in another one or again in themselves."""
+    lo, hi = u.off[:-1], u.off[1:]
+    cls = same_strings(u.data, lo, hi, span_hash(prefix_hash(u.data), lo, hi))
+    start = u.starts[u.rep_at]
+    many = np.flatnonzero(cls >= 0)
+    many = many[np.lexsort((start[many], u.docs[many], cls[many]))]
+    begin, end = runs(cls[many])
+    head = np.repeat(many[begin], end - begin)
+    stay = np.ones(len(lo), bool)
+    stay[many] = many == head
+    gone = many[(u.docs[many] != u.docs[head]) | (start[many] != start[head])]
+    left = np.flatnonzero(stay)
+    left = left[repeated(u.keys[left]) | u.again[left]]
+    return (u.docs[gone], start[gone], start[gone] + (hi - lo)[gone]), left
+
+
 def sorting(window: int):
     def bucket(table: pa.Table) -> pa.Table:
         u = Unpacked(table)
         doc, s, e = u.cover
         if len(u.docs):
-            n = np.diff(u.off) - window + 1                        # windows of each string
-            pos = ranges(u.off[:-1], n)
-            row = np.repeat(np.arange(len(n)), n)
-            sa, leaf = sort_suffixes(u.data, pos, window)
+            (gd, a, b), left = merge_equal(u)
+            doc, s, e = np.r_[doc, gd], np.r_[s, a], np.r_[e, b]
+            n = np.diff(u.off)[left] - window + 1                  # windows of each string
+            sa, leaf = sort_suffixes(u.data, ranges(u.off[left], n), window)
             # all places of a leaf but the first occurrence
             many = several(leaf)
             sa, leaf = sa[many], leaf[many]
             row = np.searchsorted(u.off, sa, "right") - 1
-            inside = sa - u.off[row]
-            d, start = u.docs[row], u.starts[u.rep_at[row]] + inside
+            d, start = u.docs[row], u.starts[u.rep_at[row]] + sa - u.off[row]
             order = np.lexsort((start, d, leaf))
             begin, end = runs(leaf[order])
             head = np.repeat(order[begin], end - begin)

@@ -33,7 +33,7 @@ from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_docume
 
 WINDOW = 13
 GRAM = 3
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def packing(buckets: int, window: int, gram: int):

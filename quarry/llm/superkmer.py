@@ -164,6 +164,15 @@ class Bundles:
             [pa.array(columns[c], pa.int64() if c in ("bucket", "size") else pa.binary()) for c in PACKED_NAMES], names=PACKED_NAMES)
 
 
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Which keys come more than once."""
+    order = np.argsort(keys)
+    begin, end = runs(keys[order])
+    out = np.zeros(len(keys), bool)
+    out[order] = np.repeat(end - begin > 1, end - begin)
+    return out
+
+
 class Unpacked:
     """A bucket's strings: bytes, offsets, documents, repeats and starts, and
     the spans that tasks had found covered. Strings whose minimiser came and
@@ -195,11 +204,7 @@ class Unpacked:
             self.data, self.off, self.docs, self.reps, self.rep_at = np.zeros(0, np.uint8), np.zeros(1, np.int64), z, z, z
             return
         keys, again = np.concatenate(keys), np.concatenate(again)
-        order = np.argsort(keys)
-        begin, end = runs(keys[order])
-        keep = np.zeros(len(keys), bool)
-        keep[order] = np.repeat(end - begin > 1, end - begin)
-        keep |= again
+        keep = repeated(keys) | again
         parts, at = [], 0
         for blob, size, n in zip(table.column("data").to_pylist(), table.column("size").to_pylist(), counts):
             mine = keep[at:at + n]
@@ -210,6 +215,7 @@ class Unpacked:
         rep_at = np.cumsum(reps) - reps
         self.data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
         self.docs, self.reps, self.rep_at = docs[keep], reps[keep], rep_at[keep]
+        self.keys, self.again = keys[keep], again[keep]
         self.off = np.r_[0, np.cumsum(lens[keep])]
 
 
