@@ -167,8 +167,8 @@ def star_pairs(posted: DataFrame, signed: DataFrame) -> DataFrame:
     """(q, comp): each class with the leader that it collides with most, if the sketches agree."""
     leads = posted.groupBy("key").agg(F.min("cid").alias("lead"))
     met = (posted.join(leads, "key").where("cid <> lead").groupBy("cid", "lead").agg(F.count("*").alias("n"))
-           .groupBy("cid").agg(F.max(F.struct(F.col("n"), (-F.col("lead")).alias("first"))).alias("m"))
-           .select("cid", (-F.col("m.first")).alias("lead")))
+           .groupBy("cid").agg(F.max(F.struct(F.col("n"), F.bitwise_not("lead").alias("first"))).alias("m"))
+           .select("cid", F.bitwise_not("m.first").alias("lead")))
     sk = signed.select("cid", "sketch")
 
     def agree(batches):
