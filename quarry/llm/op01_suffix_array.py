@@ -258,23 +258,26 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) of every row."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = utf8(b.column("text"))
-            ns, s = list_values(b.column("starts"))
-            _, e = list_values(b.column("ends"))
-            size = np.diff(off)
-            row = np.repeat(np.arange(b.num_rows), ns)
-            s, e = np.minimum(s, size[row]), np.minimum(e, size[row])
-            row, s, e = merge_spans(row[s < e], s[s < e], e[s < e])
-            gone = np.zeros(len(data) + 1, np.int64)
-            np.add.at(gone, off[row] + s, 1)
-            np.add.at(gone, off[row] + e, -1)
-            stay = np.cumsum(gone[:-1]) == 0
-            left = np.r_[0, np.cumsum(stay)][off]
-            kept = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(left), pa.py_buffer(data[stay])])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(size), pa.array(size - np.diff(left)),
-                 pa.array(np.bincount(row, minlength=b.num_rows).astype(np.int64)), kept.cast(pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            text, off = utf8(b.column("text"))
+            ns, starts = list_values(b.column("starts"))
+            _, ends = list_values(b.column("ends"))
+            at = np.r_[0, np.cumsum(ns)]
+            for i, d, o in pieces(text, off):
+                n = len(o) - 1
+                size, span = np.diff(o), slice(at[i], at[i + n])
+                row = np.repeat(np.arange(n), ns[i:i + n])
+                s, e = np.minimum(starts[span], size[row]), np.minimum(ends[span], size[row])
+                row, s, e = merge_spans(row[s < e], s[s < e], e[s < e])
+                gone = np.zeros(len(d) + 1, np.int32)
+                np.add.at(gone, o[row] + s, 1)
+                np.add.at(gone, o[row] + e, -1)
+                stay = np.cumsum(gone[:-1], dtype=np.int32) == 0
+                left = o - np.r_[0, np.cumsum(np.bincount(row, weights=e - s, minlength=n).astype(np.int64))]
+                kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(left), pa.py_buffer(d[stay])])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(i, n), pa.array(size), pa.array(size - np.diff(left)),
+                     pa.array(np.bincount(row, minlength=n).astype(np.int64)), kept.cast(pa.binary())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     keyed = key_text(docs, id_col, text_col).join(spans, "doc_id", "left")
     return keyed.mapInArrow(task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumn(
