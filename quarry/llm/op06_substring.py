@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (SPACED, U64, key_text, merge_spans, mix, n_buckets, prefix_hash, ranges, restore_id, sliding_min,
+from .common import (SPACED, U64, key_text, merge_spans, mix, n_buckets, pieces, prefix_hash, ranges, restore_id, sliding_min,
                      span_hash, text_bytes, utf8, word_pieces, word_spans)
 from .superkmer import (FLUSH_BYTES, PACKED, SPANS, Bundles, Unpacked, by_document, list_values, same_strings, spans_table,
                         window_runs)
@@ -113,28 +113,30 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     """(doc_id, n_words, n_removed, kept): the kept words joined by one space."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = utf8(b.column("text"))
+            text, off = utf8(b.column("text"))
             ns, s = list_values(b.column("starts"))
             _, e = list_values(b.column("ends"))
             at = np.r_[0, np.cumsum(ns)]
-            words, removed, kept = [], [], []
-            for r in range(b.num_rows):
-                raw = data[off[r]:off[r + 1]]
-                starts, ends, _ = word_spans(raw, np.array([0, len(raw)], np.int64), SPACED)
-                gone = np.zeros(len(starts) + 1, np.int64)
-                np.add.at(gone, np.minimum(s[at[r]:at[r + 1]], len(starts)), 1)
-                np.add.at(gone, np.minimum(e[at[r]:at[r + 1]], len(starts)), -1)
-                stay = np.cumsum(gone[:-1]) == 0
-                size = ends[stay] - starts[stay]
-                put = np.cumsum(size + 1) - (size + 1)
-                out = np.full(max(0, int(size.sum()) + len(size) - 1), 0x20, np.uint8)
-                out[ranges(put, size)] = raw[ranges(starts[stay], size)]
-                words.append(len(starts))
-                removed.append(int((~stay).sum()))
-                kept.append(out.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"])
+            for i, d, o in pieces(text, off):
+                words, removed, kept = [], [], []
+                for r in range(len(o) - 1):
+                    raw = d[o[r]:o[r + 1]]
+                    span = slice(at[i + r], at[i + r + 1])
+                    starts, ends, _ = word_spans(raw, np.array([0, len(raw)], np.int64), SPACED)
+                    gone = np.zeros(len(starts) + 1, np.int64)
+                    np.add.at(gone, np.minimum(s[span], len(starts)), 1)
+                    np.add.at(gone, np.minimum(e[span], len(starts)), -1)
+                    stay = np.cumsum(gone[:-1]) == 0
+                    size = ends[stay] - starts[stay]
+                    put = np.cumsum(size + 1) - (size + 1)
+                    out = np.full(max(0, int(size.sum()) + len(size) - 1), 0x20, np.uint8)
+                    out[ranges(put, size)] = raw[ranges(starts[stay], size)]
+                    words.append(len(starts))
+                    removed.append(int((~stay).sum()))
+                    kept.append(out.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(i, len(words)), pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
+                     pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     keyed = key_text(docs, id_col, text_col).join(spans, "doc_id", "left")
     return keyed.mapInArrow(task, "doc_id long, n_words long, n_removed long, kept string").withColumn("doc_id", restore_id())
