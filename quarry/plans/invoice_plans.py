@@ -397,8 +397,7 @@ lexpected AS (
          CASE layout WHEN 0 THEN t_issuer WHEN 1 THEN 'To: ' || t_recipient
                      WHEN 2 THEN 'Billed to: ' || t_recipient WHEN 3 THEN 'Buyer: ' || t_recipient
                      ELSE 'Dear ' || t_recipient END AS issuer,
-         CASE layout WHEN 0 THEN 'Blue Sky Retail' WHEN 3 THEN t_issuer || '.'
-                     WHEN 4 THEN t_issuer || ' at your earliest convenience.' ELSE t_recipient END AS recipient,
+         CASE WHEN layout = 0 THEN 'Blue Sky Retail' WHEN layout IN (1, 2) THEN t_recipient END AS recipient,
          t_total AS total
   FROM inv
 )"""
@@ -425,8 +424,12 @@ for _f in fixed.FIELDS:
         (lambda f: lambda spark, sf_dir: _layout(spark, sf_dir).select("doc_id", f))(_f))
 
 
-@register("extract_invoice_fields", WITH_LEXPECTED + """
-SELECT doc_id, invoice_number, invoice_date, due_date, issuer, recipient, total FROM lexpected""")
+@register("extract_invoice_fields", WITH_EXPECTED + ",\n" + LAYOUT_EXPECTED_CTE.strip() + """
+SELECT t.doc_id, coalesce(l.invoice_number, t.invoice_number) AS invoice_number,
+       coalesce(l.invoice_date, t.invoice_date) AS invoice_date, coalesce(l.due_date, t.due_date) AS due_date,
+       coalesce(l.issuer, t.issuer) AS issuer, coalesce(l.recipient, t.recipient) AS recipient,
+       coalesce(l.total, t.total) AS total
+FROM expected t JOIN lexpected l ON t.doc_id = l.doc_id""")
 def q_extract_invoice_fields(spark, sf_dir):
     inv = _inv(spark, sf_dir)
     return el.merge_layout_text(et.extract_from_text(inv), el.extract_from_words(word_boxes(inv)))
@@ -448,11 +451,11 @@ def q_merge_layout_text(spark, sf_dir):
 @register("first_nonnull_across_pages", WITH_LEXPECTED + """
 SELECT doc_id, invoice_number, invoice_date, due_date, issuer, recipient, total FROM lexpected""")
 def q_first_nonnull_across_pages(spark, sf_dir):
-    """Page 1 = the invoice, page 2 = a blank-labelled copy with no values:
-    the merge must keep page 1's values."""
+    """Page 1 = the invoice, page 2 = the same page with every word replaced,
+    so without labels and values: the merge must keep page 1's values."""
     inv = _inv(spark, sf_dir)
     wb = word_boxes(inv)
-    noise = wb.where(F.col("idx") < 1000).withColumn("page", F.lit(2)).withColumn("text", F.lit("Notes"))
+    noise = wb.withColumn("page", F.lit(2)).withColumn("text", F.lit("Notes"))
     return el.first_across_pages(el.extract_from_pages(el.pages(wb.unionByName(noise))))
 
 

@@ -1,8 +1,8 @@
 """Invoices rendered from the order tables, with their truth and word boxes.
 
-One invoice per order that has line items. The five layouts follow the five
-synthetic invoice styles of the source corpus; values come from the order row,
-so the truth is a plain projection. Party names are neutral (no label words).
+One invoice per order that has line items, in five layouts that use the labels
+the rules look for; values come from the order row, so the truth is a plain
+projection. Party names are neutral (no label words).
 
 The layouts are data (``LAYOUTS``): one spec renders the text both as a Spark
 expression and as DuckDB SQL, so oracles see byte-identical text. Money is
@@ -30,6 +30,7 @@ TERMS = "Net 30"
 DUE_DAYS = 30
 NUMBER_OFFSET = 1000
 PO_OFFSET = 10000
+LINE_STRIDE = 1 << 32          # a word's idx: line number, then place in the line
 
 
 class V(str):
@@ -41,35 +42,29 @@ NUM, ISSUE, DUE, ISSUER, RECIP, TOTAL, SUB, TAX, UNIT, QTY, PCT, CUR, ITEM, PO =
     V("tax"), V("unit"), V("qty"), V("pct"), V("cur"), V("item"), V("po"))
 
 LAYOUTS = [
-    # 0: tax invoice
-    [ISSUER, "\nTAX INVOICE\nInvoice No: ", NUM, "\nInvoice Date: ", ISSUE, "\nDue Date: ", DUE,
-     "\nPayment Terms: " + TERMS + "\n\nBill To:\n", RECIP, "\n\nDescription: ", ITEM,
-     "\nQty: ", QTY, "  Unit Price: ", CUR, " ", UNIT, "  Amount: ", CUR, " ", SUB,
-     "\n\nSubtotal: ", CUR, " ", SUB, "\nTax (", PCT, "%): ", CUR, " ", TAX,
-     "\nTotal Amount Due: ", CUR, " ", TOTAL, "\n\nPlease remit payment by ", DUE,
-     ".\nThank you for your business."],
+    # 0: tax invoice, values behind or below their labels
+    [ISSUER, "\nTax invoice, first copy\nInvoice No: ", NUM, "\nInvoice Date: ", ISSUE, "\nDue Date: ", DUE,
+     "\n\nBill To:\n", RECIP, "\n\nOrdered: ", ITEM, "\nPieces: ", QTY, "\nPrice of one piece: ", CUR, " ", UNIT,
+     "\n\nSubtotal: ", CUR, " ", SUB, "\nTax of ", PCT, "%: ", CUR, " ", TAX,
+     "\nTotal Amount Due: ", CUR, " ", TOTAL, "\n\nDelivered on terms " + TERMS + "."],
     # 1: from / to
-    ["INVOICE\nFrom: ", ISSUER, "\nTo: ", RECIP, "\nInvoice Number: ", NUM, "    Date: ", ISSUE,
-     "\nPayment Due: ", DUE, "    Terms: " + TERMS + "\n\nItem: ", ITEM, "\nQuantity: ", QTY,
-     "  Rate: ", CUR, " ", UNIT, "  Total: ", CUR, " ", SUB, "\n\nGrand Total: ", CUR, " ", TOTAL,
-     "\nBalance Due: ", CUR, " ", TOTAL, "\n\nPayment terms: " + TERMS
-     + ". Late payments subject to 1.5% monthly interest."],
+    ["Invoice for delivered goods\nFrom: ", ISSUER, "\nTo: ", RECIP, "\nInvoice Number: ", NUM, "\nDate: ", ISSUE,
+     "\nPayment Due: ", DUE, "\n\n", QTY, " pieces of ", ITEM, " at ", CUR, " ", UNIT,
+     "\n\nGrand Total: ", CUR, " ", TOTAL, "\nBalance Due: ", CUR, " ", TOTAL,
+     "\n\nWe sell on terms " + TERMS + " only."],
     # 2: issued by / billed to
-    ["Invoice ", NUM, "\nIssued by: ", ISSUER, "\nBilled to: ", RECIP, "\nDate of issue: ", ISSUE,
-     "  Due: ", DUE, "\n\nServices rendered:\n  ", ITEM, ": ", QTY, " x ", CUR, " ", UNIT,
-     " = ", CUR, " ", SUB, "\n\nSubtotal ", CUR, " ", SUB, "\nVAT ", PCT, "% ", CUR, " ", TAX,
-     "\nTotal ", CUR, " ", TOTAL, "\n\nPlease pay by ", DUE, ". Reference: ", NUM, "."],
+    ["Invoice ", NUM, "\nIssued by: ", ISSUER, "\nBilled to: ", RECIP, "\nDate of issue: ", ISSUE, "\nPayment Due: ", DUE,
+     "\n\nWork on ", ITEM, "\n", QTY, " hours at ", CUR, " ", UNIT,
+     "\n\nSubtotal ", CUR, " ", SUB, "\nVAT ", PCT, "% ", CUR, " ", TAX, "\nTotal ", CUR, " ", TOTAL,
+     "\n\nName ", NUM, " in your transfer."],
     # 3: seller / buyer
-    ["COMMERCIAL INVOICE\nSeller: ", ISSUER, "\nBuyer: ", RECIP, "\nPO Number: ", PO,
-     "\nInvoice Date: ", ISSUE, "\nPayment Due: ", DUE, "\nTerms: " + TERMS + "\n\nDescription: ", ITEM,
-     "\nUnit price: ", CUR, " ", UNIT, "  Qty: ", QTY, "  Line total: ", CUR, " ", SUB,
+    ["Commercial invoice\nSeller: ", ISSUER, "\nBuyer: ", RECIP, "\nPO Number: ", PO, "\nInvoice Date: ", ISSUE,
+     "\nPayment Due: ", DUE, "\n\nGoods: ", ITEM, "\nPieces: ", QTY, "\nPrice of one piece: ", CUR, " ", UNIT,
      "\n\nInvoice total: ", CUR, " ", TOTAL, "\nAmount due: ", CUR, " ", TOTAL,
-     "\n\nWire transfer or cheque payable to ", ISSUER, ".\nInvoice ID: ", NUM],
-    # 4: e-mail
-    ["Dear ", RECIP, ",\n\nPlease find attached invoice ", NUM, " for ", ITEM,
-     " provided in the period ending ", ISSUE, ".\n\nAmount due: ", CUR, " ", TOTAL,
-     " (incl. ", PCT, "% tax)\nPayment terms: " + TERMS + "\nDue date: ", DUE,
-     "\n\nPlease remit payment to ", ISSUER, " at your earliest convenience.\nKind regards,\n", ISSUER],
+     "\n\nShipped under terms " + TERMS + ".\nInvoice ID: ", NUM],
+    # 4: letter
+    ["Dear ", RECIP, ",\n\nthis invoice covers ", ITEM, " until ", ISSUE, ", our reference is ", NUM,
+     ".\n\nAmount due: ", CUR, " ", TOTAL, " with ", PCT, "% tax\nDue date: ", DUE, "\n\nYours,\n", ISSUER],
 ]
 
 TRUTH = {"invoice_number": NUM, "invoice_date": ISSUE, "due_date": DUE,
@@ -246,7 +241,7 @@ def word_boxes(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return words.select(
         "doc_id",
         F.lit(1).alias("page"),
-        (F.col("line_no") * 1000 + F.col("pos")).cast("long").alias("idx"),
+        (F.col("line_no").cast("long") * LINE_STRIDE + F.col("pos")).alias("idx"),
         F.col("w.text").alias("text"),
         x0.alias("x0"),
         (x0 + F.length("w.text") * 6).cast("double").alias("x1"),
@@ -259,7 +254,7 @@ def word_boxes(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def word_boxes_sql(inv: str = "inv") -> str:
     """DuckDB SELECT of the same word boxes from table ``inv``."""
     return f"""
-SELECT doc_id, 1 AS page, CAST(line_no * 1000 + pos AS BIGINT) AS idx, w AS text,
+SELECT doc_id, 1 AS page, CAST(line_no AS BIGINT) * {LINE_STRIDE} + pos AS idx, w AS text,
        CAST(off * 6 AS DOUBLE) AS x0, CAST(off * 6 + length(w) * 6 AS DOUBLE) AS x1,
        CAST(line_no * 12 AS DOUBLE) AS top, CAST(line_no * 12 + 10 AS DOUBLE) AS bottom, -1 AS conf
 FROM (
