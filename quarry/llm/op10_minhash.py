@@ -9,8 +9,8 @@ class, and the smallest id stands for it. Each class has a MinHash signature:
   for counting collisions without reading the sets.
 
 Two sets with similarity 0.8 agree in fewer than ``MATCH`` of 64 coordinates,
-or in fewer than ``SKETCH_MATCH`` of 256 sketch bytes, about once in a million
-times; both bounds are far below 0.8, so no cap or bucket limit is needed.
+or in fewer than ``SKETCH_MATCH`` of 512 sketch bytes, less than once in a
+million times; no list, bucket or number of partners is capped.
 
 Prefix: with all pairs in one order, rarest first, two signatures that agree
 in MATCH pairs share one among their first COORDS - MATCH + 1. Pairs held by a
@@ -51,7 +51,7 @@ from .common import (NULL_ID, SPACED, U64, cut, hot_join, key_text, mix, restore
 from .components import components
 
 COORDS, MATCH = 64, 34
-SKETCH, SKETCH_MATCH = 256, 172
+SKETCH, SKETCH_MATCH = 512, 362
 BLOCK = 2048                     # members of a list or component that meet in one task
 QUERIES = 4096                   # queries against one block
 _R = np.random.default_rng(20)
@@ -327,10 +327,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
             .dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("cid"), "text_key", "keys", "sketch"))
     lead = cut(lead, "minhash-heads")
     posted = cut(postings(lead), "minhash-postings")
-    asked = posted.select("cid").distinct()
-    sets = cut(keyed.join(heads.join(asked, "cid", "left_semi").withColumnRenamed("cid", "doc_id"), ["doc_id", "text_key"], "left_semi")
-               .select(F.col("doc_id").alias("cid"), "text").mapInArrow(set_bytes(shingle), "cid long, set binary"), "minhash-sets")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """(cid, set) of the classes asked about, from their texts."""
+        wanted = cut(heads.join(ids, "cid", "left_semi").withColumnRenamed("cid", "doc_id"), "minhash-wanted")
+        return cut(keyed.join(wanted, ["doc_id", "text_key"], "left_semi").select(F.col("doc_id").alias("cid"), "text")
+                   .mapInArrow(set_bytes(shingle), "cid long, set binary"), "minhash-sets")
+
     asks = cut(star_pairs(posted, lead), "minhash-star")
+    sets = sets_of(asks.select(F.col("q").alias("cid")).unionByName(asks.select(F.col("comp").alias("cid"))).distinct())
     star = confirm(asks, asks.select(F.col("comp").alias("cid"), "comp").distinct(), sets, num, den)
     star = cut(star, "minhash-links")
     labels = components(star)
@@ -338,6 +343,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     # a component's members: the labelled ones, and classes that stand alone
     alone = asks.select("comp").distinct().join(labels.select(F.col("id").alias("comp")), "comp", "left_anti")
     members = labels.select(F.col("id").alias("cid"), "comp").unionByName(alone.select(F.col("comp").alias("cid"), "comp"))
+    asked = asks.select(F.col("q").alias("cid")).unionByName(
+        members.join(asks.select("comp").distinct(), "comp", "left_semi").select("cid")).distinct()
+    sets = sets.unionByName(sets_of(asked.join(sets.select("cid"), "cid", "left_anti")))
     links = star.unionByName(confirm(asks, members, sets, num, den))
     labels = components(links)
     found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(
