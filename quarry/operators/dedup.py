@@ -34,7 +34,7 @@ def show_all_duplicates(df: DataFrame, text: str) -> DataFrame:
     AQE broadcasts the key set when small and splits skewed partitions of
     the sort-merge join otherwise.
     """
-    keyed = df.withColumn("_k", text_key(text))
+    keyed = df.withColumn("_k", F.coalesce(text_key(text), F.lit("null")))
     dups = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("n_copies")).where(F.col("n_copies") > 1)
     return keyed.join(dups, "_k", "inner").drop("_k")
 

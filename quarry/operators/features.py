@@ -27,8 +27,11 @@ def unigrams(text) -> Column:
 def tokens_ngrams(text, ngram_max: int = 2) -> Column:
     """1-grams and (when ngram_max = 2) 2-grams of the non-stop tokens."""
     u = unigrams(text)
-    if ngram_max < 2:
-        return u
+    return u if ngram_max < 2 else with_bigrams(u)
+
+
+def with_bigrams(u: Column) -> Column:
+    """An array of tokens, then its neighbouring pairs."""
     n = F.size(u)
     bi = F.when(n > 1, F.zip_with(F.slice(u, 1, n - 1), F.slice(u, 2, n - 1),
                                  lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))

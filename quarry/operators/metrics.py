@@ -45,8 +45,9 @@ def per_class(preds: DataFrame, label: str = "label", pred: str = "prediction")
 def confusion_matrix(preds: DataFrame, labels: list[str], label: str = "label",
                      pred: str = "prediction") -> DataFrame:
     """Actual x predicted, fixed label order, zeros kept."""
-    return (preds.groupBy(F.col(label).alias("label")).pivot(pred, labels)
-            .agg(F.count(F.lit(1))).na.fill(0))
+    counts = preds.groupBy(F.col(label).alias("label")).pivot(pred, labels).agg(F.count(F.lit(1)))
+    fixed = preds.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    return fixed.join(counts, "label", "left").na.fill(0)
 
 
 def summary(preds: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -61,19 +62,15 @@ def summary(preds: DataFrame, label: str = "label", pred: str = "prediction") ->
 
 def classification_report(preds: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """Per class precision / recall / f1 / support, plus macro and weighted rows."""
-    pcs = per_class(preds, label, pred).cache()
-    rows = pcs.select("class", F.round("precision", R).alias("precision"), F.round("recall", R).alias("recall"),
-                      F.round("f1", R).alias("f1"), "support")
-    macro = pcs.agg(F.lit("macro avg").alias("class"), F.round(F.avg("precision"), R).alias("precision"),
-                    F.round(F.avg("recall"), R).alias("recall"), F.round(F.avg("f1"), R).alias("f1"),
-                    F.sum("support").alias("support"))
-    sw = F.sum("support")
-    weighted = pcs.agg(F.lit("weighted avg").alias("class"),
-                       F.round(F.sum(F.col("precision") * F.col("support")) / sw, R).alias("precision"),
-                       F.round(F.sum(F.col("recall") * F.col("support")) / sw, R).alias("recall"),
-                       F.round(F.sum(F.col("f1") * F.col("support")) / sw, R).alias("f1"),
-                       sw.alias("support"))
-    return rows.unionByName(macro).unionByName(weighted)
+    # one pass: a class counts for its own row and for both averages
+    per = per_class(preds, label, pred)
+    row = lambda kind, name, weight: F.struct(F.lit(kind).alias("kind"), name.alias("class"), weight.cast("double").alias("w"))
+    spread = per.select("precision", "recall", "f1", "support", F.explode(F.array(
+        row(0, F.col("class"), F.lit(1)), row(1, F.lit("macro avg"), F.lit(1)),
+        row(2, F.lit("weighted avg"), F.col("support")))).alias("r"))
+    mean = lambda c: F.round(F.try_divide(F.sum(F.col(c) * F.col("r.w")), F.sum("r.w")), R).alias(c)
+    return (spread.groupBy("r.kind", "r.class").agg(mean("precision"), mean("recall"), mean("f1"), F.sum("support").alias("support"))
+            .drop("kind"))
 
 
 def fold_mean_std(scores: DataFrame, metric: str, group: str = "model") -> DataFrame:

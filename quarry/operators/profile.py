@@ -32,12 +32,14 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, F.round(F.col("count") * 100.0 / tot, 2).alias("pct"))
 
 
-def describe(df: DataFrame, cols: list[str], group: str | None = None) -> DataFrame:
-    """count, mean, sample std, min, quartiles (linear), max per column."""
+def describe(df: DataFrame, cols: list[str], group: str | None = None, quartile_digits: int | None = None) -> DataFrame:
+    """count, mean, sample std, min, quartiles (linear), max per column.
+    ``quartile_digits`` rounds the values that the quartiles see, which bounds
+    their state for ratios; all other statistics use the values as they are."""
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75])
+        q = F.percentile(x if quartile_digits is None else F.round(x, quartile_digits), [0.25, 0.5, 0.75])
         aggs = [
             F.count(x).alias("count"), F.round(F.avg(x), R).alias("mean"),
             F.round(F.stddev_samp(x), R).alias("std"), F.min(x).alias("min"),
@@ -45,7 +47,8 @@ def describe(df: DataFrame, cols: list[str], group: str | None = None) -> DataFr
             F.round(q[2], R).alias("p75"), F.max(x).alias("max"),
         ]
         g = df.groupBy(group) if group else df
-        parts.append(g.agg(*aggs).withColumn("column", F.lit(c)))
+        named = g.agg(*aggs)
+        parts.append(named.select(*([group] if group else []), F.lit(c).alias("column"), *named.columns[1 if group else 0:]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -74,9 +77,10 @@ def text_quality_counts(df: DataFrame, text: str, under: int = 20) -> DataFrame:
 
 
 def text_key(c) -> Column:
-    """Compact grouping key for long texts: 256-bit digest plus length."""
+    """Compact key for long texts: 256-bit digest plus length. The key of a
+    null text is null: no value in distinct counts, one group in groupings."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.concat_ws(":", F.sha2(col, 256), F.length(col).cast("string"))
+    return F.concat(F.sha2(col, 256), F.lit(":"), F.length(col).cast("string"))
 
 
 def duplicate_rate(df: DataFrame, text: str) -> DataFrame:
@@ -152,12 +156,11 @@ def length_histogram(df: DataFrame, c: str, bins: int, group: str | None = None)
 
 
 def noise_profile(df: DataFrame, text: str) -> DataFrame:
-    """describe of the four ratios. Ratios are rounded to 1e-6 first, which
-    caps the exact-quartile state at 10^6 distinct values whatever the
-    corpus size (lengths are integers and bounded already)."""
+    """describe of the four ratios. Only the quartiles see ratios rounded to
+    1e-6, which caps their state at 10^6 distinct values whatever the corpus
+    size (lengths are integers and bounded already)."""
     ratios = noise_ratios(text)
-    d = df.select(*[F.round(v, 6).alias(k) for k, v in ratios.items()])
-    return describe(d, list(ratios))
+    return describe(df.select(*[v.alias(k) for k, v in ratios.items()]), list(ratios), quartile_digits=6)
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

@@ -70,12 +70,12 @@ idf AS (SELECT term, "index", ln((1 + n) / (1 + df)) + 1 AS idf
 @register("tokens_ngrams", f"""
 WITH {TERMS_SQL}
 SELECT doc_id, CAST(len(u) AS INTEGER) AS n_unigrams, CAST(greatest(len(u) - 1, 0) AS INTEGER) AS n_bigrams,
-       array_to_string(u[1:5], '|') AS first_terms FROM toks""")
+       array_to_string(u || list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1]), '|') AS terms FROM toks""")
 def q_tokens_ngrams(spark, sf_dir):
     d = cleaned(spark, sf_dir).select("doc_id", fe.unigrams("text").alias("u"))
     return d.select("doc_id", F.size("u").alias("n_unigrams"),
                     F.greatest(F.size("u") - 1, F.lit(0)).alias("n_bigrams"),
-                    F.array_join(F.slice("u", 1, 5), "|").alias("first_terms"))
+                    F.array_join(fe.with_bigrams(F.col("u")), "|").alias("terms"))
 
 
 @register("stratified_split", f"WITH {RANKED_SQL} SELECT doc_id, label, split FROM splits")
@@ -225,3 +225,14 @@ def q_fold_mean_std(spark, sf_dir):
     p = rule_predictions(spark, sf_dir).join(folds, "doc_id")
     scores = p.groupBy("fold").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
     return mt.fold_mean_std(scores.withColumn("model", F.lit("lang_rule")), "accuracy")
+
+
+# Integer widths as Spark returns them.
+from . import sql as S  # noqa: E402
+
+for _name, _types in {
+    'vocabulary': {'cf': 'BIGINT'},
+    'confusion_matrix': {'de': 'BIGINT', 'en': 'BIGINT', 'es': 'BIGINT', 'fr': 'BIGINT'},
+    'classification_report': {'support': 'BIGINT'},
+}.items():
+    ORACLES[_name] = S.typed(ORACLES[_name], **_types)

@@ -663,3 +663,12 @@ def q_invoice_override(spark, sf_dir):
         "doc_id", pred.alias("label"), F.lit(1.0).alias("confidence"),
         F.create_map(pred, F.lit(1.0)).alias("proba"), tx.signal_count("text").alias("n_signals"))
     return _tr.invoice_override(scored).select("doc_id", "label", "confidence", "overridden")
+
+
+# Integer widths as Spark returns them.
+for _name, _types in {
+    'field_recall': {'gt_present': 'BIGINT', 'hits': 'BIGINT'},
+    'field_match_rates': {'n_with_gt': 'BIGINT'},
+    'invoice_override': {'confidence': 'DOUBLE'},
+}.items():
+    ORACLES[_name] = S.typed(ORACLES[_name], **_types)

@@ -56,14 +56,15 @@ def q_class_share(spark, sf_dir):
     return pf.class_share(docs(spark, sf_dir), "lang")
 
 
-def _describe_sql(expr: str, name: str, src: str, group: str | None = None) -> str:
+def _describe_sql(expr: str, name: str, src: str, group: str | None = None, quartile_digits: int | None = None) -> str:
     g = f"{group}, " if group else ""
     gb = f" GROUP BY {group}" if group else ""
     x = _dbl(expr)
+    qx = x if quartile_digits is None else f"round({x}, {quartile_digits})"
     return (f"SELECT {g}'{name}' AS \"column\", count({x}) AS count, round(avg({x}), {ROUND}) AS mean, "
             f"round(stddev_samp({x}), {ROUND}) AS std, min({x}) AS min, "
-            f"round(quantile_cont({x}, 0.25), {ROUND}) AS p25, round(quantile_cont({x}, 0.5), {ROUND}) AS p50, "
-            f"round(quantile_cont({x}, 0.75), {ROUND}) AS p75, max({x}) AS max FROM {src}{gb}")
+            f"round(quantile_cont({qx}, 0.25), {ROUND}) AS p25, round(quantile_cont({qx}, 0.5), {ROUND}) AS p50, "
+            f"round(quantile_cont({qx}, 0.75), {ROUND}) AS p75, max({x}) AS max FROM {src}{gb}")
 
 
 def _measures(df: DataFrame) -> DataFrame:
@@ -174,7 +175,7 @@ RATIOS_SQL = {
 
 
 @register("noise_profile", " UNION ALL ".join(
-    _describe_sql(f"round({v}, 6)", k, "documents") for k, v in RATIOS_SQL.items()))
+    _describe_sql(v, k, "documents", quartile_digits=6) for k, v in RATIOS_SQL.items()))
 def q_noise_profile(spark, sf_dir):
     return pf.noise_profile(docs(spark, sf_dir), "text")
 
@@ -247,6 +248,15 @@ def q_length_histogram(spark, sf_dir):
     return pf.length_histogram(_measures(docs(spark, sf_dir)), "num_words", 50)
 
 
+@register("length_histogram_by_label", f"""
+WITH x AS (SELECT lang, {_dbl(NW)} AS x FROM documents), b AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
+h AS (SELECT lang, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / ((hi - lo) / 50)), 49) END AS INTEGER) AS bin, lo, hi
+      FROM x, b WHERE x IS NOT NULL)
+SELECT lang, bin, count(*) AS count, round(lo + bin * ((hi - lo) / 50), {ROUND}) AS left_edge FROM h GROUP BY lang, bin, lo, hi""")
+def q_length_histogram_by_label(spark, sf_dir):
+    return pf.length_histogram(_measures(docs(spark, sf_dir)), "num_words", 50, group="lang")
+
+
 @register("dataset_checks", f"""
 SELECT 'news' AS dataset, count(*) AS n_rows, 3 AS n_columns, count_if({S.strip("coalesce(text, '')")} = '') AS n_blank,
        count(*) - count(DISTINCT text) AS n_duplicates, count(DISTINCT lang) AS n_labels FROM documents
@@ -393,18 +403,14 @@ def q_enough_text(spark, sf_dir):
 
 # -- joins and name sets ----------------------------------------------------------------
 
-NAMES_L = "(SELECT DISTINCT p_brand || ' ' || p_name AS p_name FROM part WHERE p_size < 25)"
-NAMES_R = ("(SELECT DISTINCT p_brand || ' ' || p_name AS p_name FROM part JOIN lineitem ON p_partkey = l_partkey "
-           "WHERE l_returnflag = 'R')")
+# The words of all news texts and the words of all email texts.
+NAMES_L = f"(SELECT DISTINCT word AS p_name FROM {TOKENS_SQL})"
+NAMES_R = "(SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}')) AS p_name FROM conversations)"
 
 
 def _names(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_size", F.concat_ws(" ", "p_brand", "p_name").alias("p_name"))
-    left = part.where(F.col("p_size") < 25).select("p_name").distinct()
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select("l_partkey")
-    right = part.join(li, part.p_partkey == li.l_partkey, "inner").select("p_name").distinct()
-    return left, right
+    words = lambda df: df.select(F.explode(pf.tokens("text")).alias("p_name")).distinct()
+    return words(docs(spark, sf_dir)), words(table(spark, sf_dir, "conversations"))
 
 
 @register("names_in_both", f"SELECT p_name FROM {NAMES_L} WHERE p_name IN {NAMES_R}")
@@ -436,9 +442,8 @@ def q_join_row_to_file(spark, sf_dir):
 @register("attach_columns", f"""
 SELECT doc_id, {NW} AS num_words, length(text) AS num_chars, lang FROM documents""")
 def q_attach_columns(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    stats = d.select("doc_id", tx.n_words("text").alias("num_words"), F.char_length("text").alias("num_chars"))
-    return stats.join(d.select("doc_id", "lang"), "doc_id", "inner")
+    return docs(spark, sf_dir).select("doc_id", tx.n_words("text").alias("num_words"),
+                                      F.char_length("text").alias("num_chars"), "lang")
 
 
 @register("guess_type", "SELECT p_partkey, CASE " + " ".join(
@@ -565,8 +570,20 @@ def q_strip_signal_tokens(spark, sf_dir):
 @register("softmax", """
 SELECT vec_id, list_transform(e, lambda x: round(x / list_sum(e), 6)) AS probs
 FROM (SELECT vec_id, list_transform(v, lambda x: exp(x - list_max(v))) AS e
-      FROM (SELECT vec_id, list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings))""")
+      FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings))""")
 def q_softmax(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    v = F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double"))
+    v = F.transform("embedding", lambda x: x.cast("double"))
     return e.select("vec_id", F.transform(tx.softmax(v), lambda x: F.round(x, 6)).alias("probs"))
+
+
+# Integer widths as Spark returns them.
+for _name, _types in {
+    'null_profile': {'n_null': 'BIGINT'},
+    'text_quality_counts': {'empty': 'BIGINT', 'under_20_words': 'BIGINT'},
+    'corpus_summary': {'n_under_5_words': 'BIGINT', 'n_over_500_words': 'BIGINT'},
+    'dataset_checks': {'n_blank': 'BIGINT'},
+    'attach_columns': {'num_chars': 'INTEGER'},
+    'text_measures': {'num_chars': 'INTEGER'},
+}.items():
+    ORACLES[_name] = S.typed(ORACLES[_name], **_types)

@@ -128,3 +128,10 @@ def re2_unicode(p: str) -> str:
 def q(s: str) -> str:
     """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
+
+
+def typed(sql: str, **types: str) -> str:
+    """The query with some columns cast, so both engines return one type
+    (sums and conditional counts are wider integers in the oracle's engine)."""
+    casts = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in types.items())
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"

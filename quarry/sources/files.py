@@ -8,8 +8,6 @@ expressions, so listing and reading are distributed like any file scan.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,18 +42,33 @@ def read_binary_filtered(spark: SparkSession, path: str, exts: list[str]) -> Dat
     return _binary(spark, path).where(ext.isin([e.lower() for e in exts])).select("path", "length", "content")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Header CSV with quoted multi-line fields, explicit schema."""
-    return (spark.read.schema(schema).option("header", "true").option("multiLine", "true")
-            .option("quote", '"').option("escape", '"').csv(path))
+NULL_MARK = "\\N"            # how ``write_results`` spells null in CSV; the empty string stays itself
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, null_mark: str = "") -> DataFrame:
+    """Header CSV with quoted multi-line fields. Without a schema all columns
+    are strings named by the header. ``null_mark`` is read as null: the empty
+    field of ordinary files, NULL_MARK for files of ``write_results``. Blanks
+    at the ends of fields stay."""
+    reader = (spark.read.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+              .option("nullValue", null_mark).option("emptyValue", ""))
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does the path exist in the store that it names (any Hadoop file system)?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_table_with_fallback(spark: SparkSession, primary: str, secondary: str, columns: list[str]) -> DataFrame:
-    """First existing path of two (parquet or CSV by extension), else raise."""
+def read_table_with_fallback(spark: SparkSession, primary: str, secondary: str, columns: list[str],
+                             schema: StructType | str | None = None) -> DataFrame:
+    """First existing path of two (CSV by extension, with ``schema``; else
+    parquet), else raise."""
     for p in (primary, secondary):
-        if os.path.exists(p):
-            df = spark.read.parquet(p) if not p.endswith(".csv") else read_csv(spark, p, None)
-            return df.select(*columns)
+        if path_exists(spark, p):
+            return (read_csv(spark, p, schema) if p.endswith(".csv") else spark.read.parquet(p)).select(*columns)
     raise FileNotFoundError(f"neither {primary} nor {secondary} exists")
 
 
@@ -67,10 +80,12 @@ def write_text_tree(df: DataFrame, path: str, label: str = "label", text: str =
 
 def write_results(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Result rows as CSV (header) or parquet; the task commit protocol makes
-    finished tasks durable and a rerun overwrites."""
+    finished tasks durable and a rerun overwrites. Null is spelled NULL_MARK,
+    the empty string is quoted, and blanks at the ends of fields stay."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").option("escape", '"').csv(path)
+        (w.option("header", "true").option("escape", '"').option("nullValue", NULL_MARK).option("emptyValue", '""')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
     else:
         w.parquet(path)
 
