@@ -329,9 +329,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     posted = cut(postings(lead), "minhash-postings")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        """(cid, set) of the classes asked about, from their texts."""
+        """(cid, set) of the classes asked about, from their texts. Their
+        number grows with the input, so the texts go by sort-merge at any size."""
         wanted = cut(heads.join(ids, "cid", "left_semi").withColumnRenamed("cid", "doc_id"), "minhash-wanted")
-        return cut(keyed.join(wanted, ["doc_id", "text_key"], "left_semi").select(F.col("doc_id").alias("cid"), "text")
+        return cut(keyed.join(wanted.hint("merge"), ["doc_id", "text_key"], "left_semi").select(F.col("doc_id").alias("cid"), "text")
                    .mapInArrow(set_bytes(shingle), "cid long, set binary"), "minhash-sets")
 
     asks = cut(star_pairs(posted, lead), "minhash-star")

@@ -28,7 +28,7 @@ from .common import U64, merge_spans, ranges, runs
 MAX_RUN = 1024                     # windows per packed string
 FLUSH_BYTES = 8 << 20              # text per bundle
 CONFIRM = 1 << 20                  # bytes compared at once
-LEVEL = 3                          # of zstd
+LEVEL = 5                          # of zstd
 PACKED = "bucket long, data binary, size long, numbers binary, cover binary"
 PACKED_NAMES = [x.split()[0] for x in PACKED.split(", ")]
 SPANS = "doc_id long, starts array<long>, ends array<long>"
