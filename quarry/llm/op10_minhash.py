@@ -18,16 +18,20 @@ single class come first and cannot match, so most classes post little or
 nothing. Merging skips in two steps:
 
 1. star: in every posting list the smallest id leads; each class takes the
-   leader it collides with most often, the sketches are compared and the
-   pair is confirmed on the full sets. This costs one pair per class and joins
-   the bulk of every group of near copies.
-2. lists: a list whose members are already one component is skipped. In the
-   others only members of different components are compared, by sketch; a
-   match asks whether one class belongs to a whole component, and is answered
-   on the full sets of that component. So what is left over is decided
-   exactly, without emitting the pairs inside a group.
-
-Long lists and large components are dealt out in blocks; a member meets every
+   leader it collides with most often, if the sketches agree, and the pair is
+   confirmed on the full sets. This costs one pair per class and joins the bulk
+   of every group of near copies. Classes connected by such pairs, confirmed or
+   not, are a family; all pairs of a family that the star has not joined are
+   decided on the full sets, block against block, and only links that join
+   something are written.
+2. lists: a list whose members are one family is skipped. In the others only
+   members of different families are compared, by sketch; a match asks whether
+   one class belongs to a whole other family, and is answered on its full sets.
+
+So every pair that passes the bounds is decided exactly, and near misses
+inside a group are never written out as pairs.
+
+Long lists and large families are dealt out in blocks; a member meets every
 block that it has to be compared with. Components come from ``components``.
 
 Defined cases: words are lower-cased (A-Z); a text with fewer words than a
@@ -254,11 +258,55 @@ def compare_blocks(x: dict, seen: int) -> tuple[np.ndarray, np.ndarray]:
 
 # ------------------------------------------------------------ confirmation
 
+class Joined:
+    """Which labels are known to be linked, inside one task."""
+
+    def __init__(self):
+        self.boss: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (up := self.boss.setdefault(x, x)) != x:
+            self.boss[x] = x = self.boss.setdefault(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """True if this links something new."""
+        x, y = self.root(x), self.root(y)
+        self.boss[max(x, y)] = min(x, y)
+        return x != y
+
+
+class Block:
+    """The sets of a block's members, as places in one list of elements."""
+
+    def __init__(self, sets: list[np.ndarray], ids: list[int], labels: list[int]):
+        self.size = np.array([len(x) for x in sets], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.elements, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.ids, self.labels = np.array(ids), np.array(labels)
+        self.mark = np.zeros(len(self.elements), bool)
+
+    def similar(self, g: np.ndarray, cid: int, label: int, num: int, den: int) -> np.ndarray:
+        """Labels of the members of other labels with den * shared >= num * union."""
+        n = self.size
+        ok = (n * den >= num * len(g)) & (len(g) * den >= num * n) & (self.ids != cid) & (self.labels != label)
+        if not ok.any():                           # all joined already, or too unlike in size
+            return self.labels[:0]
+        at = np.searchsorted(self.elements, g)
+        at = at[at < len(self.elements)]
+        at = at[self.elements[at] == g[:len(at)]]
+        self.mark[at] = True
+        shared = np.add.reduceat(self.mark[self.place], self.at, dtype=np.int64)
+        self.mark[at] = False
+        return np.unique(self.labels[ok & (den * shared >= num * (n + len(g) - shared))])
+
+
 def confirm(asks: DataFrame, members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b): q and the component's id, for every (q, comp) of ``asks``
-    where den * shared >= num * union holds with one of the ``members``
-    (cid, comp), on the full sets. Components are dealt in blocks of members,
-    and the queries of a block in lots; a lot reads the block once."""
+    """Links (a, b) between labels: for every (q, label, comp) of ``asks`` the
+    ``members`` (cid, label, comp) of that comp with another label that are
+    similar to q, on the full sets; a link that others of the task imply is
+    left out. Comps are dealt in blocks of members, and the queries of a block
+    in lots; a lot reads the block once."""
     asks = cut(asks.distinct(), "minhash-asks")
     size = (members.join(asks.select("comp").distinct(), "comp", "left_semi").groupBy("comp").agg(F.count("*").alias("m"))
             .join(asks.groupBy("comp").agg(F.count("*").alias("q_n")), "comp")
@@ -266,44 +314,31 @@ def confirm(asks: DataFrame, members: DataFrame, sets: DataFrame, num: int, den:
     size = cut(size, "minhash-sizes")
     held = members.join(size, "comp").select(
         "comp", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"), "cid")
+        F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"), "cid", "label")
     come = asks.join(size, "comp").select(
         "comp", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
-        F.pmod(F.xxhash64("q"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("role"), F.col("q").alias("cid"))
-    rows = held.unionByName(come).join(sets, "cid").select("comp", "block", "lot", "role", "cid", "set")
+        F.pmod(F.xxhash64("q"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("role"), F.col("q").alias("cid"), "label")
+    rows = held.unionByName(come).join(sets, "cid").select("comp", "block", "lot", "role", "cid", "label", "set")
 
     def check(batches):
-        block: tuple | None = None
-        who: list[int] = []
-        have: list[np.ndarray] = []
-        whole = None
+        here, who, labels, have, block, joined = None, [], [], [], None, Joined()
         for b in batches:
-            out_q, out_c = [], []
-            keys = list(zip(*(b.column(c).to_pylist() for c in ("comp", "block", "lot", "role", "cid"))))
+            out: list[tuple[int, int]] = []
+            keys = zip(*(b.column(c).to_pylist() for c in ("comp", "block", "lot", "role", "cid", "label")))
             data, off = utf8(b.column("set"))
-            for r, (comp, blk, lot, role, cid) in enumerate(keys):
-                if (comp, blk, lot) != block:
-                    block, who, have, whole = (comp, blk, lot), [], [], None
-                g = data[off[r]:off[r + 1]].view(U64) if off[r] % 8 == 0 else np.frombuffer(data[off[r]:off[r + 1]].tobytes(), U64)
+            for r, (comp, blk, lot, role, cid, label) in enumerate(keys):
+                if (comp, blk, lot) != here:
+                    here, who, labels, have, block, joined = (comp, blk, lot), [], [], [], None, Joined()
+                g = np.frombuffer(data[off[r]:off[r + 1]].tobytes(), U64)
                 if role == 0:
                     who.append(cid)
-                    have.append(g.copy())
-                    continue
-                if not have:
-                    continue
-                if whole is None:
-                    n = np.array([len(x) for x in have], np.int64)
-                    whole = np.concatenate(have), np.r_[0, np.cumsum(n)][:-1], n, np.array(who)
-                elements, at, n, ids = whole
-                near = (n * den >= num * len(g)) & (len(g) * den >= num * n) & (ids != cid)    # else too unlike in size
-                if not near.any():
-                    continue
-                place = np.minimum(np.searchsorted(g, elements), len(g) - 1)
-                shared = np.add.reduceat(g[place] == elements, at, dtype=np.int64)
-                if (near & (den * shared >= num * (n + len(g) - shared))).any():
-                    out_q.append(cid)
-                    out_c.append(comp)
-            yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_c, pa.int64())], names=["a", "b"])
+                    labels.append(label)
+                    have.append(g)
+                elif have:
+                    block = block or Block(have, who, labels)
+                    out += [(label, x) for x in block.similar(g, cid, label, num, den).tolist() if joined.join(label, x)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())],
+                                             names=["a", "b"])
 
     return (rows.repartition("comp", "block", "lot").sortWithinPartitions("comp", "block", "lot", "role")
             .mapInArrow(check, "a long, b long").distinct())
@@ -335,19 +370,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
         return cut(keyed.join(wanted.hint("merge"), ["doc_id", "text_key"], "left_semi").select(F.col("doc_id").alias("cid"), "text")
                    .mapInArrow(set_bytes(shingle), "cid long, set binary"), "minhash-sets")
 
-    asks = cut(star_pairs(posted, lead), "minhash-star")
-    sets = sets_of(asks.select(F.col("q").alias("cid")).unionByName(asks.select(F.col("comp").alias("cid"))).distinct())
-    star = confirm(asks, asks.select(F.col("comp").alias("cid"), "comp").distinct(), sets, num, den)
-    star = cut(star, "minhash-links")
-    labels = components(star)
-    asks = cut(list_matches(posted, lead, labels), "minhash-lists")
-    # a component's members: the labelled ones, and classes that stand alone
-    alone = asks.select("comp").distinct().join(labels.select(F.col("id").alias("comp")), "comp", "left_anti")
-    members = labels.select(F.col("id").alias("cid"), "comp").unionByName(alone.select(F.col("comp").alias("cid"), "comp"))
-    asked = asks.select(F.col("q").alias("cid")).unionByName(
-        members.join(asks.select("comp").distinct(), "comp", "left_semi").select("cid")).distinct()
+    pairs = cut(star_pairs(posted, lead), "minhash-star")
+    families = components(pairs.select(F.col("q").alias("a"), F.col("comp").alias("b"))).select(F.col("id").alias("cid"), F.col("comp").alias("family"))
+    sets = sets_of(families.select("cid"))
+    # star: every class asks its leader
+    star = cut(confirm(pairs.select("q", F.col("q").alias("label"), "comp"),
+                       pairs.select(F.col("comp").alias("cid"), F.col("comp").alias("label"), "comp").distinct(), sets, num, den), "minhash-links")
+    known = components(star).select(F.col("id").alias("cid"), F.col("comp").alias("label"))
+    # family: what is outside its largest joined part asks the whole family
+    members = cut(families.join(known, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"), F.col("family").alias("comp")), "minhash-members")
+    major = (members.groupBy("comp", "label").agg(F.count("*").alias("n")).groupBy("comp")
+             .agg(F.max_by("label", F.struct(F.col("n"), F.col("label"))).alias("major")))
+    outside = members.join(major, "comp").where("label <> major").select(F.col("cid").alias("q"), "label", "comp")
+    inner = cut(confirm(outside, members, sets, num, den), "minhash-links")
+    # lists: classes that collide with a member of another family
+    asks = cut(list_matches(posted, lead, families.select(F.col("cid").alias("id"), F.col("family").alias("comp"))), "minhash-lists")
+    asks = asks.join(known.withColumnRenamed("cid", "q"), "q", "left").select("q", F.coalesce("label", "q").alias("label"), "comp")
+    alone = asks.select("comp").distinct().join(families.select(F.col("cid").alias("comp")), "comp", "left_anti")
+    members = members.unionByName(alone.select(F.col("comp").alias("cid"), F.col("comp").alias("label"), "comp"))
+    asked = asks.select(F.col("q").alias("cid")).unionByName(alone.select(F.col("comp").alias("cid"))).distinct()
     sets = sets.unionByName(sets_of(asked.join(sets.select("cid"), "cid", "left_anti")))
-    links = star.unionByName(confirm(asks, members, sets, num, den))
+    links = star.unionByName(inner).unionByName(confirm(asks, members, sets, num, den))
     labels = components(links)
     found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(
         "set_key", F.coalesce("comp", "cid").alias("component_id"), "n", "cid").where("n > 1 OR component_id <> cid").drop("cid")
