@@ -161,7 +161,6 @@ GOLD_PATHS = {
 # ------------------------------------------------------- classifier text --
 
 MAX_WORDS = 500
-PAGE_NUMBER_LINE = r"(?m)^\s*\d+\s*$"
 HYPHEN_BREAK = "-\n"
 
 # Invoice signal tokens, in order, with their (case-insensitive) patterns.
@@ -243,7 +242,6 @@ MIN_WORDS = 5
 
 # --------------------------------------------------------------- features --
 
-TOKEN_PATTERN = r"(?u)\b\w\w+\b"
 MIN_DF = 3
 MAX_FEATURES = 20000
 SPLIT_FRACTIONS = (0.70, 0.15, 0.15)

@@ -68,8 +68,8 @@ def tfidf(tc: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, term, index, weight): tf * idf, L2-normalised per document."""
     j = tc.join(F.broadcast(idf.select("term", "index", "idf")), "term", "inner")  # <= max_features rows
     w = j.select(key, "term", "index", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, key).select(key, "term", "index", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "term", "index", (F.col("w") / norm).alias("weight"))
 
 
 def hash_key(key: str, seed: int = fixed.SEED) -> Column:

@@ -12,17 +12,20 @@ cached once and reused by all models of a run.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+import re
+
+import numpy as np
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
-    CountVectorizer, ElementwiseProduct, IDF, Normalizer, SQLTransformer, StringIndexer,
+    CountVectorizer, ElementwiseProduct, IDF, Normalizer, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -34,7 +37,7 @@ def terms_sql(text: str = "text", ngram_max: int = 2) -> str:
     """SQL statement adding ``terms`` (non-stop 1-grams, then 2-grams)."""
     stop = ", ".join("'" + w.replace("'", "\\'") + "'" for w in english_stop_words())
     uni = (f"filter(regexp_extract_all(lower({text}), '{WORD_TOKEN.replace(chr(92), chr(92) * 2)}', 0), "
-           f"t -> NOT array_contains(array({stop}), t))")
+           f"t -> t NOT IN ({stop}))")
     if ngram_max < 2:
         return f"SELECT *, {uni} AS terms FROM __THIS__"
     bi = ("CASE WHEN size(u) > 1 THEN zip_with(slice(u, 1, size(u) - 1), slice(u, 2, size(u) - 1), "
@@ -97,72 +100,90 @@ def with_balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 class OneVsRestJVM(Estimator):
-    """One binary classifier per class; margins combined with array
-    expressions (argmax), so scoring stays in the JVM (PySpark's OneVsRest
-    combines predictions with row-at-a-time Python UDFs)."""
+    """One binary classifier per class, then one vector of their margins.
+
+    The fitted model is a plain ``PipelineModel`` of JVM stages (the binary
+    models, an assembler and a slicer), so it is saved and loaded like any
+    other, and scoring stays in the JVM; ``predictions`` takes the argmax."""
 
     def __init__(self, make_binary, weighted: bool = True):
         super().__init__()
         self.make_binary = make_binary
         self.weighted = weighted
 
-    def _fit(self, df: DataFrame) -> "OneVsRestJVMModel":
+    def _fit(self, df: DataFrame) -> PipelineModel:
         k = int(df.agg(F.max("y")).collect()[0][0]) + 1
         cols = ["features", "y"] + (["weight"] if self.weighted else [])
         base = df.select(*cols)
-        models = []
+        stages = []
         for c in range(k):
             data = base.withColumn("_bin", (F.col("y") == c).cast("double"))
-            clf = self.make_binary().setLabelCol("_bin")
-            models.append(clf.fit(data))
-        return OneVsRestJVMModel(models)
+            m = (self.make_binary().setLabelCol("_bin").fit(data)
+                 .setRawPredictionCol(f"_raw{c}").setPredictionCol(f"_pred{c}"))
+            stages.append(m.setProbabilityCol(f"_prob{c}") if hasattr(m, "setProbabilityCol") else m)
+        # a binary margin vector is (against, for): keep the second of each
+        return PipelineModel(stages=[*stages, VectorAssembler(inputCols=[f"_raw{c}" for c in range(k)], outputCol="_margins"),
+                                     VectorSlicer(inputCol="_margins", outputCol="rawPrediction", indices=list(range(1, 2 * k, 2)))])
+
+
+def predictions(model, data: DataFrame) -> DataFrame:
+    """Scored rows with ``rawPrediction`` and ``prediction``; the columns of
+    one-vs-rest members are dropped."""
+    out = model.transform(data)
+    out = out.drop(*[c for c in out.columns if re.fullmatch(r"_(raw|pred|prob)\d+|_margins", c)])
+    if "prediction" not in out.columns:
+        margins = vector_to_array("rawPrediction")
+        out = out.withColumn("prediction", (F.array_position(margins, F.array_max(margins)) - 1).cast("double"))
+    return out
 
 
-class OneVsRestJVMModel(Model):
-    def __init__(self, models):
-        super().__init__()
-        self.models = models
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c, m in enumerate(self.models):
-            mc = m.copy().setRawPredictionCol(f"_raw{c}").setPredictionCol(f"_pred{c}")
-            if hasattr(mc, "setProbabilityCol"):
-                mc = mc.setProbabilityCol(f"_prob{c}")
-            out = mc.transform(out)
-            out = out.withColumn(f"_m{c}", vector_to_array(f"_raw{c}")[1])
-        k = len(self.models)
-        margins = F.array(*[F.col(f"_m{c}") for c in range(k)])
-        drop = [x for c in range(k) for x in (f"_raw{c}", f"_pred{c}", f"_prob{c}", f"_m{c}") if x in out.columns]
-        out = out.withColumn("rawPrediction", array_to_vector(margins))
-        out = out.withColumn("prediction", (F.array_position(margins, F.array_max(margins)) - 1).cast("double"))
-        return out.drop(*drop)
+# Settings of the fits. The reference's are 1000 (logistic regression), 100
+# (SVM), 200 (forest) and 300 (boosting); README says why two are lower.
+LR_ITERATIONS = 100
+SVM_ITERATIONS = 100
+TREES = 200
+BOOST_ROUNDS = 10
 
 
-def make_model(kind: str, n_train: int | None = None, small: bool = False, C: float = 1.0):
-    """The six model families with the reference's settings (small=True
-    shrinks iterations / trees for CI)."""
+def make_model(kind: str, n_train: int | None = None, C: float = 1.0):
+    """The model families. ``C`` is the inverse strength of the penalty
+    against the loss summed over the ``n_train`` fit rows."""
+    reg = 1.0 / (C * n_train) if n_train else 0.0
     if kind == "naive_bayes":
         return NaiveBayes(modelType="multinomial", featuresCol="features", labelCol="y")
     if kind == "linear_svm":
-        return OneVsRestJVM(lambda: LinearSVC(featuresCol="features", weightCol="weight",
-                                              standardization=False, regParam=0.01,
-                                              maxIter=10 if small else 100))
+        return OneVsRestJVM(lambda: LinearSVC(featuresCol="features", weightCol="weight", standardization=False,
+                                              regParam=reg, maxIter=SVM_ITERATIONS))
     if kind == "logistic_regression":
-        reg = 1.0 / (C * n_train) if n_train else 0.0
         return LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", regParam=reg,
-                                  standardization=False, maxIter=20 if small else 1000, family="multinomial")
+                                  standardization=False, maxIter=LR_ITERATIONS, family="multinomial")
     if kind == "random_forest":
         return RandomForestClassifier(featuresCol="features", labelCol="y", weightCol="weight",
-                                      numTrees=10 if small else 200, seed=fixed.SEED)
+                                      numTrees=TREES, seed=fixed.SEED)
     if kind == "boosted_trees":
-        return OneVsRestJVM(lambda: GBTClassifier(featuresCol="features", maxIter=5 if small else 300,
-                                                  maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
-                                                  featureSubsetStrategy="0.8", seed=fixed.SEED),
+        return OneVsRestJVM(lambda: GBTClassifier(featuresCol="features", maxIter=BOOST_ROUNDS, maxDepth=6, stepSize=0.1,
+                                                  subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=fixed.SEED),
                             weighted=False)
     raise ValueError(f"unknown model {kind}")
 
 
+FIT_ROWS_PER_TASK = 2000
+
+
+def fit_ready(df: DataFrame) -> tuple[DataFrame, int]:
+    """Fit columns, cached, in few enough partitions that an iteration is
+    not all scheduling; and the number of rows. The caller unpersists."""
+    df = df.select("doc_id", "label", "features", "y", "weight").cache()
+    n = df.count()
+    few = max(1, -(-n // FIT_ROWS_PER_TASK))
+    if df.rdd.getNumPartitions() <= few:
+        return df, n
+    small = df.coalesce(few).cache()
+    small.count()
+    df.unpersist()
+    return small, n
+
+
 MODELS = ["naive_bayes", "linear_svm", "logistic_regression", "random_forest", "boosted_trees"]
 
 
@@ -179,7 +200,7 @@ def featurize(df: DataFrame, feats: PipelineModel, idx, label: str = "label") ->
 
 def evaluate(model, data: DataFrame, labels: list[str]) -> DataFrame:
     """(label, prediction) as strings for metrics."""
-    p = model.transform(data)
+    p = predictions(model, data)
     lab = F.element_at(F.array(*[F.lit(x) for x in labels]), (F.col("prediction") + 1).cast("int"))
     return p.select("doc_id", F.col("label"), lab.alias("prediction"))
 
@@ -188,10 +209,10 @@ def macro_f1(preds: DataFrame) -> DataFrame:
     return mt.summary(preds).select("macro_f1")
 
 
-def probabilities(model, data: DataFrame, labels: list[str]) -> DataFrame:
-    """label, confidence, class -> probability map (4 decimals). Models
+def probabilities(model, data: DataFrame, labels: list[str], carry=()) -> DataFrame:
+    """doc_id, ``carry`` columns, label, confidence, class -> probability map (4 decimals). Models
     without probabilities (one-vs-rest SVM) get a softmax of the margins."""
-    p = model.transform(data)
+    p = predictions(model, data)
     if "probability" in p.columns:
         probs = vector_to_array("probability")
     else:
@@ -203,7 +224,7 @@ def probabilities(model, data: DataFrame, labels: list[str]) -> DataFrame:
     labs = F.array(*[F.lit(x) for x in labels])
     pred = F.element_at(labs, (F.col("prediction") + 1).cast("int"))
     return p.select(
-        "doc_id", pred.alias("label"),
+        "doc_id", *carry, pred.alias("label"),
         F.round(F.array_max(probs), 4).alias("confidence"),
         F.map_from_arrays(labs, F.transform(probs, lambda x: F.round(x, 4))).alias("proba"),
     )
@@ -222,23 +243,17 @@ def invoice_override(scored: DataFrame, signals_col: str = "n_signals",
 
 
 def top_coefficients(lr_model, vocab: list[str], labels: list[str], n: int = 15) -> DataFrame:
-    """n highest and n lowest term weights per class of a linear model.
-
-    The coefficient matrix (classes x vocabulary, bounded by max_features)
-    lives in the driver-side model; it is turned into a DataFrame once and
-    ranked with per-class windows (classes x vocabulary rows)."""
-    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
-    mat = lr_model.coefficientMatrix.toArray()
-    rows = [(labels[c], vocab[j], float(mat[c, j])) for c in range(mat.shape[0]) for j in range(mat.shape[1])]
-    df = spark.createDataFrame(rows, "label string, term string, weight double")
-    hi = Window.partitionBy("label").orderBy(F.desc("weight"), "term")
-    lo = Window.partitionBy("label").orderBy("weight", "term")
-    r = df.withColumn("rank_hi", F.row_number().over(hi)).withColumn("rank_lo", F.row_number().over(lo))
-    top = r.where(F.col("rank_hi") <= n).select("label", "term", F.round("weight", 6).alias("weight"),
-                                                F.lit("top").alias("side"), F.col("rank_hi").alias("rank"))
-    bot = r.where(F.col("rank_lo") <= n).select("label", "term", F.round("weight", 6).alias("weight"),
-                                                F.lit("bottom").alias("side"), F.col("rank_lo").alias("rank"))
-    return top.unionByName(bot)
+    """n highest and n lowest term weights per class of a linear model (ties
+    by term). The coefficient matrix (classes x vocabulary, bounded by
+    max_features) lives in the driver-side model and is ranked there; only
+    2 n rows per class become a table."""
+    mat, terms = lr_model.coefficientMatrix.toArray(), np.array(vocab)
+    rows = []
+    for c, label in enumerate(labels):
+        for side, weight in (("top", -mat[c]), ("bottom", mat[c])):
+            for rank, j in enumerate(np.lexsort((terms, weight))[:n].tolist(), 1):
+                rows.append((label, vocab[j], round(float(mat[c, j]), 6), side, rank))
+    return SparkSession.active().createDataFrame(rows, "label string, term string, weight double, side string, rank int")
 
 
 def dense_vectors(df: DataFrame, col: str = "embedding") -> DataFrame:

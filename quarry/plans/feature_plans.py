@@ -91,7 +91,9 @@ def q_stratified_folds(spark, sf_dir):
 def _train_tc(spark, sf_dir):
     """Term counts with the split carried along: the train subset is a
     filter on the same counts, not a second pass over the documents."""
-    sp = split_docs(spark, sf_dir)
+    # texts are cleaned, split and dealt by document once; both uses of the
+    # counts read that exchange, and neither terms nor norms are shuffled again
+    sp = split_docs(spark, sf_dir).select("doc_id", "split", "text").repartition("doc_id")
     tc_all = fe.term_counts(sp, "text", carry=("split",))
     train = sp.where(F.col("split") == "train").select("doc_id")
     return sp, tc_all, train

@@ -1,17 +1,16 @@
 """Registered model queries (rows-only checks; quality bounds in pytest).
 
-Registered forms use small settings (fewer iterations / trees / folds, a
-smaller vocabulary) so the whole list runs in CI; every function takes the
-full settings as parameters.
+Vocabulary, grids, folds and sizes are the reference's; iteration settings
+stand in ``operators/train.py``.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +27,6 @@ from .feature_plans import cleaned, split_docs
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-SMALL_VOCAB = 2000
-
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
@@ -40,57 +37,60 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-class MacroF1(Evaluator):
-    """Macro-averaged F1 over (y, prediction), computed as a Spark aggregate."""
+class Fit:
+    """Split documents, fitted features and cached fit rows of one run."""
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        p = dataset.select(F.col("y").cast("string").alias("label"),
-                           F.col("prediction").cast("string").alias("prediction"))
-        return float(mt.summary(p).collect()[0]["macro_f1"])
+    def __init__(self, docs: DataFrame, vocab_size: int = fixed.MAX_FEATURES):
+        self.split = docs.cache()
+        train = docs.where(F.col("split") == "train")
+        self.feats, self.idx = tr.prepare(train, vocab_size=vocab_size)
+        self.labels = self.idx.labels
+        self.rows, self.n = tr.fit_ready(tr.with_balanced_weights(tr.featurize(train, self.feats, self.idx)))
 
-    def isLargerBetter(self) -> bool:
-        return True
+    def part(self, name: str) -> DataFrame:
+        return tr.featurize(self.split.where(F.col("split") == name), self.feats, self.idx)
 
+    def model(self, kind: str, **kw):
+        return tr.make_model(kind, n_train=self.n, **kw).fit(self.rows)
 
-def _prepared(spark, sf_dir, vocab_size=SMALL_VOCAB):
-    sp = split_docs(spark, sf_dir).cache()
-    train = sp.where(F.col("split") == "train")
-    feats, idx = tr.prepare(train, vocab_size=vocab_size)
-    labels = idx.labels
-    tr_f = tr.with_balanced_weights(tr.featurize(train, feats, idx))
-    return sp, feats, idx, labels, tr_f
+    def metrics(self, name: str, model) -> DataFrame:
+        """accuracy and F1s of validation and test, as a small local table."""
+        out = [(name, part, *mt.summary(tr.evaluate(model, self.part(part), self.labels)).first()) for part in ("val", "test")]
+        return self.rows.sparkSession.createDataFrame(out, "model string, split string, accuracy double, macro_f1 double, weighted_f1 double")
 
-
-def _metrics_rows(model_name: str, model, sp, feats, idx, labels) -> DataFrame:
-    out = None
-    for split in ("val", "test"):
-        data = tr.featurize(sp.where(F.col("split") == split), feats, idx).cache()
-        s = mt.summary(tr.evaluate(model, data, labels)).select(
-            F.lit(model_name).alias("model"), F.lit(split).alias("split"), "accuracy", "macro_f1", "weighted_f1")
-        out = s if out is None else out.unionByName(s)
-    return out
+    def done(self) -> None:
+        """Free the cached rows; what is scored later is read anew."""
+        self.rows.unpersist()
+        self.split.unpersist()
 
 
-def train_and_score(spark, sf_dir, kind: str, small: bool = True, vocab_size: int = SMALL_VOCAB) -> DataFrame:
-    sp, feats, idx, labels, tr_f = _prepared(spark, sf_dir, vocab_size)
-    tr_f = tr_f.cache()
-    model = tr.make_model(kind, n_train=tr_f.count(), small=small).fit(tr_f)
-    return _metrics_rows(kind, model, sp, feats, idx, labels)
+def train_and_score(spark, sf_dir, kind: str) -> DataFrame:
+    fit = Fit(split_docs(spark, sf_dir))
+    out = fit.metrics(kind, fit.model(kind))
+    fit.done()
+    return out
 
 
 for _k in tr.MODELS:
     register(_k)(lambda spark, sf_dir, _k=_k: train_and_score(spark, sf_dir, _k))
 
 
+def side_by_side(jobs, workers: int = 4) -> list:
+    """Results of independent fits, a few of them at a time."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(lambda f: f(), [inheritable_thread_target(j) for j in jobs]))
+
+
 @register("dense_vector_lr")
-def q_dense_vector_lr(spark, sf_dir, small: bool = True):
+def q_dense_vector_lr(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("label").cast("string").alias("label"), "embedding")
     sp = fe.stratified_split(e, "label", "doc_id")
     idx = tr.index_labels(sp, "label")
     data = idx.transform(tr.dense_vectors(sp))
-    train = tr.with_balanced_weights(data.where(F.col("split") == "train")).cache()
-    model = tr.make_model("logistic_regression", n_train=train.count(), small=small).fit(train)
+    train, n = tr.fit_ready(tr.with_balanced_weights(data.where(F.col("split") == "train")))
+    model = tr.make_model("logistic_regression", n_train=n).fit(train)
+    train.unpersist()
     out = None
     for split in ("val", "test"):
         s = mt.summary(tr.evaluate(model, data.where(F.col("split") == split), idx.labels)).select(
@@ -100,89 +100,110 @@ def q_dense_vector_lr(spark, sf_dir, small: bool = True):
     return out
 
 
-def cv_scores(spark, sf_dir, kinds=("logistic_regression", "naive_bayes"), k: int = fixed.CV_FOLDS,
-              small: bool = True, vocab_size: int = SMALL_VOCAB) -> DataFrame:
+CV_MODELS = ("naive_bayes", "linear_svm", "logistic_regression", "random_forest")
+
+
+def cv_scores(spark, sf_dir, kinds=CV_MODELS, k: int = fixed.CV_FOLDS, vocab_size: int = fixed.MAX_FEATURES) -> DataFrame:
     """Stratified k folds; features re-fit on each training fold."""
-    d = fe.fold_ids(cleaned(spark, sf_dir), "label", "doc_id", k=k).cache()
-    rows = []
-    for fold in range(k):
-        train = d.where(F.col("fold") != fold)
-        held = d.where(F.col("fold") == fold)
-        feats, idx = tr.prepare(train, vocab_size=vocab_size)
-        tr_f = tr.with_balanced_weights(tr.featurize(train, feats, idx)).cache()
-        n = tr_f.count()
-        ho = tr.featurize(held, feats, idx)
+    d = fe.fold_ids(cleaned(spark, sf_dir), "label", "doc_id", k=k)
+
+    def one(fold: int):
+        marked = d.withColumn("split", F.when(F.col("fold") == fold, "val").otherwise("train"))
+        fit = Fit(marked, vocab_size)
+        out = []
         for kind in kinds:
-            m = tr.make_model(kind, n_train=n, small=small).fit(tr_f)
-            s = mt.summary(tr.evaluate(m, ho, idx.labels)).collect()[0]
-            rows.append((kind, fold, float(s["accuracy"]), float(s["macro_f1"]), float(s["weighted_f1"])))
-        tr_f.unpersist()
+            s = mt.summary(tr.evaluate(fit.model(kind), fit.part("val"), fit.labels)).first()
+            out.append((kind, fold, float(s["accuracy"]), float(s["macro_f1"]), float(s["weighted_f1"])))
+        fit.done()
+        return out
+
+    rows = [r for part in side_by_side([lambda f=f: one(f) for f in range(k)]) for r in part]
     return spark.createDataFrame(rows, "model string, fold int, accuracy double, macro_f1 double, weighted_f1 double")
 
 
 @register("stratified_cv")
 def q_stratified_cv(spark, sf_dir):
-    scores = cv_scores(spark, sf_dir, k=3)
-    return mt.fold_mean_std(scores, "macro_f1")
+    """Mean and spread of three metrics over five folds, four models."""
+    scores = cv_scores(spark, sf_dir)
+    out = None
+    for m in ("accuracy", "macro_f1", "weighted_f1"):
+        part = mt.fold_mean_std(scores, m).withColumn("metric", F.lit(m))
+        out = part if out is None else out.unionByName(part)
+    return out
+
 
+GRID_VOCABS, GRID_NGRAMS, GRID_C = (10000, 20000), (1, 2), (0.1, 1.0, 10.0)
 
-def grid_search(spark, sf_dir, vocab_sizes=(10000, 20000), ngrams=(1, 2), Cs=(0.1, 1.0, 10.0),
-                k: int = fixed.CV_FOLDS, small: bool = False) -> DataFrame:
-    """LR grid over vocabulary size, n-gram range and C with k-fold CV on
-    macro-F1 (features re-fit inside each fold); best refit, then test."""
+
+def grid_search(spark, sf_dir, kind: str, vocab_sizes=GRID_VOCABS, ngrams=GRID_NGRAMS, Cs=GRID_C,
+                k: int = fixed.CV_FOLDS) -> DataFrame:
+    """Vocabulary size x n-gram range x C by k-fold macro-F1; the features
+    are fitted once per fold and feature setting, inside the fold. The best
+    setting (ties: smaller vocabulary, n-gram range, C) is fitted on all
+    training and validation rows and scored on the test rows."""
     sp = split_docs(spark, sf_dir)
-    dev = fe.fold_ids(sp.where(F.col("split") != "test").drop("split"), "label", "doc_id", k=k)
-    dev = tr.with_balanced_weights(tr.index_labels(dev).transform(dev))
-    n = dev.count()
-    pipe_feats = tr.feature_estimator(vocab_size=vocab_sizes[0])
-    sqlt, cv_stage, smooth = pipe_feats.getStages()
-    lr = tr.make_model("logistic_regression", n_train=n, small=small)
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer
-    pipe = Pipeline(stages=[sqlt, cv_stage, smooth, lr])
-    grid = (ParamGridBuilder()
-            .addGrid(cv_stage.vocabSize, list(vocab_sizes))
-            .addGrid(sqlt.statement, [tr.terms_sql("text", g) for g in ngrams])
-            .addGrid(lr.regParam, [1.0 / (c * n) for c in Cs])
-            .build())
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=MacroF1(), foldCol="fold",
-                        parallelism=2, seed=fixed.SEED)
-    model = cv.fit(dev)
-    rows = []
-    for pm, score in zip(grid, model.avgMetrics):
-        vocab = [v for p, v in pm.items() if p.name == "vocabSize"][0]
-        stmt = [v for p, v in pm.items() if p.name == "statement"][0]
-        reg = [v for p, v in pm.items() if p.name == "regParam"][0]
-        rows.append((int(vocab), 2 if "zip_with" in stmt else 1, float(1.0 / (reg * n)), float(score)))
-    return spark.createDataFrame(rows, "vocab_size int, ngram_max int, C double, cv_macro_f1 double")
+    dev = fe.fold_ids(sp.where(F.col("split") != "test").drop("split"), "label", "doc_id", k=k).drop("rank", "class_n")
+
+    def ready(train):
+        return tr.with_balanced_weights(train)
+
+    def fold_scores(vocab, ngram, fold):
+        train, held = dev.where(F.col("fold") != fold), dev.where(F.col("fold") == fold)
+        feats, idx = tr.prepare(train, vocab_size=vocab, ngram_max=ngram)
+        rows, n = tr.fit_ready(ready(tr.featurize(train, feats, idx)))
+        val = tr.featurize(held, feats, idx).select("doc_id", "label", "features", "y").cache()
+        out = []
+        for c in Cs:
+            m = tr.make_model(kind, n_train=n, C=c).fit(rows)
+            out.append((vocab, ngram, c, float(mt.summary(tr.evaluate(m, val, idx.labels)).first()["macro_f1"])))
+        rows.unpersist()
+        val.unpersist()
+        return out
+
+    jobs = [lambda v=v, g=g, f=f: fold_scores(v, g, f) for v in vocab_sizes for g in ngrams for f in range(k)]
+    scores: dict[tuple, list[float]] = {}
+    for part in side_by_side(jobs):
+        for v, g, c, f1 in part:
+            scores.setdefault((v, g, c), []).append(f1)
+    best = min(scores, key=lambda s: (-sum(scores[s]), s))
+    feats, idx = tr.prepare(dev, vocab_size=best[0], ngram_max=best[1])
+    rows, n = tr.fit_ready(ready(tr.featurize(dev, feats, idx)))
+    model = tr.make_model(kind, n_train=n, C=best[2]).fit(rows)
+    rows.unpersist()
+    test = mt.summary(tr.evaluate(model, tr.featurize(sp.where(F.col("split") == "test"), feats, idx), idx.labels)).first()
+    table_ = [(kind, *s, float(sum(x) / len(x)), s == best, float(test["macro_f1"]) if s == best else None)
+              for s, x in sorted(scores.items())]
+    return spark.createDataFrame(table_, "model string, vocab_size int, ngram_max int, C double, cv_macro_f1 double, best boolean, test_macro_f1 double")
 
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
-    g = grid_search(spark, sf_dir, vocab_sizes=(SMALL_VOCAB,), ngrams=(1, 2), Cs=(1.0,), k=3, small=True)
-    return g.select("vocab_size", "ngram_max", "C", F.round("cv_macro_f1", 4).alias("cv_macro_f1"))
+    return grid_search(spark, sf_dir, "logistic_regression")
+
+
+@register("grid_search_svm")
+def q_grid_search_svm(spark, sf_dir):
+    return grid_search(spark, sf_dir, "linear_svm")
+
+
+CURVE_SIZES = (0.1, 0.229, 0.357, 0.486, 0.614, 0.743, 0.871, 1.0)
 
 
-def learning_curve(spark, sf_dir, sizes=(0.1, 0.229, 0.357, 0.486, 0.614, 0.743, 0.871, 1.0),
-                   k: int = fixed.CV_FOLDS, small: bool = True, vocab_size: int = SMALL_VOCAB) -> DataFrame:
+def learning_curve(spark, sf_dir, sizes=CURVE_SIZES, k: int = fixed.CV_FOLDS, vocab_size: int = fixed.MAX_FEATURES) -> DataFrame:
     """Train / validation macro-F1 of LR on nested, class-balanced subsets
     of the training folds."""
-    d = fe.stratified_ranks(cleaned(spark, sf_dir), "label", "doc_id")
-    d = d.withColumn("fold", (F.col("rank") % k).cast("int")).cache()
-    rows = []
-    for fold in range(k):
-        held = d.where(F.col("fold") == fold)
-        pool = d.where(F.col("fold") != fold)
-        for frac in sizes:
-            train = pool.where(F.col("rank") < F.col("class_n") * frac)
-            feats, idx = tr.prepare(train, vocab_size=vocab_size)
-            tr_f = tr.with_balanced_weights(tr.featurize(train, feats, idx)).cache()
-            n = tr_f.count()
-            m = tr.make_model("logistic_regression", n_train=n, small=small).fit(tr_f)
-            s_tr = mt.summary(tr.evaluate(m, tr_f, idx.labels)).collect()[0]["macro_f1"]
-            s_va = mt.summary(tr.evaluate(m, tr.featurize(held, feats, idx), idx.labels)).collect()[0]["macro_f1"]
-            rows.append((float(frac), fold, n, float(s_tr), float(s_va)))
-            tr_f.unpersist()
+    d = fe.stratified_ranks(cleaned(spark, sf_dir), "label", "doc_id").withColumn("fold", (F.col("rank") % k).cast("int"))
+
+    def one(fold, frac):
+        use = (F.col("fold") == fold) | (F.col("rank") < F.col("class_n") * frac)
+        fit = Fit(d.where(use).withColumn("split", F.when(F.col("fold") == fold, "val").otherwise("train")), vocab_size)
+        m = fit.model("logistic_regression")
+        score = lambda rows: float(mt.summary(tr.evaluate(m, rows, fit.labels)).first()["macro_f1"])
+        out = (float(frac), fold, fit.n, score(fit.rows), score(fit.part("val")))
+        fit.done()
+        return out
+
+    rows = side_by_side([lambda f=f, s=s: one(f, s) for f in range(k) for s in sizes])
     df = spark.createDataFrame(rows, "size double, fold int, n_train long, train_f1 double, val_f1 double")
     return df.groupBy("size").agg(F.round(F.avg("n_train"), 1).alias("n_train"),
                                   F.round(F.avg("train_f1"), 4).alias("train_macro_f1"),
@@ -191,67 +212,57 @@ def learning_curve(spark, sf_dir, sizes=(0.1, 0.229, 0.357, 0.486, 0.614, 0.743,
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    return learning_curve(spark, sf_dir, sizes=(0.3, 1.0), k=2)
+    return learning_curve(spark, sf_dir)
 
 
 @register("top_coefficients")
 def q_top_coefficients(spark, sf_dir, n: int = 15):
-    sp, feats, idx, labels, tr_f = _prepared(spark, sf_dir)
-    tr_f = tr_f.cache()
-    lr = tr.make_model("logistic_regression", n_train=tr_f.count(), small=True).fit(tr_f)
-    vocab = [s for s in feats.stages if hasattr(s, "vocabulary")][0].vocabulary
-    return tr.top_coefficients(lr, vocab, labels, n)
+    fit = Fit(split_docs(spark, sf_dir))
+    vocab = [s for s in fit.feats.stages if hasattr(s, "vocabulary")][0].vocabulary
+    out = tr.top_coefficients(fit.model("logistic_regression"), vocab, fit.labels, n)
+    fit.done()
+    return out
 
 
 @register("predict_proba")
 def q_predict_proba(spark, sf_dir):
-    sp, feats, idx, labels, tr_f = _prepared(spark, sf_dir)
-    tr_f = tr_f.cache()
-    lr = tr.make_model("logistic_regression", n_train=tr_f.count(), small=True).fit(tr_f)
-    test = tr.featurize(sp.where(F.col("split") == "test"), feats, idx)
-    return tr.probabilities(lr, test, labels)
+    fit = Fit(split_docs(spark, sf_dir))
+    lr = fit.model("logistic_regression")
+    fit.done()
+    return tr.probabilities(lr, fit.part("test"), fit.labels)
 
 
-def leaderboard(spark, sf_dir, kinds=tuple(tr.MODELS), small: bool = True) -> DataFrame:
-    sp, feats, idx, labels, tr_f = _prepared(spark, sf_dir)
-    tr_f = tr_f.cache()
-    n = tr_f.count()
+def leaderboard(spark, sf_dir, kinds=tuple(tr.MODELS)) -> DataFrame:
+    fit = Fit(split_docs(spark, sf_dir))
     out = None
     for kind in kinds:
-        m = tr.make_model(kind, n_train=n, small=small).fit(tr_f)
-        rows = _metrics_rows(kind, m, sp, feats, idx, labels)
+        rows = fit.metrics(kind, fit.model(kind))
         out = rows if out is None else out.unionByName(rows)
+    fit.done()
     return out
 
 
 @register("leaderboard")
 def q_leaderboard(spark, sf_dir):
-    lb = leaderboard(spark, sf_dir, kinds=("naive_bayes", "logistic_regression", "random_forest"))
+    lb = leaderboard(spark, sf_dir).unionByName(q_dense_vector_lr(spark, sf_dir))
     return lb.where(F.col("split") == "val").orderBy(F.desc("macro_f1"), "model")
 
 
 @register("select_best")
 def q_select_best(spark, sf_dir):
-    lb = leaderboard(spark, sf_dir, kinds=("naive_bayes", "logistic_regression", "random_forest"))
-    t = lb.where(F.col("split") == "test")
+    """Best test macro-F1 over the five families, the dense vectors and the two tuned models."""
+    tuned = [grid_search(spark, sf_dir, k).where("best").select(
+        F.lit(f"{k}_tuned").alias("model"), F.col("test_macro_f1").alias("macro_f1")) for k in ("logistic_regression", "linear_svm")]
+    t = leaderboard(spark, sf_dir).unionByName(q_dense_vector_lr(spark, sf_dir)).where(F.col("split") == "test").select("model", "macro_f1")
+    t = t.unionByName(tuned[0]).unionByName(tuned[1])
     return t.agg(F.max_by("model", F.struct("macro_f1", F.col("model"))).alias("best_model"),
                  F.max("macro_f1").alias("best_test_macro_f1"))
 
 
 # -- scoring: model store, classify job --------------------------------------------------
 
-REGISTRY = [
-    ("logistic_regression", "Logistic regression", "TF-IDF 1-2 grams, balanced, default for scoring"),
-    ("linear_svm", "Linear SVM", "TF-IDF 1-2 grams, one-vs-rest, balanced"),
-    ("naive_bayes", "Naive Bayes", "TF-IDF 1-2 grams, multinomial"),
-    ("random_forest", "Random forest", "TF-IDF 1-2 grams, balanced"),
-    ("boosted_trees", "Boosted trees", "TF-IDF 1-2 grams, one-vs-rest"),
-]
-
-
 def _scoring_corpus(spark, sf_dir) -> DataFrame:
     """documents (label = lang) plus rendered invoices (label = invoice)."""
-    d = cleaned(spark, sf_dir).withColumn("raw", F.lit(None).cast("string"))
     d = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("label"), F.col("text").alias("raw"))
     inv = invoices(spark, sf_dir).select(
@@ -261,66 +272,49 @@ def _scoring_corpus(spark, sf_dir) -> DataFrame:
     return both.withColumn("text", tx.clean_for_classifier("raw"))
 
 
-def save_model(spark, sf_dir, key: str = "logistic_regression", small: bool = True) -> str:
+def save_model(spark, sf_dir, key: str = "logistic_regression") -> str:
     """Fit features + indexer + model on the scoring corpus and save one
-    PipelineModel under the shared checkpoint folder."""
-    corpus = _scoring_corpus(spark, sf_dir)
-    sp = fe.stratified_split(corpus, "label", "doc_id")
-    train = sp.where(F.col("split") == "train")
-    feats, idx = tr.prepare(train, vocab_size=SMALL_VOCAB)
-    tr_f = tr.with_balanced_weights(tr.featurize(train, feats, idx)).cache()
-    model = tr.make_model(key, n_train=tr_f.count(), small=small).fit(tr_f)
-    pm = PipelineModel(stages=list(feats.stages) + [idx, model])
-    path = os.path.join(scratch_path(spark, "models"), key)
-    pm.write().overwrite().save(path)
+    PipelineModel in a folder of its own under the shared checkpoint folder."""
+    fit = Fit(fe.stratified_split(_scoring_corpus(spark, sf_dir), "label", "doc_id"))
+    model = fit.model(key)
+    fit.done()
+    members = list(model.stages) if isinstance(model, PipelineModel) else [model]
+    path = scratch_path(spark, f"model-{key}-{uuid.uuid4().hex}")
+    PipelineModel(stages=[*fit.feats.stages, fit.idx, *members]).write().save(path)
     return path
 
 
-def load_model(spark, key: str) -> PipelineModel:
-    if key not in {k for k, _, _ in REGISTRY}:
-        raise ValueError(f"unknown model key {key}")
-    return PipelineModel.load(os.path.join(scratch_path(spark, "models"), key))
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def labels_of(pm: PipelineModel) -> list[str]:
+    return [s for s in pm.stages if hasattr(s, "labels")][0].labels
 
 
 @register("model_store")
 def q_model_store(spark, sf_dir):
-    save_model(spark, sf_dir, "logistic_regression")
-    pm = load_model(spark, "logistic_regression")
-    scored = pm.transform(_scoring_corpus(spark, sf_dir))
-    labels = [s for s in pm.stages if hasattr(s, "labels")][0].labels
-    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), (F.col("prediction") + 1).cast("int"))
+    """An SVM, saved and loaded: predictions per class over the scoring corpus."""
+    pm = load_model(save_model(spark, sf_dir, "linear_svm"))
+    scored = tr.predictions(pm, _scoring_corpus(spark, sf_dir))
+    lab = F.element_at(F.array(*[F.lit(x) for x in labels_of(pm)]), (F.col("prediction") + 1).cast("int"))
     return scored.groupBy(lab.alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("model_registry")
-def q_model_registry(spark, sf_dir):
-    base = scratch_path(spark, "models")
-    reg = spark.createDataFrame(REGISTRY, "key string, name string, description string")
-    saved = [(k,) for k, _, _ in REGISTRY if os.path.isdir(os.path.join(base, k))]
-    have = spark.createDataFrame(saved, "key string").withColumn("available", F.lit(True))
-    return reg.join(F.broadcast(have), "key", "left").fillna(False, ["available"])
-
-
-def classify(spark, sf_dir, docs: DataFrame, key: str = "logistic_regression") -> DataFrame:
+def classify(spark, path: str, docs: DataFrame, key: str) -> DataFrame:
     """clean -> features -> predict -> probabilities -> signal override ->
-    extraction for invoices only, joined back by doc_id."""
+    extraction for invoices only; every step is per row, so no join."""
     from ..operators.extract_text import extract_fields
-    pm = load_model(spark, key)
-    labels = [s for s in pm.stages if hasattr(s, "labels")][0].labels
-    prepared = docs.withColumn("text", tx.clean_for_classifier("raw"))
-    scored = tr.probabilities(pm, prepared, labels)
-    sig = docs.select("doc_id", "raw", tx.signal_count("raw").alias("n_signals"))
-    s = tr.invoice_override(scored.join(sig, "doc_id"))
-    inv = s.where(F.col("label") == "invoice").select("doc_id", extract_fields(F.col("raw")).alias("invoice_fields"))
-    return (s.join(inv, "doc_id", "left")
-            .select("doc_id", "label", "confidence", "proba", F.lit(key).alias("model_used"),
-                    "n_signals", "overridden", "invoice_fields"))
+    pm = load_model(path)
+    prepared = docs.withColumns({"text": tx.clean_for_classifier("raw"), "n_signals": tx.signal_count("raw")})
+    s = tr.invoice_override(tr.probabilities(pm, prepared, labels_of(pm), carry=("raw", "n_signals")))
+    return s.select("doc_id", "label", "confidence", "proba", F.lit(key).alias("model_used"), "n_signals", "overridden",
+                    F.when(F.col("label") == "invoice", extract_fields(F.col("raw"))).alias("invoice_fields"))
 
 
 @register("classify_job")
 def q_classify_job(spark, sf_dir):
-    save_model(spark, sf_dir, "logistic_regression")
-    docs = _scoring_corpus(spark, sf_dir).select("doc_id", "raw")
-    out = classify(spark, sf_dir, docs)
+    path = save_model(spark, sf_dir, "logistic_regression")
+    out = classify(spark, path, _scoring_corpus(spark, sf_dir).select("doc_id", "raw"), "logistic_regression")
     return out.select("doc_id", "label", "confidence", "model_used", "n_signals", "overridden",
                       "invoice_fields.*")

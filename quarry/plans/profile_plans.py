@@ -10,7 +10,7 @@ from ..functions import text as tx
 from ..operators import corpus as cp
 from ..operators import dedup as dd
 from ..operators import profile as pf
-from ..sources.invoices import invoices_sql_cte
+from ..sources.invoices import invoices, invoices_sql_cte
 from ..sources.tables import table
 from . import sql as S
 from .sql import WS, q, re2_unicode
@@ -577,6 +577,18 @@ def q_softmax(spark, sf_dir):
     return e.select("vec_id", F.transform(tx.softmax(v), lambda x: F.round(x, 6)).alias("probs"))
 
 
+
+_INVOICE_FLAGS = [(name, pattern, True) for name, pattern in fixed.INVOICE_TERMS]
+
+
+# the oracle's engine does not take an escape before a letter it does not know
+@register("invoice_terms", WITH_INV + _presence_sql(
+    [(n, p.replace("\\€", "€").replace("\\£", "£"), ci) for n, p, ci in _INVOICE_FLAGS], "inv", "text"))
+def q_invoice_terms(spark, sf_dir):
+    """Percent of invoices that hold each term."""
+    return pf.feature_presence(invoices(spark, sf_dir), pf.flags_from(_INVOICE_FLAGS, "text"))
+
+
 # Integer widths as Spark returns them.
 for _name, _types in {
     'null_profile': {'n_null': 'BIGINT'},

@@ -44,20 +44,13 @@ def stream_dedup(spark: SparkSession, src: str, schema, out: str, checkpoint: st
 def stream_score(spark: SparkSession, src: str, schema, model, labels: list[str], out: str,
                  checkpoint: str) -> DataFrame:
     """New documents -> label, confidence, signal count and the invoice
-    override (a fitted PipelineModel with probabilities, applied per
-    micro-batch; one output row per input row, no join)."""
-    from ..operators.train import invoice_override
+    override (a fitted PipelineModel, margins through a softmax where it has no
+    probabilities, applied per micro-batch; one output row per input row, no
+    join)."""
+    from ..operators.train import invoice_override, probabilities
     s = spark.readStream.schema(schema).parquet(src)
     prepared = s.withColumn("raw", F.col("text")).withColumn("text", tx.clean_for_classifier("raw"))
-    p = probabilities_from(model.transform(prepared), labels).withColumn("n_signals", tx.signal_count("raw"))
+    p = probabilities(model, prepared, labels, carry=("raw",)).withColumn("n_signals", tx.signal_count("raw"))
     _run(invoice_override(p).drop("proba", "raw"), out, checkpoint)
     return spark.read.parquet(out)
 
-
-def probabilities_from(p: DataFrame, labels: list[str]) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    probs = vector_to_array("probability")
-    labs = F.array(*[F.lit(x) for x in labels])
-    pred = F.element_at(labs, (F.col("prediction") + 1).cast("int"))
-    return p.select("doc_id", "raw", pred.alias("label"), F.round(F.array_max(probs), 4).alias("confidence"),
-                    F.map_from_arrays(labs, F.transform(probs, lambda x: F.round(x, 4))).alias("proba"))
