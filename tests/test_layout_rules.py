@@ -14,20 +14,20 @@ def words(spark, rows):
 
 def test_inline_date(spark):
     w = words(spark, [("Date", 100.0, 125.0, 10.0, 20.0), ("of", 130.0, 140.0, 10.0, 20.0),
-                      ("issue:", 145.0, 200.0, 10.0, 20.0), ("07/29/2011", 400.0, 460.0, 10.0, 20.0)])
+                      ("issue:", 145.0, 200.0, 10.0, 20.0), ("11/03/2017", 400.0, 460.0, 10.0, 20.0)])
     r = el.extract_from_words(w).collect()[0]
-    assert r["invoice_date"] == "07/29/2011"
+    assert r["invoice_date"] == "11/03/2017"
 
 
 def test_block_below(spark):
     w = words(spark, [("Seller:", 0.0, 42.0, 0.0, 10.0), ("Client:", 300.0, 342.0, 0.0, 10.0),
-                      ("Acme", 0.0, 24.0, 12.0, 22.0), ("One", 30.0, 48.0, 12.0, 22.0),
-                      ("Blue", 300.0, 324.0, 12.0, 22.0), ("PLC", 330.0, 348.0, 12.0, 22.0)])
+                      ("Northgate", 0.0, 24.0, 12.0, 22.0), ("Parts", 30.0, 48.0, 12.0, 22.0),
+                      ("Harbour", 300.0, 324.0, 12.0, 22.0), ("PLC", 330.0, 348.0, 12.0, 22.0)])
     r = el.extract_from_words(w).collect()[0]
     # the block reaches 300 units right of the label, so it takes the
     # client's first word too (the rules as built)
-    assert r["issuer"] == "Acme One Blue"
-    assert r["recipient"] == "Blue PLC"
+    assert r["issuer"] == "Northgate Parts Harbour"
+    assert r["recipient"] == "Harbour PLC"
 
 
 def test_rows_fold_on_anchor(spark):

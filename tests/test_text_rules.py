@@ -22,26 +22,26 @@ def scalar(spark, expr, value):
 
 
 @pytest.mark.parametrize("text,field,expected", [
-    ("Date of issue: 07/29/2011", "invoice_date", "07/29/2011"),
-    ("Date of issue:\n07/29/2011", "invoice_date", "07/29/2011"),
-    ("Due date:\n15/04/2024", "due_date", "15/04/2024"),
-    ("TOTAL: $ 164,97", "total", "164,97"),
-    ("Total $ 149,97  $ 15,00  $ 164,97", "total", "164,97"),
+    ("Date of issue: 11/03/2017", "invoice_date", "11/03/2017"),
+    ("Date of issue:\n11/03/2017", "invoice_date", "11/03/2017"),
+    ("Due date:\n21/09/2022", "due_date", "21/09/2022"),
+    ("TOTAL: $ 283,46", "total", "283,46"),
+    ("Total $ 268,46  $ 15,00  $ 283,46", "total", "283,46"),
     ("Total 300.00 20.00", "total", "300.00"),
     ("Sub total 10.00", "total", None),
     ("Invoice No: 2024", "invoice_number", None),
-    ("Invoice No: INV-77 ", "invoice_number", "INV-77"),
-    ("Paid with ref #12345 today", "invoice_number", "#12345"),
-    ("Seller:\nAcme One\nClient:\nBlue PLC", "issuer", "Acme One"),
-    ("Seller:\nAcme One\nClient:\nBlue PLC", "recipient", "Blue PLC"),
+    ("Invoice No: INV-804 ", "invoice_number", "INV-804"),
+    ("Paid with ref #68021 today", "invoice_number", "#68021"),
+    ("Seller:\nNorthgate Parts\nClient:\nHarbour PLC", "issuer", "Northgate Parts"),
+    ("Seller:\nNorthgate Parts\nClient:\nHarbour PLC", "recipient", "Harbour PLC"),
 ])
 def test_field_cases(spark, text, field, expected):
     assert extract(spark, text)[field] == expected
 
 
 def test_due_line_wins_issue_date(spark):
-    r = extract(spark, "Due date: 15/04/2024")
-    assert r["invoice_date"] == "15/04/2024" and r["due_date"] == "15/04/2024"
+    r = extract(spark, "Due date: 21/09/2022")
+    assert r["invoice_date"] == "21/09/2022" and r["due_date"] == "21/09/2022"
 
 
 @pytest.mark.parametrize("text", ["", None])
@@ -51,7 +51,7 @@ def test_empty_gives_six_nulls(spark, text):
 
 
 def test_month_name_date(spark):
-    assert scalar(spark, inv.find_date, "Issued March 15, 2024") == "March 15, 2024"
+    assert scalar(spark, inv.find_date, "Issued October 7, 2019") == "October 7, 2019"
 
 
 def test_largest_not_rightmost(spark):
@@ -59,9 +59,9 @@ def test_largest_not_rightmost(spark):
 
 
 def test_amount_parsing(spark):
-    assert scalar(spark, inv.amount_as_double, "3.750,00") == 3750.0
-    assert scalar(spark, inv.amount_as_double, "$ 3,750.00") == 3750.0
-    assert scalar(spark, inv.amount_as_double, "164,97") == 164.97
+    assert scalar(spark, inv.amount_as_double, "5.820,00") == 5820.0
+    assert scalar(spark, inv.amount_as_double, "$ 5,820.00") == 5820.0
+    assert scalar(spark, inv.amount_as_double, "283,46") == 283.46
 
 
 def test_year_is_not_monetary(spark):
