@@ -82,6 +82,13 @@ def chunk_spans(off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, np.minimum(start + CHUNK, off[row + 1]), row
 
 
+def unit_rows(chunks: list[bytes]) -> np.ndarray:
+    """Presence rows of some chunks, each of length one."""
+    x = np.concatenate([features(np.frombuffer(c, np.uint8), np.array([0]), np.array([len(c)])) for c in chunks]).astype(np.float32)
+    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+    return x
+
+
 class Classifier:
     """Landmarks and regression weights."""
 
@@ -96,16 +103,14 @@ class Classifier:
         labels = sorted({lang for lang, _ in sample})
         if not labels:
             return cls([], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0), np.float32))
-        x = np.concatenate([features(np.frombuffer(c, np.uint8), np.array([0]), np.array([len(c)])) for _, c in sample])
-        x = x.astype(np.float32)
-        x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
         y = np.array([labels.index(lang) for lang, _ in sample])
         pick = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(labels))])
-        marks = x[pick]
+        marks = unit_rows([sample[i][1] for i in pick])
         values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
         good = values > 1e-8 * values[-1]
         root = vectors[:, good] / np.sqrt(values[good])                      # whitening of the landmark kernel
-        phi = np.c_[(x @ marks.T) @ root, np.ones(len(x))]
+        kernel = np.concatenate([unit_rows([c for _, c in sample[i:i + BLOCK]]) @ marks.T for i in range(0, len(sample), BLOCK)])
+        phi = np.c_[kernel @ root, np.ones(len(sample))]
         target = np.where(y[:, None] == np.arange(len(labels)), 1.0, -1.0)
         # every language weighs the same
         w = 1.0 / np.bincount(y)[y]
