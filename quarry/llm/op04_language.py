@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, NULL_ID, key_text, pieces, restore_id, utf8
+from .common import LOWER, NULL_ID, cut, key_text, pieces, restore_id, utf8
 
 CHUNK = 4096
 DIMS = 1 << 15
@@ -204,6 +204,8 @@ def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     model = fit(docs.where(~held_out()))
     rejected = predict(docs, model).where((F.col("lang_pred") == UND) | (F.col("score") < min_score)).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    # written first, so that the join knows their size: few go by broadcast, many by sort-merge
+    rejected = cut(rejected, "language-rejected")
     keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(NULL_ID)),
                               "_key": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
     return keyed.join(rejected, ["_id", "_key"], "left_anti").select(*docs.columns)
