@@ -181,11 +181,6 @@ def q_grid_search(spark, sf_dir):
     return grid_search(spark, sf_dir, "logistic_regression")
 
 
-@register("grid_search_svm")
-def q_grid_search_svm(spark, sf_dir):
-    return grid_search(spark, sf_dir, "linear_svm")
-
-
 CURVE_SIZES = (0.1, 0.229, 0.357, 0.486, 0.614, 0.743, 0.871, 1.0)
 
 
@@ -250,11 +245,9 @@ def q_leaderboard(spark, sf_dir):
 
 @register("select_best")
 def q_select_best(spark, sf_dir):
-    """Best test macro-F1 over the five families, the dense vectors and the two tuned models."""
-    tuned = [grid_search(spark, sf_dir, k).where("best").select(
-        F.lit(f"{k}_tuned").alias("model"), F.col("test_macro_f1").alias("macro_f1")) for k in ("logistic_regression", "linear_svm")]
-    t = leaderboard(spark, sf_dir).unionByName(q_dense_vector_lr(spark, sf_dir)).where(F.col("split") == "test").select("model", "macro_f1")
-    t = t.unionByName(tuned[0]).unionByName(tuned[1])
+    """Best test macro-F1 over the five families and the dense vectors; the
+    tuned models' test scores are in the grid queries."""
+    t = leaderboard(spark, sf_dir).unionByName(q_dense_vector_lr(spark, sf_dir)).where(F.col("split") == "test")
     return t.agg(F.max_by("model", F.struct("macro_f1", F.col("model"))).alias("best_model"),
                  F.max("macro_f1").alias("best_test_macro_f1"))
 
@@ -318,3 +311,9 @@ def q_classify_job(spark, sf_dir):
     out = classify(spark, path, _scoring_corpus(spark, sf_dir).select("doc_id", "raw"), "logistic_regression")
     return out.select("doc_id", "label", "confidence", "model_used", "n_signals", "overridden",
                       "invoice_fields.*")
+
+
+# the longest one comes last
+@register("grid_search_svm")
+def q_grid_search_svm(spark, sf_dir):
+    return grid_search(spark, sf_dir, "linear_svm")
