@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import fixed
 from ..functions.fixed import SPARK_ENGLISH_STOP_WORDS
-from ..functions.text import UI, U, n_words, noise_ratios, py_strip
+from ..functions.text import n_words, noise_ratios, py_strip
 
 R = 4  # decimals kept on double outputs
 

@@ -17,7 +17,7 @@ import re
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier,
+    GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     CountVectorizer, ElementwiseProduct, IDF, Normalizer, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer,
