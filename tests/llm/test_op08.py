@@ -5,7 +5,6 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import by_id
 from quarry.llm import common, op08_decontaminate as op
 from quarry.llm.common import A_Z
 
