@@ -33,9 +33,21 @@ def ascii_lower(c) -> Column:
     return F.translate(F.col(c) if isinstance(c, str) else c, A_Z, A_Z.lower())
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python in batches of at most 1000 rows: the default of
+    10,000 holds tens of MB per task on either side. A session that asks for
+    fewer rows keeps its setting."""
+    if int(spark.conf.get(BATCH_ROWS, "10000")) > rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def key_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with null ids as NULL_ID and null texts as ''; other
     columns, whatever their names, are left behind."""
+    small_batches(df.sparkSession)
     return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, NULL_ID, cut, key_text, pieces, restore_id, utf8
+from .common import LOWER, NULL_ID, cut, key_text, pieces, restore_id, small_batches, utf8
 
 CHUNK = 4096
 DIMS = 1 << 15
@@ -135,6 +135,7 @@ class Classifier:
 
 def training_chunks(labelled: DataFrame, lang_col: str, text_col: str, most: int) -> list[tuple[str, bytes]]:
     """At most about ``most`` distinct chunks per language, drawn by hash."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     count = {r.lang: r.n for r in rows.groupBy("lang").agg(

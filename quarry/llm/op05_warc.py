@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import NULL_ID, cut, restore_id
+from .common import NULL_ID, cut, restore_id, small_batches
 
 ARCHIVE_BYTES = 8 << 20
 CHUNK = 64 << 10
@@ -103,6 +103,7 @@ def local_folder(folder: str) -> str | None:
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write every row of ``pages`` as a record of the archives in ``folder``."""
+    small_batches(pages.sparkSession)
     rows = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("page_id"),
                         F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
