@@ -213,15 +213,16 @@ def as_blob(a: np.ndarray) -> bytes:
 def word_pieces(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, overlap: int, most: int = PIECE_BYTES):
     """Like ``pieces``, but a row longer than ``most`` comes as several pieces
     cut between words, each of which repeats the last ``overlap`` words of the
-    one before. Yields (first row, bytes, offsets, starts, ends, rows, index
-    of the first word in its row, last piece of the row?)."""
+    text before it, however long they are. Yields (first row, bytes, offsets,
+    starts, ends, rows, index of the first word in its row, last piece of the
+    row?)."""
     for i, d, o in pieces(data, off, most):
         if len(d) <= most or len(o) > 2:
             yield i, d, o, *word_spans(d, o, is_word), 0, True
             continue
-        at, first = 0, 0
+        at, end, first = 0, 0, 0
         while True:
-            end = min(len(d), at + most)
+            end = min(len(d), end + most)
             while end < len(d) and is_word[d[end]] and is_word[d[end - 1]]:
                 gap = np.flatnonzero(~is_word[d[end:end + most]])
                 end = end + int(gap[0]) if len(gap) else min(len(d), end + most)
@@ -231,7 +232,7 @@ def word_pieces(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, overlap:
             yield i, sub, o, starts, ends, rows, first, end == len(d)
             if end == len(d):
                 break
-            keep = min(overlap, max(0, len(starts) - 1))
+            keep = min(overlap, len(starts))
             first += len(starts) - keep
             at = at + int(starts[len(starts) - keep]) if keep else end
 

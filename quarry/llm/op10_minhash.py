@@ -79,19 +79,23 @@ def shingle_sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of every text of a batch."""
     data, off = utf8(batch.column("text"))
     whole: list[np.ndarray] = []
-    for _, d, o, starts, ends, rows, _, last in word_pieces(data, off, SPACED, k - 1):
+    held = np.zeros(0, U64)                    # last words of a long text's earlier pieces
+    more = False
+    for _, d, o, _, _, rows, _, last in word_pieces(data, off, SPACED, 0):
         _, _, _, h = word_hashes(d, o, SPACED, lower=True)
-        at = np.searchsorted(rows, np.arange(len(o)))
-        if last and not whole:
+        if last and not more:
+            at = np.searchsorted(rows, np.arange(len(o)))
             for r in range(len(o) - 1):
                 yield distinct(shingle_hashes(h[at[r]:at[r + 1]], k))
             continue
-        # one long text in several pieces; a piece too short for a shingle adds none
-        if len(h) >= k or (last and not whole):
+        # one long text in several pieces; words too few for a shingle wait for the next piece
+        h = np.concatenate([held, h])
+        if len(h) >= k:
             whole.append(distinct(shingle_hashes(h, k)))
+        held, more = h[max(0, len(h) - k + 1):], not last
         if last:
             yield distinct(np.concatenate(whole)) if whole else distinct(shingle_hashes(h, k))
-            whole = []
+            whole, held = [], np.zeros(0, U64)
 
 
 def distinct(g: np.ndarray) -> np.ndarray:

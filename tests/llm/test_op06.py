@@ -63,6 +63,17 @@ def test_small_pieces_runs_and_buckets(spark, make_docs, monkeypatch):
     assert op.repeated_spans(table.limit(0)).count() == 0
 
 
+def test_words_longer_than_a_piece(spark, make_docs):
+    say = lambda c, k: [f"{c}{j}" for j in range(k)]
+    huge = "x" * (common.PIECE_BYTES + 5)
+    shared = [say("s", 6) + [huge] + say("t", 6), [huge] + say("u", 12), say("v", 12) + [huge], say("w", 5) + [huge, huge] + say("z", 6)]
+    docs = [(i, " ".join(say(f"a{i}", 3) + w + say(f"b{i}", 20)) + "\n") for i, w in enumerate(shared + shared)]
+    _, sf = make_docs(docs + [(50, huge + "\n"), (51, " ".join([huge] * 13) + "\n"), (52, " ".join([huge] * 14))])
+    want = brute(docs + [(50, huge), (51, " ".join([huge] * 13)), (52, " ".join([huge] * 14))])
+    assert [want[i][1] for i in range(4, 8)] == [13] * 4 and want[52][1] == 14
+    assert got(op.query(spark, sf)) == want
+
+
 def test_bundles_cover_what_repeats_inside_a_task():
     raw = np.frombuffer(b"aabbaabb", np.uint8)
     arr = lambda *x: np.array(x, np.int64)

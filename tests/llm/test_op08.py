@@ -74,6 +74,19 @@ def test_small_pieces_and_blocks(make_docs, spark, monkeypatch):
     assert n
 
 
+def test_pieces_hold_every_window():
+    """Words longer than a piece do not cost a window."""
+    for t in ("a b HHHHHHHH c d", "HHHHHHHH a b c", "a b HHHHHHHH", "HHHHHHHH\n", "HHHHHHHH IIIIIIIIII a JJJJJJJJ\n"):
+        raw, w = np.frombuffer(t.encode(), np.uint8), t.split()
+        for k in (1, 2, 3, 5):
+            seen = set()
+            for _, d, _, s, e, _, first, _ in common.word_pieces(raw, np.array([0, len(raw)]), common.ALNUM, k - 1, most=4):
+                piece = [d[a:b].tobytes().decode() for a, b in zip(s, e)]
+                assert piece == w[first:first + len(piece)]
+                seen |= {first + j for j in range(len(piece) - k + 1)}
+            assert seen == set(range(len(w) - k + 1))
+
+
 def test_fm_index_counts_and_positions():
     r = random.Random(1)
     for _ in range(40):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import op10_minhash as op
-from quarry.llm.common import A_Z
+from quarry.llm.common import A_Z, PIECE_BYTES, SPACED, word_hashes
 from quarry.llm.components import components
 
 LOW = str.maketrans(A_Z, A_Z.lower())
@@ -88,6 +88,24 @@ def test_five_words_and_long_texts_in_pieces(spark, make_docs, monkeypatch):
     assert [len(g) for g in op.shingle_sets(batch, 5)] == [len(shingles(t, 5)) for t in texts]
 
 
+def test_words_longer_than_a_piece():
+    import pyarrow as pa
+    huge, next_ = "x" * (PIECE_BYTES + 5), "y" * (2 * PIECE_BYTES)
+    texts = [f"a b {huge} c d", f"{huge} a b c", f"a b c {huge}", f"{huge}\n", f"{huge} {next_} a {huge}\n", "a b c", "a\n"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    for k in (1, 2, 3, 5):
+        want = [distinct_hashes(t, k) for t in texts]
+        assert [g.tolist() for g in op.shingle_sets(batch, k)] == want
+        assert [len(g) for g in want] == [len(shingles(t, k)) for t in texts]
+
+
+def distinct_hashes(t, k):
+    """Hashes of the shingles of all words at once."""
+    data = np.frombuffer(t.encode(), np.uint8)
+    h = word_hashes(data, np.array([0, len(data)]), SPACED, lower=True)[3]
+    return np.unique(op.shingle_hashes(h, k)).tolist()
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(0)
     a = r.integers(0, 2 ** 63, 3000, dtype=np.uint64)
