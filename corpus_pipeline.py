@@ -6,7 +6,8 @@ so a lost executor costs at most one stage. All stages but the last return
 the columns of ``documents`` as they are.
 
 1. language: documents whose language cannot be told go (no letter, or a
-   score under ``op04_language.MIN_SCORE``).
+   score under ``op04_language.MIN_SCORE``, which four languages or fewer do
+   not reach: with the tables' languages only texts without a letter go).
 2. exact_dedup: of equal texts (lower-cased A-Z) the largest doc_id stays.
 3. near_dedup: of each group linked by 5-word shingles with similarity 0.8
    and more the smallest doc_id stays.

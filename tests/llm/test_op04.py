@@ -75,6 +75,17 @@ def test_defined_cases(spark, make_docs, docs):
     assert {r.doc_id for r in kept.collect()} >= {i for i, _, _ in train} and kept.where("doc_id in (5001, 5002, 5003)").count() == 0
 
 
+def test_copies_take_no_place_in_the_sample(spark):
+    words = [f"word{k} " * 20 for k in range(60)]
+    rows = [("aa", w) for w in words[:30]] + [("bb", w) for w in words[30:]] + [("cc", "one")]
+    labelled = spark.createDataFrame(rows, "lang string, text string").unionByName(
+        spark.range(200_000).select(F.lit("bb").alias("lang"), F.lit(words[30]).alias("text")))
+    got = op.training_chunks(labelled, "lang", "text", 20)
+    want = {(lang, t.encode()) for lang in ("aa", "bb", "cc")
+            for t in sorted({t for x, t in rows if x == lang}, key=lambda t: zlib.crc32(t.encode()))[:20]}
+    assert len(got) == len(want) == 41 and set(got) == want
+
+
 def test_no_labels_and_empty(spark, make_docs):
     table, sf = make_docs([(1, "hello"), (2, "x")])
     assert {r.lang_pred for r in op.query(spark, sf).collect()} == {"und"}
