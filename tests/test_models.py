@@ -43,6 +43,28 @@ def test_grid_refits_the_best(spark):
     assert best.cv_macro_f1 == max(r.cv_macro_f1 for r in rows) and best.test_macro_f1 > 0.5
 
 
+@pytest.mark.parametrize("kind, want", [("linear_svm", [0.01, 0.1, 1.0]), ("logistic_regression", [0.1, 1.0, 10.0])])
+def test_each_grid_has_its_own_penalties(spark, monkeypatch, kind, want):
+    """The fits are swapped for a quick model; only the grid is looked at."""
+    make = train.make_model
+    monkeypatch.setattr(train, "make_model", lambda kind, n_train=None, C=1.0: make("naive_bayes"))
+    rows = mp.grid_search(spark, SF001, kind, vocab_sizes=(300,), ngrams=(1,), k=2).collect()
+    assert sorted(r.C for r in rows) == want and sum(r.best for r in rows) == 1
+
+
+@pytest.mark.parametrize("svm, best", [(0.95, "tuned_linear_svm"), (0.91, "random_forest"), (0.92, "random_forest")])
+def test_select_best_ranks_the_tuned_models(spark, monkeypatch, svm, best):
+    f1 = {"naive_bayes": 0.8, "linear_svm": 0.9, "logistic_regression": 0.9, "random_forest": 0.92, "boosted_trees": 0.7}
+    cols = "model string, split string, accuracy double, macro_f1 double, weighted_f1 double"
+    small = lambda found: spark.createDataFrame([(m, s, x, x, x) for m, v in found.items() for s, x in (("val", 1.0), ("test", v))], cols)
+    monkeypatch.setattr(mp, "leaderboard", lambda *a, **kw: small(f1))
+    monkeypatch.setattr(mp, "q_dense_vector_lr", lambda *a: small({"dense_vector_lr": 0.6}))
+    monkeypatch.setattr(mp, "grid_search", lambda spark, sf, kind, **kw: spark.createDataFrame(
+        [(kind, False, None), (kind, True, svm if kind == "linear_svm" else 0.9)], "model string, best boolean, test_macro_f1 double"))
+    row = mp.q_select_best(spark, SF001).first()
+    assert (row.best_model, row.best_test_macro_f1) == (best, max(svm, 0.92))
+
+
 def test_top_coefficients_are_the_extremes(fit):
     lr = fit.model("logistic_regression")
     vocab = [s for s in fit.feats.stages if hasattr(s, "vocabulary")][0].vocabulary
