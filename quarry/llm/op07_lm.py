@@ -1,10 +1,12 @@
 """Language-model scores: a unigram base and a log-bilinear neural model.
 
 Gathering. Each task sends, per word bucket, the distinct word hashes of a
-piece of text with their training counts and the documents that hold them. A
-bucket adds the counts of its words over the whole corpus and answers every
-piece with the sums that its documents need, so no table of all words exists
-in one place and a frequent word is one entry per piece. Bigram counts over
+piece of text with their training counts. A bucket adds the counts of its words
+over the whole corpus and answers every piece with the counts of its words, so
+no table of all words exists in one place and a frequent word, the end
+included, is one entry per piece. The documents that hold the words stay in one
+row per piece; it passes through a bucket chosen by the piece's number, and meets
+the answers in a group of its own. Bigram counts over
 the model's vocabulary come from all training tokens, combined per task.
 
 Model. Vocabulary: the ``VOCAB`` most frequent training tokens (ties by hash),
@@ -104,14 +106,12 @@ def asking(buckets: int):
                 pair, times = pair[a], (z - a).astype(np.int32)
                 per = np.bincount(pair // n, minlength=len(words)).astype(np.int32)
                 doc = (pair % n).astype(np.int32)
-                cuts = np.r_[0, np.cumsum(per)]
-                out: list[list] = [[], [], [], []]
+                lists = b"".join((np.array([len(words), len(doc), n], np.int64).tobytes(), per.tobytes(), doc.tobytes(), times.tobytes()))
+                spread = (piece * int(END) % 2 ** 64 >> 32) % buckets
+                out: list[list] = [[spread], [piece], [squeeze(lists)], [np.r_[ids[i:i + n], keys[i:i + n]].tobytes()]]
                 for lo, hi in zip(*(x.tolist() for x in runs(at))):
-                    p, q = int(cuts[lo]), int(cuts[hi])
-                    blob = b"".join((np.array([hi - lo, q - p, n], np.int64).tobytes(), words[lo:hi].tobytes(), count[lo:hi].tobytes(),
-                                     per[lo:hi].tobytes(), doc[p:q].tobytes(), times[p:q].tobytes()))
-                    mine = int(at[lo]) == int(END % U64(buckets))
-                    for c, v in zip(out, (int(at[lo]), piece, squeeze(blob), np.r_[ids[i:i + n], keys[i:i + n]].tobytes() if mine else b"")):
+                    blob = words[lo:hi].tobytes() + count[lo:hi].tobytes()
+                    for c, v in zip(out, (int(at[lo]), piece, squeeze(blob), b"")):
                         c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                                                   pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
@@ -122,28 +122,27 @@ def asking(buckets: int):
 
 def answering(top: int):
     def bucket(table: pa.Table) -> pa.Table:
-        expand = zstandard.ZstdDecompressor().decompress
-        asks = []
-        for blob in table.column("payload").to_pylist():
+        expand, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        number = table.column("bucket")[0].as_py()
+        asks, rows = [(np.zeros(0, U64), np.zeros(0, np.int32))], []
+        pieces = []
+        for blob, piece, docs in zip(*(table.column(c).to_pylist() for c in ("payload", "piece", "docs"))):
+            if docs:                                       # a piece's documents pass through
+                rows.append((3, piece, 0, blob, docs))
+                continue
             x = expand(blob)
-            u, p, n = np.frombuffer(x, np.int64, 3).tolist()
-            at = 24 + 8 * u
-            asks.append((np.frombuffer(x, U64, u, 24), np.frombuffer(x, np.int32, u, at), np.frombuffer(x, np.int32, u, at + 4 * u),
-                         np.frombuffer(x, np.int32, p, at + 8 * u), np.frombuffer(x, np.int32, p, at + 8 * u + 4 * p), n))
+            u = len(x) // 12
+            asks.append((np.frombuffer(x, U64, u), np.frombuffer(x, np.int32, u, 8 * u)))
+            pieces.append(piece)
         words, which = np.unique(np.concatenate([a[0] for a in asks]), return_inverse=True)
         count = np.bincount(which, weights=np.concatenate([a[1] for a in asks]), minlength=len(words)).astype(np.int64)
-        log = np.log10(count + 1.0)
-        rows: list[tuple] = [(2, int((count > 0).sum()), int(count.sum()), b"", b"")]
+        rows.append((2, int((count > 0).sum()), int(count.sum()), b"", b""))
         best = np.lexsort((words, -count))[:top]
         rows += [(1, int(words[k].view(np.int64)), int(count[k]), b"", b"") for k in best if count[k] > 0]
         at = 0
-        for (u, _, per, doc, times, n), piece, docs in zip(asks, table.column("piece").to_pylist(), table.column("docs").to_pylist()):
-            mine = np.repeat(which[at:at + len(u)], per)
+        for (u, _), piece in zip(asks[1:], pieces):
+            rows.append((0, piece, number, squeeze(count[which[at:at + len(u)]].tobytes()), b""))
             at += len(u)
-            here, short = np.unique(doc, return_inverse=True)
-            sums = np.bincount(short, weights=times * log[mine])
-            known = np.bincount(short, weights=times * (count[mine] > 0)).astype(np.int64)
-            rows.append((0, piece, n, here.astype(np.int64).tobytes() + sums.tobytes() + known.tobytes(), docs))
         cols = list(zip(*rows))
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                                      pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary())],
@@ -152,14 +151,20 @@ def answering(top: int):
 
 
 def summing(table: pa.Table) -> pa.Table:
-    """All answers to one piece, added up per document."""
-    n = table.column("count")[0].as_py()
-    total, known, docs = np.zeros(n), np.zeros(n, np.int64), b""
-    for blob, d in zip(table.column("payload").to_pylist(), table.column("docs").to_pylist()):
-        here, s, k = np.frombuffer(blob, np.int64).reshape(3, -1)
-        total[here] += s.view(np.float64)
-        known[here] += k
-        docs = docs or d
+    """The counts of a piece's words, added up per document."""
+    expand = zstandard.ZstdDecompressor().decompress
+    answers, docs, x = [], b"", b""
+    for kind, number, blob, d in zip(*(table.column(c).to_pylist() for c in ("kind", "count", "payload", "docs"))):
+        if kind == 3:
+            x, docs = expand(blob), d
+        else:
+            answers.append((number, expand(blob)))
+    count = np.frombuffer(b"".join(blob for _, blob in sorted(answers)), np.int64)       # words stand in bucket order
+    u, p, n = np.frombuffer(x, np.int64, 3).tolist()
+    per, doc, times = (np.frombuffer(x, np.int32, k, at) for k, at in ((u, 24), (p, 24 + 4 * u), (p, 24 + 4 * u + 4 * p)))
+    mine = np.repeat(count, per)
+    total = np.bincount(doc, weights=times * np.log10(mine + 1.0), minlength=n)
+    known = np.bincount(doc, weights=times * (mine > 0), minlength=n).astype(np.int64)
     ids, keys = np.frombuffer(docs, np.int64).reshape(2, n)
     return pa.Table.from_arrays([pa.array(ids), pa.array(keys), pa.array(total), pa.array(known)],
                                 names=["doc_id", "text_key", "log_sum", "n_known"])
@@ -317,7 +322,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     bigrams = bigram_counts(keyed, counts)
     model = LogBilinear(counts.size + 1, counts.size)
     model.train(bigrams, counts.smoothing())
-    sums = (answers.where("kind = 0").groupBy("piece").applyInArrow(summing, SUMS).dropDuplicates(["doc_id", "text_key"]))
+    sums = (answers.where("kind IN (0, 3)").groupBy("piece").applyInArrow(summing, SUMS).dropDuplicates(["doc_id", "text_key"]))
     rows = model_sums(keyed, counts, model).join(sums, ["doc_id", "text_key"])
     n, v = counts.other()
     return rows.select(

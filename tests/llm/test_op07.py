@@ -57,6 +57,21 @@ def test_repeated_rows_buckets_and_clashing_columns(spark, make_docs, monkeypatc
     check(rows, brute(docs + [docs[20], docs[20]]))
 
 
+def test_no_bucket_takes_every_document(spark):
+    """Neither the end nor a word of all documents brings them to one bucket."""
+    docs = spark.range(0, 4000, 1, 4).select(F.col("id").alias("doc_id"), F.lit("the").alias("text"))
+    keyed = common.key_text(docs).withColumns({"text_key": F.xxhash64("text"), "train": F.lit(True)})
+    before = spark.conf.get(common.BATCH_ROWS)
+    spark.conf.set(common.BATCH_ROWS, "50")
+    try:
+        asked = keyed.mapInArrow(op.asking(8), op.ASK)
+        rows = asked.groupBy("bucket").agg(F.sum(F.length("docs")).alias("ids"), F.sum(F.length("payload")).alias("size")).collect()
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
+    assert sum(r.ids for r in rows) == 16 * 4000
+    assert max(r.ids for r in rows) < 16 * 4000 / 2
+
+
 def test_no_training_text_and_empty_table(spark, make_docs):
     ids = [i for i in range(100) if held(i)][:3]
     _, sf = make_docs([(i, "a b") for i in ids])
