@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from quarry.sources.tables import TABLES
 
-from conftest import SF001
+from helpers import SF001
 
 FAST = ["field_recall", "extract_from_text", "find_date", "largest_monetary", "value_counts", "describe",
         "null_profile", "duplicate_rate", "top_words_by_label", "dedup_keep_first", "show_all_duplicates",

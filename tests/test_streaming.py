@@ -10,7 +10,7 @@ from quarry.operators.extract_text import extract_from_text
 from quarry.sources.invoices import invoices
 from quarry.streaming.jobs import stream_extract
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_stream_extract_resumes(spark):
