@@ -19,7 +19,3 @@ def make_docs(spark, tmp_path_factory):
             spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
         return spark.read.parquet(f"{folder}/documents.parquet"), folder
     return make
-
-
-def by_id(df):
-    return {r["doc_id"]: r for r in df.collect()}

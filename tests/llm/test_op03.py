@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from conftest import by_id
+from llm_helpers import by_id
 from quarry.llm import op03_sentencepiece as op
 
 LIB = sentencepiece.SentencePieceProcessor(model_file=op.MODEL_PATH)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_id
+from llm_helpers import by_id
 from quarry.llm import op04_language as op
 
 SF = "/root/testdata/sf0.01"

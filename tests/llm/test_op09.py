@@ -6,7 +6,7 @@ import re
 import duckdb
 from pyspark.sql import functions as F
 
-from conftest import by_id
+from llm_helpers import by_id
 from quarry.llm import op09_secrets as op
 
 

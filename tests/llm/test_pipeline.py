@@ -3,7 +3,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from conftest import by_id
+from llm_helpers import by_id
 from quarry.llm import op03_sentencepiece, op04_language
 from test_op02 import brute as equal_texts
 from test_op08 import brute as hits
