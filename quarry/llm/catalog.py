@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (op01_suffix_array, op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op06_substring,
-               op07_lm, op08_decontaminate, op09_secrets, op10_minhash)
+               op07_lm, op08_decontaminate, op09_secrets, op10_minhash, op13_prefix_trie)
 
 OPS = {
     "op1_suffix_array_dedup": op01_suffix_array,
@@ -16,6 +16,7 @@ OPS = {
     "op8_decontaminate": op08_decontaminate,
     "op9_secrets": op09_secrets,
     "op10_minhash_near_dedup": op10_minhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
