@@ -18,21 +18,19 @@ single class come first and cannot match, so most classes post little or
 nothing. Merging skips in two steps:
 
 1. star: in every posting list the smallest id leads; each class takes the
-   leader it collides with most often, if the sketches agree, and the pair is
-   confirmed on the full sets. This costs one pair per class and joins the bulk
-   of every group of near copies. Classes connected by such pairs, confirmed or
-   not, are a family; all pairs of a family that the star has not joined are
-   decided on the full sets, block against block, and only links that join
-   something are written.
-2. lists: a list whose members are one family is skipped. In the others only
-   members of different families are compared, by sketch; a match asks whether
-   one class belongs to a whole other family, and is answered on its full sets.
-
-So every pair that passes the bounds is decided exactly, and near misses
-inside a group are never written out as pairs.
-
-Long lists and large families are dealt out in blocks; a member meets every
-block that it has to be compared with. Components come from ``components``.
+   leader it collides with most often, if the sketches agree. This costs one
+   pair per class and joins the bulk of every group of near copies.
+2. lists: classes connected by such pairs are a family. A list whose members are
+   one family is skipped; in the others members of different families are
+   compared by sketch, and links that join two families widen them.
+
+``families`` holds these steps. All pairs of one family are decided on the full
+sets, so every pair that passes the bounds is decided exactly; a group of near
+misses is a family like any other and never written out as pairs. Components
+come from ``components``.
+
+Sets hold 64-bit hashes of shingles (polynomial hashes of words, mixed), so
+two texts built to collide under them would count as sharing a shingle.
 
 Defined cases: words are lower-cased (A-Z); a text with fewer words than a
 shingle has its whole sequence as its one shingle; null, empty and blank texts
@@ -53,11 +51,10 @@ from pyspark.sql import functions as F
 
 from .common import (NULL_ID, SPACED, U64, cut, hot_join, key_text, mix, restore_id, utf8, word_pieces, word_hashes)
 from .components import components
+from .families import decide, star_pairs, widen
 
 COORDS, MATCH = 64, 34
 SKETCH, SKETCH_MATCH = 512, 362
-BLOCK = 2048                     # members of a list or component that meet in one task
-QUERIES = 4096                   # queries against one block
 _R = np.random.default_rng(20)
 MUL = _R.integers(0, 2 ** 63, COORDS, dtype=np.uint64) * U64(2) + U64(1)
 MUL32 = _R.integers(0, 2 ** 31, SKETCH - COORDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -161,191 +158,9 @@ def postings(signed: DataFrame) -> DataFrame:
     return ordered.select("cid", F.explode(F.slice("p", F.lit(1), room)).alias("x")).select(F.col("x.key").alias("key"), "cid")
 
 
-def collisions(a, b) -> np.ndarray:
-    """Equal sketch bytes of rows of two arrays."""
-    return (a == b).sum(1, dtype=np.int32)
-
-
-def sketches(col) -> np.ndarray:
-    data, off = utf8(col)
-    return data.reshape(len(off) - 1, SKETCH)
-
-
-def star_pairs(posted: DataFrame, signed: DataFrame) -> DataFrame:
-    """(q, comp): each class with the leader that it collides with most, if the sketches agree."""
-    leads = posted.groupBy("key").agg(F.min("cid").alias("lead"))
-    met = (posted.join(leads, "key").where("cid <> lead").groupBy("cid", "lead").agg(F.count("*").alias("n"))
-           .groupBy("cid").agg(F.max(F.struct(F.col("n"), F.bitwise_not("lead").alias("first"))).alias("m"))
-           .select("cid", F.bitwise_not("m.first").alias("lead")))
-    sk = signed.select("cid", "sketch")
-
-    def agree(batches):
-        for b in batches:
-            ok = collisions(sketches(b.column("sketch")), sketches(b.column("other"))) >= SKETCH_MATCH
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("cid", "lead")], names=["q", "comp"])
-
-    return (met.join(sk, "cid").join(sk.select(F.col("cid").alias("lead"), F.col("sketch").alias("other")), "lead")
-            .select("cid", "lead", "sketch", "other").mapInArrow(agree, "q long, comp long"))
-
-
-def list_matches(posted: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
-    """(q, comp): classes that collide with a member of another component."""
-    sizes = labels.groupBy("comp").agg((F.count("*")).alias("csize"))
-    known = labels.join(sizes, "comp").withColumnRenamed("id", "cid")
-    rows = posted.join(known, "cid", "left").select(
-        "key", "cid", F.coalesce("comp", "cid").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
-    per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    lists = per.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", "n").alias("major")).where("comps > 1")
-    nb = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), nb).cast("int")
-    # in a long list, all but the largest component's members also visit every block
-    visits = F.when((nb > 1) & (F.col("comp") != F.col("major")),
-                    F.transform(F.sequence(F.lit(0), nb - 1), lambda k: F.struct(k.alias("block"), F.lit(1).alias("role")))
-                    ).otherwise(F.array().cast("array<struct<block:int,role:int>>"))
-    dealt = (rows.join(lists, "key").select(
-        "key", "cid", "comp", "csize", F.explode(F.concat(F.array(F.struct(own.alias("block"), F.lit(0).alias("role"))), visits)).alias("v"))
-        .select("key", "cid", "comp", "csize", "v.block", "v.role").join(signed.select("cid", "sketch"), "cid")
-        .select("key", "block", "role", "cid", "comp", "csize", "sketch"))
-
-    def match(batches):
-        for q, c in list_groups(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(c)], names=["q", "comp"])
-
-    return (dealt.repartition("key", "block").sortWithinPartitions("key", "block", "role")
-            .mapInArrow(match, "q long, comp long").distinct())
-
-
-def list_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Matches of a stream sorted by list block and role. Members of a block
-    (role 0) are held; visitors (role 1) pass by."""
-    held = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        get = lambda c: b.column(c).to_numpy()
-        x = {"g": np.stack([get("key"), get("block").astype(np.int64)], 1), "role": get("role"), "cid": get("cid"),
-             "comp": get("comp"), "csize": get("csize"), "sk": sketches(b.column("sketch"))}
-        if held is not None:                                  # the last block of the batch before goes on
-            x = {k: np.concatenate([held[k], v]) for k, v in x.items()}
-        seen = 0 if held is None else len(held["cid"])
-        yield compare_blocks(x, seen)
-        same = (x["g"] == x["g"][-1]).all(1)
-        held = {k: v[same & (x["role"] == 0)] for k, v in x.items()}
-
-
-def compare_blocks(x: dict, seen: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one block and different components whose sketches agree, at
-    least one of them after the first ``seen`` rows; the class of the smaller
-    component asks."""
-    n = len(x["cid"])
-    new = np.r_[True, (x["g"][1:] != x["g"][:-1]).any(1)]
-    begin = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    size = np.diff(np.r_[begin, n])
-    out_q, out_c = [], []
-    for d in range(1, int(size.max())):
-        i = np.flatnonzero((group[:-d] == group[d:]) & (x["comp"][:-d] != x["comp"][d:]) & (x["role"][:-d] == 0)) if d < n else []
-        if len(i):
-            i = i[i + d >= seen]
-        for k in range(0, len(i), 8192):
-            a = i[k:k + 8192]
-            a = a[collisions(x["sk"][a], x["sk"][a + d]) >= SKETCH_MATCH]
-            b = a + d
-            flip = x["csize"][a] > x["csize"][b]
-            out_q.append(np.where(flip, x["cid"][b], x["cid"][a]))
-            out_c.append(np.where(flip, x["comp"][a], x["comp"][b]))
-    if not out_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([np.concatenate(out_q), np.concatenate(out_c)], 1), axis=0)
-    return pairs[:, 0].copy(), pairs[:, 1].copy()
-
-
-# ------------------------------------------------------------ confirmation
-
-class Joined:
-    """Which labels are known to be linked, inside one task."""
-
-    def __init__(self):
-        self.boss: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        while (up := self.boss.setdefault(x, x)) != x:
-            self.boss[x] = x = self.boss.setdefault(up, up)
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        """True if this links something new."""
-        x, y = self.root(x), self.root(y)
-        self.boss[max(x, y)] = min(x, y)
-        return x != y
-
-
-class Block:
-    """The sets of a block's members, as places in one list of elements."""
-
-    def __init__(self, sets: list[np.ndarray], ids: list[int], labels: list[int]):
-        self.size = np.array([len(x) for x in sets], np.int64)
-        self.at = np.cumsum(self.size) - self.size
-        self.elements, self.place = np.unique(np.concatenate(sets), return_inverse=True)
-        self.ids, self.labels = np.array(ids), np.array(labels)
-        self.mark = np.zeros(len(self.elements), bool)
-
-    def similar(self, g: np.ndarray, cid: int, label: int, num: int, den: int) -> np.ndarray:
-        """Labels of the members of other labels with den * shared >= num * union."""
-        n = self.size
-        ok = (n * den >= num * len(g)) & (len(g) * den >= num * n) & (self.ids != cid) & (self.labels != label)
-        if not ok.any():                           # all joined already, or too unlike in size
-            return self.labels[:0]
-        at = np.searchsorted(self.elements, g)
-        at = at[at < len(self.elements)]
-        at = at[self.elements[at] == g[:len(at)]]
-        self.mark[at] = True
-        shared = np.add.reduceat(self.mark[self.place], self.at, dtype=np.int64)
-        self.mark[at] = False
-        return np.unique(self.labels[ok & (den * shared >= num * (n + len(g) - shared))])
-
-
-def confirm(asks: DataFrame, members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between labels: for every (q, label, comp) of ``asks`` the
-    ``members`` (cid, label, comp) of that comp with another label that are
-    similar to q, on the full sets; a link that others of the task imply is
-    left out. Comps are dealt in blocks of members, and the queries of a block
-    in lots; a lot reads the block once."""
-    asks = cut(asks.distinct(), "minhash-asks")
-    size = (members.join(asks.select("comp").distinct(), "comp", "left_semi").groupBy("comp").agg(F.count("*").alias("m"))
-            .join(asks.groupBy("comp").agg(F.count("*").alias("q_n")), "comp")
-            .select("comp", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("q_n") / QUERIES).cast("int").alias("lots")))
-    size = cut(size, "minhash-sizes")
-    held = members.join(size, "comp").select(
-        "comp", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"), "cid", "label")
-    come = asks.join(size, "comp").select(
-        "comp", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
-        F.pmod(F.xxhash64("q"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("role"), F.col("q").alias("cid"), "label")
-    rows = held.unionByName(come).join(sets, "cid").select("comp", "block", "lot", "role", "cid", "label", "set")
-
-    def check(batches):
-        here, who, labels, have, block, joined = None, [], [], [], None, Joined()
-        for b in batches:
-            out: list[tuple[int, int]] = []
-            keys = zip(*(b.column(c).to_pylist() for c in ("comp", "block", "lot", "role", "cid", "label")))
-            data, off = utf8(b.column("set"))
-            for r, (comp, blk, lot, role, cid, label) in enumerate(keys):
-                if (comp, blk, lot) != here:
-                    here, who, labels, have, block, joined = (comp, blk, lot), [], [], [], None, Joined()
-                g = np.frombuffer(data[off[r]:off[r + 1]].tobytes(), U64)
-                if role == 0:
-                    who.append(cid)
-                    labels.append(label)
-                    have.append(g)
-                elif have:
-                    block = block or Block(have, who, labels)
-                    out += [(label, x) for x in block.similar(g, cid, label, num, den).tolist() if joined.join(label, x)]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())],
-                                             names=["a", "b"])
-
-    return (rows.repartition("comp", "block", "lot").sortWithinPartitions("comp", "block", "lot", "role")
-            .mapInArrow(check, "a long, b long").distinct())
+def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Do rows of two arrays of sketches collide in enough bytes?"""
+    return (a == b).sum(1, dtype=np.int32) >= SKETCH_MATCH
 
 
 # ------------------------------------------------------------ operator
@@ -374,27 +189,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
         return cut(keyed.join(wanted.hint("merge"), ["doc_id", "text_key"], "left_semi").select(F.col("doc_id").alias("cid"), "text")
                    .mapInArrow(set_bytes(shingle), "cid long, set binary"), "minhash-sets")
 
-    pairs = cut(star_pairs(posted, lead), "minhash-star")
-    families = components(pairs.select(F.col("q").alias("a"), F.col("comp").alias("b"))).select(F.col("id").alias("cid"), F.col("comp").alias("family"))
-    sets = sets_of(families.select("cid"))
-    # star: every class asks its leader
-    star = cut(confirm(pairs.select("q", F.col("q").alias("label"), "comp"),
-                       pairs.select(F.col("comp").alias("cid"), F.col("comp").alias("label"), "comp").distinct(), sets, num, den), "minhash-links")
-    known = components(star).select(F.col("id").alias("cid"), F.col("comp").alias("label"))
-    # family: what is outside its largest joined part asks the whole family
-    members = cut(families.join(known, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"), F.col("family").alias("comp")), "minhash-members")
-    major = (members.groupBy("comp", "label").agg(F.count("*").alias("n")).groupBy("comp")
-             .agg(F.max_by("label", F.struct(F.col("n"), F.col("label"))).alias("major")))
-    outside = members.join(major, "comp").where("label <> major").select(F.col("cid").alias("q"), "label", "comp")
-    inner = cut(confirm(outside, members, sets, num, den), "minhash-links")
-    # lists: classes that collide with a member of another family
-    asks = cut(list_matches(posted, lead, families.select(F.col("cid").alias("id"), F.col("family").alias("comp"))), "minhash-lists")
-    asks = asks.join(known.withColumnRenamed("cid", "q"), "q", "left").select("q", F.coalesce("label", "q").alias("label"), "comp")
-    alone = asks.select("comp").distinct().join(families.select(F.col("cid").alias("comp")), "comp", "left_anti")
-    members = members.unionByName(alone.select(F.col("comp").alias("cid"), F.col("comp").alias("label"), "comp"))
-    asked = asks.select(F.col("q").alias("cid")).unionByName(alone.select(F.col("comp").alias("cid"))).distinct()
-    sets = sets.unionByName(sets_of(asked.join(sets.select("cid"), "cid", "left_anti")))
-    links = star.unionByName(inner).unionByName(confirm(asks, members, sets, num, den))
+    sketches = lead.select("cid", F.col("sketch").alias("payload"))
+    pairs = cut(star_pairs(posted, sketches, agree), "minhash-star")
+    members = widen(posted, sketches, pairs, agree)
+    links = decide(members, pairs, sets_of(members.select("cid")), num, den)
     labels = components(links)
     found = classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(
         "set_key", F.coalesce("comp", "cid").alias("component_id"), "n", "cid").where("n > 1 OR component_id <> cid").drop("cid")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.llm import families
 from quarry.llm import op10_minhash as op
 from quarry.llm.common import A_Z, PIECE_BYTES, SPACED, word_hashes
 from quarry.llm.components import components
@@ -64,8 +65,9 @@ def test_query_against_brute_force(spark, make_docs, seed):
 
 def test_blocks_lots_and_clashing_columns(spark, make_docs, monkeypatch):
     """Small blocks: long lists and components are dealt out and still whole."""
-    monkeypatch.setattr(op, "BLOCK", 4)
-    monkeypatch.setattr(op, "QUERIES", 3)
+    monkeypatch.setattr(families, "BLOCK", 4)
+    monkeypatch.setattr(families, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(families, "QUERIES", 3)
     docs = fixture(3)
     table, _ = make_docs(docs)
     wide = table.withColumns({c: F.lit("x") for c in ("keys", "sketch", "cid", "set_key", "component_id", "_id")})
@@ -128,3 +130,64 @@ def test_components(spark):
     got_ = {x.id: x.comp for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got_ == {x: find(x) for x in boss}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_misses(n, words=60, seed=3):
+    """Texts that differ from one base in places of their own: mutual similarity about 0.7 on single words."""
+    r = random.Random(seed)
+    base = [f"b{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for k in r.sample(range(words), words // 10):
+            w[k] = f"x{i}_{k}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_near_misses_cost_links_in_proportion(spark, make_docs, monkeypatch):
+    """A group of mutual near misses: what the steps write grows with the group, not with its square."""
+    written = {}
+    real = families.cut
+
+    def counted(df, name):
+        out = real(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(families, "cut", counted)
+    rows = {}
+    for n in (500, 5000):
+        written.clear()
+        docs = near_misses(n)
+        table, _ = make_docs(docs)
+        out = {r.doc_id: r.component_id for r in op.near_duplicates(table, shingle=1).collect()}
+        rows[n] = dict(written)
+        want = brute(docs, 1) if n == 500 else None
+        assert want is None or out == {i: w[1] for i, w in want.items()}
+    assert rows[5000]["family-members"] == 5000                  # one family
+    for name, few in rows[500].items():
+        assert rows[5000][name] <= 20 * max(few, 50), (name, rows)
+
+
+def test_links_of_a_block_span_its_families():
+    agree = lambda a, b: (a == b).all(1)
+    r = np.random.default_rng(2)
+    n = 400
+    x = {"g": np.stack([np.sort(r.integers(0, 5, n)), np.zeros(n, np.int64)], 1), "role": np.zeros(n, np.int32),
+         "family": r.integers(0, 60, n), "payload": r.integers(0, 4, (n, 1)).astype(np.uint8)}
+    family, g = x["family"].copy(), x["g"][:, 0]
+    a, b = families.link_blocks(x, 0, agree, False)
+    for block in range(5):
+        boss = {}
+        find = lambda v: v if boss.setdefault(v, v) == v else find(boss[v])
+        mine = np.flatnonzero(g == block)
+        for i in mine:
+            for j in mine:
+                if x["payload"][i, 0] == x["payload"][j, 0]:
+                    p, q = sorted((find(family[i]), find(family[j])))
+                    boss[q] = p
+        roots = {v: {w for w in family[mine] if find(w) == find(v)} for v in family[mine]}
+        after = {v: set(family[mine][x["family"][mine] == x["family"][i]]) for i, v in zip(mine, family[mine])}
+        assert roots == after
+    assert len(a) <= sum(len(set(family[g == k])) - 1 for k in range(5))
