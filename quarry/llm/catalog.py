@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import (op01_suffix_array, op02_exact_dedup, op03_sentencepiece, op04_language, op05_warc, op06_substring,
                op07_lm, op08_decontaminate, op09_secrets, op10_minhash, op11_alignment,
-               op13_prefix_trie)
+               op12_jaccard_join, op13_prefix_trie)
 
 OPS = {
     "op1_suffix_array_dedup": op01_suffix_array,
@@ -18,6 +18,7 @@ OPS = {
     "op9_secrets": op09_secrets,
     "op10_minhash_near_dedup": op10_minhash,
     "op11_token_alignment": op11_alignment,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
