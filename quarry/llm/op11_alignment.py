@@ -1,10 +1,17 @@
 """Alignment of two tokenizers' tokens over whole texts.
 
 Both tokenizers spell the same bytes (a space and the text), so each gives a
-list of cumulative byte ends. Per text: a dictionary from end to index for
-either list, the intersection of their keys as hash sets, and the sorted
-common ends, which slice both id lists into groups. The last tokens of a
-group end together and are linked; every slice has one such link.
+list of cumulative byte ends. A dictionary from end to index for either list,
+the intersection of their keys as hash sets, and the sorted common ends, which
+slice both id lists into groups. The last tokens of a group end together and
+are linked; every slice has one such link.
+
+Stretches: no token of either vocabulary reaches over a single blank between
+two characters that are no white space (the split pattern begins a token at
+such a blank; no piece has the word mark after another character, which is
+checked). So a text falls into stretches there, each of which is encoded and
+aligned by itself, and what frequent stretches give is kept in a table of
+bounded size.
 
 Corpus-wide counts of linked id pairs take a second look at the links:
 
@@ -35,6 +42,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -55,8 +63,11 @@ MARK = "▁"
 # the bytes that it writes as the character of the same number.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-COMMA, BAR, SEMI = 0, 1, 2
-SEPARATORS = np.frombuffer(b",|;", np.uint8)
+BORDER = re.compile(r" (?=\S)(?<=\S )")
+COMMA, BAR, SEMI, NONE = 0, 1, 2, 3
+SEPARATORS = np.frombuffer(b",|;\0", np.uint8)
+KEPT = 200_000                   # stretches whose alignment is kept
+KEPT_CHARS = 48                  # longer ones are not kept
 
 
 def byte_characters() -> dict[str, int]:
@@ -80,8 +91,8 @@ class ByteLevel:
         for t, i in ranks.items():
             self.spelled[i] = t
 
-    def encode(self, text: str) -> list[int]:
-        return self.encoder.encode_ordinary(text)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return list(map(self.encoder.encode_ordinary, texts))
 
 
 class Pieces:
@@ -93,8 +104,11 @@ class Pieces:
         self.spelled = [bytes([int(piece(i)[3:5], 16)]) if self.model.is_byte(i) else piece(i).replace(MARK, " ").encode()
                         for i in range(self.model.get_piece_size())]
 
-    def encode(self, text: str) -> list[int]:
-        return self.model.encode(text, num_threads=1)
+        if any(" " in t.lstrip(b" ").decode("latin-1") for t in self.spelled):
+            raise ValueError("a piece reaches over a blank")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode(texts, num_threads=1)
 
 
 def cells(size: int) -> np.ndarray:
@@ -107,14 +121,17 @@ def cells(size: int) -> np.ndarray:
     return out
 
 
+Aligned = tuple[int, int, int, bytes, bytes]      # A and B tokens, groups, spelled groups, links as places of 4 bytes
+
+
 class Aligner:
     """Both vocabularies, and the pairs that can end together."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
         self.a, self.b = ByteLevel(a_file), Pieces(b_file)
         self.a_len, self.b_len = (np.array([len(t) for t in v.spelled], np.int64) for v in (self.a, self.b))
-        width = max(len(self.a.spelled), len(self.b.spelled))
-        self.cells = cells(width)
+        self.cells = cells(max(len(self.a.spelled), len(self.b.spelled)))
+        self.kept: dict[str, Aligned | None] = {}
         a_ids, b_ids = ({} for _ in range(2))
         for ids, v in ((a_ids, self.a), (b_ids, self.b)):
             for i, t in enumerate(v.spelled):
@@ -127,44 +144,69 @@ class Aligner:
                         pairs.update((j, i) if flip else (i, j) for i in ids)
         self.pairs = np.array(sorted(a << 32 | b for a, b in pairs), np.int64)
 
-    def align(self, text: str):
-        """(A ids, B ids, index after each group's last A token, likewise B)
-        or None: the two do not spell a space and the text."""
-        if not text:
-            return None
-        whole = " " + text
-        a, b = self.a.encode(whole), self.b.encode(text)
-        raw = whole.encode()
-        if b"".join(map(self.a.spelled.__getitem__, a)) != raw or b"".join(map(self.b.spelled.__getitem__, b)) != raw:
-            return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+
+    def stretches(self, texts: list[str]) -> dict[str, Aligned | None]:
+        """The groups of different stretches; None where the two do not spell
+        a space and the stretch. All stand one after the other on one line of
+        bytes, on which every stretch's end is a common end."""
+        out: dict[str, Aligned | None] = dict.fromkeys(texts)
+        good, a, b = [], [], []
+        for text, x, y in zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts)):
+            if b"".join(map(self.a.spelled.__getitem__, x)) == b"".join(map(self.b.spelled.__getitem__, y)) == (" " + text).encode():
+                good.append(text)
+                a.append(x)
+                b.append(y)
+        if not good:
+            return out
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(good)) for x in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
         at_a = dict(zip(np.cumsum(self.a_len[a]).tolist(), range(1, len(a) + 1)))
         at_b = dict(zip(np.cumsum(self.b_len[b]).tolist(), range(1, len(b) + 1)))
         common = sorted(at_a.keys() & at_b.keys())
-        return (a, b, np.fromiter(map(at_a.__getitem__, common), np.int64, len(common)),
-                np.fromiter(map(at_b.__getitem__, common), np.int64, len(common)))
-
-    def links(self, a, b, cut_a, cut_b) -> np.ndarray:
-        """Places in the pair universe of each slice's links."""
-        key = a[cut_a - 1] << 32 | b[cut_b - 1]
-        at = np.searchsorted(self.pairs, key)
-        return at
-
-    def spelling(self, a, b, cut_a, cut_b) -> bytes:
-        """``a1,a2|b1;a3|b2,b3``: ids of the groups in order."""
+        cut_a = np.fromiter(map(at_a.__getitem__, common), np.int64, len(common))
+        cut_b = np.fromiter(map(at_b.__getitem__, common), np.int64, len(common))
+        links = np.searchsorted(self.pairs, a[cut_a - 1] << 32 | b[cut_b - 1]).astype("<u4").tobytes()
+        last = np.searchsorted(cut_a, np.cumsum(n_a))                 # each stretch's last group
+        spelled, width = self.spelling(a, b, cut_a, cut_b, last)
+        ends = np.cumsum(np.add.reduceat(width, np.cumsum(n_a + n_b) - (n_a + n_b)))
+        lo = at = 0
+        for text, x, y, g, end in zip(good, n_a.tolist(), n_b.tolist(), (last + 1).tolist(), ends.tolist()):
+            out[text] = (x, y, g - at, spelled[lo:end], links[4 * at:4 * g])
+            lo, at = end, g
+        return out
+
+    def spelling(self, a, b, cut_a, cut_b, last) -> tuple[bytes, np.ndarray]:
+        """``a1,a2|b1;a3|b2,b3`` of every stretch, one after the other, and the
+        bytes of each token with what follows it. ``last``: the groups that end a stretch."""
         n = len(a) + len(b)
-        ids, after = np.empty(n, np.int64), np.empty(n, np.int64)
+        ids, after = np.empty(n, np.int64), np.full(n, COMMA)
         # a group's A ids stand after the B ids of the groups before it, its B ids after its A ids
         size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
         at_a = np.arange(len(a)) + np.repeat(cut_b - size_b, size_a)
         at_b = np.arange(len(b)) + np.repeat(cut_a, size_b)
         ids[at_a], ids[at_b] = a, b
-        after[:] = COMMA
         after[at_a[cut_a - 1]], after[at_b[cut_b - 1]] = BAR, SEMI
+        after[at_b[cut_b[last] - 1]] = NONE
         text = self.cells[ids]
         text[:, -1] = SEPARATORS[after]
-        text[-1, -1] = 0
-        return text[text != 0].tobytes()
+        there = text != 0
+        return text[there].tobytes(), there.sum(1)
+
+    def align(self, texts: list[str]) -> Iterator[Aligned | None]:
+        """Tokens, groups and links of whole texts; None: no tokens."""
+        parts = [BORDER.split(t) if t else None for t in texts]
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        new = list({w for p in parts if p for w in p if w not in self.kept})
+        found = self.stretches(new) if new else {}
+        self.kept.update((w, x) for w, x in found.items() if len(w) <= KEPT_CHARS)
+        for p in parts:
+            all_ = [found[w] if w in found else self.kept[w] for w in p or ()]
+            if not all_ or None in all_:
+                yield None
+                continue
+            n_a, n_b, n, spelled, links = zip(*all_)
+            yield sum(n_a), sum(n_b), sum(n), b";".join(spelled), b"".join(links)
 
 
 @functools.lru_cache(maxsize=2)
@@ -173,9 +215,9 @@ def aligner(a_file: bytes, b_file: bytes) -> Aligner:
     return Aligner(a_file, b_file)
 
 
-def planes(a: np.ndarray) -> bytes:
-    """Numbers below 2**32 byte by byte."""
-    return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(numbers: bytes) -> bytes:
+    """Four-byte numbers byte by byte."""
+    return np.ascontiguousarray(np.frombuffer(numbers, np.uint8).reshape(-1, 4).T).tobytes()
 
 
 def from_planes(b: bytes) -> np.ndarray:
@@ -183,7 +225,7 @@ def from_planes(b: bytes) -> np.ndarray:
 
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
-ROWS = 64                        # texts whose ids and links are held at once
+ROWS = 128                       # texts whose ids and links are held at once
 
 
 def aligned_texts(docs: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) -> DataFrame:
@@ -196,13 +238,8 @@ def aligned_texts(docs: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) -
         al = aligner(*shared.value)
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in chain.from_iterable((b.slice(k, ROWS) for k in range(0, b.num_rows, ROWS)) for b in batches):
-            rows = []
-            for text in b.column("text"):
-                x = al.align(text.as_py())
-                if x is None:
-                    rows.append((0, 0, 0, "", b""))
-                else:
-                    rows.append((len(x[0]), len(x[1]), len(x[2]), hashlib.sha256(al.spelling(*x)).hexdigest(), squeeze(planes(al.links(*x)))))
+            rows = [(0, 0, 0, "", b"") if x is None else (*x[:3], hashlib.sha256(x[3]).hexdigest(), squeeze(planes(x[4])))
+                    for x in al.align(b.column("text").to_pylist())]
             n_a, n_b, groups, sha, links = zip(*rows)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n_a, n_b, groups)),
                                               pa.array(sha, pa.string()), pa.array(links, pa.binary())],
