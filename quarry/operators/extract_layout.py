@@ -1,22 +1,29 @@
 """Six invoice fields from word boxes (layout path), per page.
 
-Words are grouped once per (doc_id, page) into an array of structs in
-reading order; a page is physically bounded (hundreds to a few thousand
-words), so the group never grows with the corpus. Every rule is an array
-expression over that page:
-
-* label spans: for each start word, the lower-cased text of the next 1..5
-  words that stay on the start word's line (y-overlap >= 0.5) is built once
-  per page and shared by all label patterns; the best span per pattern
-  prefers a trailing ':' (+2), then a row start (+1), then the lowest index;
+Words are grouped once per (doc_id, page) into an array of structs in reading
+order; a page is physically bounded (hundreds to a few thousand words), so the
+group never grows with the corpus. A page then carries, built once:
+
+* ``R``, its visual rows: one sweep over the words sorted by (top, x0) that
+  carries only the places where rows begin; a word joins the current row when
+  its top is within ``tol`` of the row's first word (the anchor), not of the
+  previous word. Words know their row, rows stand at least ``tol`` apart, so
+  the words beside or below a label are in ``K`` rows around it and no rule
+  looks through the whole page;
+* ``M``, its label matches: for each start word that can begin a label, the
+  lower-cased text of the next 1..5 words that stay on the start word's line
+  (y-overlap >= 0.5) is looked up in the dictionary of all label spellings
+  (``functions.labels``); per pattern the shortest one counts. Its score
+  prefers a trailing ':' (+2), then a row start (+1).
+
+All rules read these two:
+
+* the best span per pattern has the highest score, then the lowest index;
 * values: same-row words right of the label (up to the next ``...:`` word),
   else up to 4 visual rows below, column-aligned first, then the whole row;
   the first candidate that validates wins, patterns in order;
 * blocks: up to 6 rows below within a column window, a stop row ends the
-  block;
-* visual rows: words sorted by (top, x0) and folded with ``aggregate``: a
-  word joins the current row when its top is within ``tol`` of the row's
-  first word (the anchor), not of the previous word.
+  block.
 
 Fields of several pages are merged by page order (first non-null), and the
 layout result is merged with the text-path result field by field.
@@ -24,23 +31,27 @@ layout result is merged with the text-path result field by field.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from ..functions import fixed
+from ..functions import fixed, labels
 from ..functions.invoice import (
     clean_party, find_date, is_doc_type_word, is_stop_row, largest_monetary, strip_currency,
     trim_doc_type_suffix, valid_invoice_number,
 )
-from ..functions.text import UI, U, py_strip, strip_chars
+from ..functions.text import UI, U, WS, py_strip, strip_chars
 
 WORD = StructType([
     StructField("i", IntegerType()), StructField("text", StringType()),
     StructField("x0", DoubleType()), StructField("x1", DoubleType()),
     StructField("top", DoubleType()), StructField("bottom", DoubleType()),
+    StructField("r", IntegerType()),
 ])
-ROWS = ArrayType(ArrayType(WORD))
+EMPTY_WORDS = ArrayType(WORD)
 
 
 # -- geometry -------------------------------------------------------------------------
@@ -70,109 +81,60 @@ def join_text(ws: Column) -> Column:
     return F.array_join(F.transform(ws, lambda w: w["text"]), " ")
 
 
+def let(expr: Column, fn) -> Column:
+    """Bind ``expr`` once and use it in ``fn`` (keeps expression trees
+    linear instead of copying a sub-expression at every use)."""
+    return F.get(F.transform(F.array(expr), fn), 0)
+
+
 def group_rows(ws: Column, tol: Column) -> Column:
-    """Visual rows: sort by (top, x0), fold on the row's first word, then
-    sort each row by x0."""
+    """Visual rows: sort by (top, x0), cut where a word's top leaves the row's
+    first word by ``tol`` or more, then sort each row by x0. The sweep carries
+    the current anchor and the places of the cuts, not the words."""
     keyed = F.transform(ws, lambda w: F.struct(w["top"].alias("t"), w["x0"].alias("x"), w["i"].alias("j"),
                                                w.alias("w")))
-    ordered = F.transform(F.array_sort(keyed), lambda s: s["w"])
-    empty = F.array().cast(ROWS)
-
-    def step(acc, w):
-        last = F.element_at(acc, -1)
-        joins = (F.size(acc) > 0) & (F.abs(w["top"] - F.element_at(last, 1)["top"]) < tol)
-        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(last, F.array(w))))
-        return F.when(joins, grown).otherwise(F.concat(acc, F.array(F.array(w))))
-
-    rows = F.aggregate(ordered, empty, step)
-    return F.transform(rows, sort_by_x)
-
-
-# -- label spans -----------------------------------------------------------------------
-
-LABEL_SETS = {
-    "number": fixed.NUMBER_LABELS, "issue": fixed.INVOICE_DATE_LABELS, "due": fixed.DUE_DATE_LABELS,
-    "issuer": fixed.ISSUER_LABELS, "recipient": fixed.RECIPIENT_LABELS, "total": fixed.TOTAL_LABELS,
-}
 
+    def cut_rows(o):
+        start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("at"),
+                         F.array().cast("array<int>").alias("cuts"))
 
-def _gate_rx(patterns: list[str]) -> str:
-    return UI + "^(?:" + "|".join("(?:" + p + ")" for p in patterns) + ")$"
+        def step(acc, w):
+            joins = F.coalesce(F.abs(w["t"] - acc["anchor"]) < tol, F.lit(False))
+            return F.struct(F.when(joins, acc["anchor"]).otherwise(w["t"]).alias("anchor"), (acc["at"] + 1).alias("at"),
+                            F.when(joins, acc["cuts"]).otherwise(F.array_append(acc["cuts"], acc["at"])).alias("cuts"))
 
+        cuts = F.aggregate(o, start, step, lambda acc: acc["cuts"])
+        return let(cuts, lambda c: F.transform(c, lambda s, k: sort_by_x(F.transform(
+            F.slice(o, s + 1, F.coalesce(F.get(c, k + 1), F.size(o)) - s), lambda x: x["w"]))))
 
-def span_candidates(W: Column, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS) -> Column:
-    """Per start word: the joined text of 1..max_extra+1 words (null once a
-    word leaves the start word's line), lower-cased without trailing ':'.
-
-    Each candidate also carries one gate flag per label set: the full match
-    of the set's patterns combined into one alternation. A single pattern's
-    regex is only tried where its set's gate matched, so most candidates
-    cost one regex test per set instead of one per pattern."""
-    n = F.size(W)
-
-    def per_start(w, i):
-        fields = [w["i"].alias("i")]
-        ok = F.lit(True)
-        pieces = []
-        for d in range(max_extra + 1):
-            nxt = F.element_at(W, i + d + 1)
-            if d > 0:
-                ok = ok & (i + d < n) & (y_overlap(w, nxt) >= fixed.MIN_Y_OVERLAP)
-            pieces.append(nxt["text"])
-            raw = py_strip(F.concat_ws(" ", *pieces))
-            joined = py_strip(F.regexp_replace(F.lower(raw), ":+$", ""))
-            fields.append(F.when(ok, joined).alias(f"s{d}"))
-            fields.append(F.when(ok, raw.endswith(":")).alias(f"c{d}"))
-        return let(F.struct(*fields), lambda c: F.struct(
-            *[c[f] for f in [x for d in range(max_extra + 1) for x in ("s%d" % d, "c%d" % d)]], c["i"],
-            *[F.coalesce(c[f"s{d}"].rlike(_gate_rx(pats)), F.lit(False)).alias(f"g_{name}{d}")
-              for name, pats in LABEL_SETS.items() for d in range(max_extra + 1)]))
-
-    return F.transform(W, per_start)
-
-
-def _row_start(W: Column, w: Column) -> Column:
-    return ~F.exists(W, lambda o: (o["i"] != w["i"]) & (o["x1"] <= w["x0"] - fixed.ROW_START_GAP)
-                     & (y_overlap(w, o) >= fixed.MIN_Y_OVERLAP))
-
-
-def let(expr: Column, fn) -> Column:
-    """Bind ``expr`` once and use it in ``fn`` (keeps expression trees
-    linear instead of copying a sub-expression at every use)."""
-    return F.get(F.transform(F.array(expr), fn), 0)
-
+    return let(F.array_sort(keyed), cut_rows)
 
-def best_span(W: Column, C: Column, pattern: str, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS,
-              gate: str | None = None) -> Column:
-    """struct(start, end) of the best span matching ``pattern`` in full, or null."""
-    rx = UI + "^(?:" + pattern + ")$"
 
-    def per_start(c):
-        end = F.lit(None).cast("int")
-        colon = F.lit(None).cast("boolean")
-        for d in reversed(range(max_extra + 1)):
-            g = c[f"g_{gate}{d}"] if gate else c[f"s{d}"].isNotNull()
-            hit = g & c[f"s{d}"].rlike(rx)
-            end = F.when(hit, c["i"] + d + 1).otherwise(end)
-            colon = F.when(hit, c[f"c{d}"]).otherwise(colon)
+# -- pages -----------------------------------------------------------------------------
 
-        def scored(e):
-            w = F.element_at(W, c["i"] + 1)
-            score = F.when(e["end"].isNotNull(), F.when(e["colon"], 2).otherwise(0)
-                           + F.when(_row_start(W, w), 1).otherwise(0))
-            return F.struct((-score).alias("neg"), c["i"].alias("start"), e["end"].alias("end"))
+@dataclass(frozen=True)
+class Page:
+    """Columns of a page: words in reading order, visual rows, how many rows a
+    word can reach up or down, mean line height, label matches."""
+    W: Column
+    R: Column
+    K: Column
+    lh: Column
+    M: Column
 
-        return let(F.struct(end.alias("end"), colon.alias("colon")), scored)
+    def rows(self, r: Column, up: Column, down: Column) -> Column:
+        """Words of the rows r - up .. r + down."""
+        low = F.greatest(r - up, F.lit(0))
+        return F.flatten(F.slice(self.R, low + 1, F.greatest(r + down - low + 1, F.lit(0))))
 
-    hits = F.filter(F.transform(C, per_start), lambda h: h["end"].isNotNull())
-    return let(F.array_min(hits), lambda b: F.when(b.isNotNull(), F.struct(b["start"].alias("start"),
-                                                                           b["end"].alias("end"))))
+    def near(self, w: Column) -> Column:
+        """All words whose heights can overlap that of ``w``, and some more."""
+        return self.rows(w["r"], self.K, self.K)
 
 
-def spans(W: Column, C: Column, patterns: list[str]) -> Column:
-    """Best span of each pattern, in pattern order (nulls kept)."""
-    gate = next((k for k, v in LABEL_SETS.items() if v == patterns), None)
-    return F.array(*[best_span(W, C, p, gate=gate) for p in patterns])
+def page() -> Page:
+    """The columns by their names in ``pages`` and ``with_matches``."""
+    return Page(F.col("W"), F.col("R"), F.col("K"), F.col("lh"), F.col("M"))
 
 
 def _span_words(W: Column, sp: Column) -> Column:
@@ -183,14 +145,17 @@ def _not_in(w: Column, sp: Column) -> Column:
     return (w["i"] < sp["start"]) | (w["i"] >= sp["end"])
 
 
-def right_of(W: Column, sp: Column, ref: Column, x_end: Column) -> Column:
+def right_of(P: Page, sp: Column, ref: Column, x_end: Column) -> Column:
     """Words on the label's row, right of x_end - 2, sorted by x0."""
-    return sort_by_x(F.filter(W, lambda w: _not_in(w, sp) & (w["x0"] >= x_end - fixed.RIGHT_SLACK)
+    return sort_by_x(F.filter(P.near(ref), lambda w: _not_in(w, sp) & (w["x0"] >= x_end - fixed.RIGHT_SLACK)
                               & (y_overlap(ref, w) >= fixed.MIN_Y_OVERLAP)))
 
 
-def rows_below(W: Column, sp: Column, ref: Column, n_rows: int, lh: Column) -> Column:
-    below = F.filter(W, lambda w: _not_in(w, sp) & (w["top"] > ref["bottom"] - lh * 0.2)
+def rows_below(P: Page, sp: Column, ref: Column, n_rows: int) -> Column:
+    """The first ``n_rows`` visual rows of the words below ``ref``."""
+    lh = P.lh
+    down = P.K + (int((n_rows + 1) / fixed.ROW_TOL_FACTOR) + 2)
+    below = F.filter(P.rows(ref["r"], P.K + 2, down), lambda w: _not_in(w, sp) & (w["top"] > ref["bottom"] - lh * 0.2)
                      & (w["top"] < ref["bottom"] + (n_rows + 1) * lh))
     return F.slice(group_rows(below, lh * fixed.ROW_TOL_FACTOR), 1, n_rows)
 
@@ -220,9 +185,10 @@ def _text_of(ws: Column, validate) -> Column:
     return let(py_strip(join_text(ws)), validate)
 
 
-def pick_value(W: Column, SP: Column, lh: Column, validate, col_tol: Column | None = None) -> Column:
+def pick_value(P: Page, SP: Column, validate, col_tol: Column | None = None) -> Column:
     """Per label span (pattern order): same-row right text; else up to 4 rows
     below, column-aligned then whole row; first candidate that validates."""
+    W, lh = P.W, P.lh
     if col_tol is None:
         col_tol = F.greatest(F.lit(fixed.VALUE_COL_TOL[0]), lh * fixed.VALUE_COL_TOL[1])
 
@@ -230,7 +196,7 @@ def pick_value(W: Column, SP: Column, lh: Column, validate, col_tol: Column | No
         sw = _span_words(W, sp)
         ref = F.element_at(W, sp["start"] + 1)
         x_end = F.array_max(F.transform(sw, lambda w: w["x1"]))
-        right = let(_until_next_label(right_of(W, sp, ref, x_end)),
+        right = let(_until_next_label(right_of(P, sp, ref, x_end)),
                     lambda r: F.when(F.size(r) > 0, _text_of(r, validate)))
 
         def below(xa):
@@ -238,25 +204,26 @@ def pick_value(W: Column, SP: Column, lh: Column, validate, col_tol: Column | No
                 in_col = F.filter(r, lambda w: F.abs(w["x0"] - xa) <= col_tol)
                 aligned = let(in_col, lambda a: F.when(F.size(a) > 0, _text_of(sort_by_x(a), validate)))
                 return F.coalesce(aligned, _text_of(r, validate))
-            return _first_of(rows_below(W, sp, ref, fixed.VALUE_ROWS_BELOW, lh), per_row)
+            return _first_of(rows_below(P, sp, ref, fixed.VALUE_ROWS_BELOW), per_row)
 
         x_anchor = F.array_min(F.transform(sw, lambda w: w["x0"]))
-        return F.when(sp.isNotNull(), F.coalesce(right, let(x_anchor, below)))
+        return F.coalesce(right, let(x_anchor, below))
 
     return _first_of(SP, per_span)
 
 
-def pick_block_below(W: Column, SP: Column, lh: Column, col_tol: Column | None = None,
+def pick_block_below(P: Page, SP: Column, col_tol: Column | None = None,
                      x_right: float = fixed.BLOCK_X_RIGHT) -> Column:
     """First clean, column-aligned row below a block label; a stop row ends
     that label's block."""
+    W, lh = P.W, P.lh
     if col_tol is None:
         col_tol = F.greatest(F.lit(fixed.BLOCK_COL_TOL[0]), lh * fixed.BLOCK_COL_TOL[1])
 
     def per_span(sp):
         sw = _span_words(W, sp)
         ref = F.element_at(W, sp["start"] + 1)
-        rows = rows_below(W, sp, ref, fixed.BLOCK_ROWS_BELOW, lh)
+        rows = rows_below(P, sp, ref, fixed.BLOCK_ROWS_BELOW)
 
         def with_anchor(xa):
             xr = xa + x_right
@@ -275,147 +242,186 @@ def pick_block_below(W: Column, SP: Column, lh: Column, col_tol: Column | None =
 
             return let(F.transform(rows, row_text), usable)
 
-        return F.when(sp.isNotNull(), let(F.array_min(F.transform(sw, lambda w: w["x0"])), with_anchor))
+        return let(F.array_min(F.transform(sw, lambda w: w["x0"])), with_anchor)
 
     return _first_of(SP, per_span)
 
 
-def header_company_guess(W: Column, lh: Column) -> Column:
+def header_company_guess(P: Page) -> Column:
+    """The first visual row among the words of the page's top quarter that
+    looks like a company's name."""
+    W = P.W
     y_min = F.array_min(F.transform(W, lambda w: w["top"]))
     y_max = F.array_max(F.transform(W, lambda w: w["bottom"]))
-    cutoff = y_min + (y_max - y_min) * fixed.HEADER_FRACTION
-    head = F.filter(W, lambda w: w["bottom"] <= cutoff)
-    rows = group_rows(head, lh * fixed.ROW_TOL_FACTOR)
 
     def cand(r):
         t = trim_doc_type_suffix(strip_chars(join_text(r), fixed.PARTY_STRIP_CHARS))
-        bad = ((F.char_length(t) < 3) | is_doc_type_word(t) | is_stop_row(t)
-               | t.rlike(U + fixed.HEADER_MONEY) | (F.regexp_count(t, F.lit(r"\p{L}")) < 3))
-        return F.when(~bad, t)
+        return let(t, lambda t: F.when(~((F.char_length(t) < 3) | is_doc_type_word(t) | is_stop_row(t) | t.rlike(U + fixed.HEADER_MONEY)
+                                         | (F.regexp_count(t, F.lit(r"\p{L}")) < 3)), t))
 
-    return _first_of(rows, cand)
+    def guess(cutoff):
+        return _first_of(group_rows(F.filter(W, lambda w: w["bottom"] <= cutoff), P.lh * fixed.ROW_TOL_FACTOR), cand)
 
+    return let(y_min + (y_max - y_min) * fixed.HEADER_FRACTION, guess)
 
-def layout_invoice_number(W, SP, lh) -> Column:
-    v = pick_value(W, SP, lh, valid_invoice_number)
+
+def layout_invoice_number(P: Page) -> Column:
+    v = pick_value(P, spans(P.M, "number"), valid_invoice_number)
     rx = UI + "^" + fixed.HASH_NUMBER_WORD + "$"
-    fb = _first(F.transform(W, lambda w: F.when(w["text"].rlike(rx),
-                                                F.concat(F.lit("#"), F.regexp_extract(w["text"], rx, 1)))))
+    fb = _first(F.transform(P.W, lambda w: F.when(w["text"].rlike(rx),
+                                                  F.concat(F.lit("#"), F.regexp_extract(w["text"], rx, 1)))))
     return F.coalesce(v, fb)
 
 
-def layout_due_date(W, SP, lh) -> Column:
-    return pick_value(W, SP, lh, find_date)
+def layout_due_date(P: Page) -> Column:
+    return pick_value(P, spans(P.M, "due"), find_date)
 
 
-def layout_invoice_date(W, SP, SP_due, lh) -> Column:
+def layout_invoice_date(P: Page) -> Column:
     """Labelled date; else the first dated visual row whose rounded top is
     not that of a due-date label (half-even rounding)."""
-    v = pick_value(W, SP, lh, find_date)
-    due_tops = F.transform(F.filter(SP_due, lambda sp: sp.isNotNull()),
-                           lambda sp: F.bround(F.element_at(W, sp["start"] + 1)["top"], 0))
-    rows = group_rows(W, lh * fixed.ROW_TOL_FACTOR)
-    fb = _first_of(rows, lambda r: F.when(
-        ~F.array_contains(due_tops, F.bround(F.element_at(r, 1)["top"], 0)), let(join_text(r), find_date)))
+    v = pick_value(P, spans(P.M, "issue"), find_date)
+    due_tops = F.transform(spans(P.M, "due"), lambda sp: F.bround(F.element_at(P.W, sp["start"] + 1)["top"], 0))
+    fb = let(due_tops, lambda due: _first_of(P.R, lambda r: F.when(
+        ~F.array_contains(due, F.bround(F.element_at(r, 1)["top"], 0)), let(join_text(r), find_date))))
     return F.coalesce(v, fb)
 
 
-def layout_issuer(W, SP, lh) -> Column:
-    return F.coalesce(pick_block_below(W, SP, lh), pick_value(W, SP, lh, clean_party),
-                      header_company_guess(W, lh))
-
-
-def layout_recipient(W, SP, lh) -> Column:
-    return F.coalesce(pick_value(W, SP, lh, clean_party), pick_block_below(W, SP, lh))
+def layout_issuer(P: Page) -> Column:
+    SP = spans(P.M, "issuer")
+    return F.coalesce(pick_block_below(P, SP), pick_value(P, SP, clean_party), header_company_guess(P))
 
 
-def total_hits(W: Column, C: Column) -> Column:
-    """Every total label span (<= 4 words, not a subtotal) of every pattern,
-    bottom-most first; equal tops keep pattern order, then index."""
-    sub = UI + fixed.SUBTOTAL
+def layout_recipient(P: Page) -> Column:
+    SP = spans(P.M, "recipient")
+    return F.coalesce(pick_value(P, SP, clean_party), pick_block_below(P, SP))
 
-    def make_per_start(p: int, rx: str):
-        def per_start(c):
-            end = F.lit(None).cast("int")
-            is_sub = F.lit(False)
-            for d in reversed(range(fixed.TOTAL_SPAN_MAX_EXTRA_WORDS + 1)):
-                s_ = c[f"s{d}"]
-                hit = c[f"g_total{d}"] & s_.rlike(rx)
-                end = F.when(hit, c["i"] + d + 1).otherwise(end)
-                is_sub = F.when(hit, s_.rlike(sub)).otherwise(is_sub)
-            top = F.element_at(W, c["i"] + 1)["top"]
-            return let(F.struct(end.alias("end"), is_sub.alias("sub")), lambda e: F.when(
-                e["end"].isNotNull() & ~e["sub"],
-                F.struct((-top).alias("nt"), F.lit(p).alias("p"), c["i"].alias("start"), e["end"].alias("end"))))
-        return per_start
 
-    lists = [F.filter(F.transform(C, make_per_start(p, UI + "^(?:" + pat + ")$")), lambda h: h.isNotNull())
-             for p, pat in enumerate(fixed.TOTAL_LABELS)]
-    return F.array_sort(F.concat(*lists))
-
-
-def layout_total(W, HITS, lh) -> Column:
+def layout_total(P: Page) -> Column:
     """Same-row amount right of the first label word, else the 2 rows below;
     the largest monetary token, currency stripped."""
     def value(h):
-        ref = F.element_at(W, h["start"] + 1)
-        same = sort_by_x(F.filter(W, lambda w: _not_in(w, h) & (y_overlap(ref, w) >= fixed.MIN_Y_OVERLAP)
+        ref = F.element_at(P.W, h["start"] + 1)
+        same = sort_by_x(F.filter(P.near(ref), lambda w: _not_in(w, h) & (y_overlap(ref, w) >= fixed.MIN_Y_OVERLAP)
                                   & (w["x0"] >= ref["x1"] - fixed.RIGHT_SLACK)))
-        amt = let(join_text(same), largest_monetary)
-        below = rows_below(W, h, ref, fixed.TOTAL_ROWS_BELOW, lh)
-        amt_b = _first_of(below, lambda r: let(join_text(r), largest_monetary))
-        return let(F.coalesce(amt, amt_b), strip_currency)
+        amount = lambda ws: let(join_text(ws), largest_monetary)
+        # one candidate list: the same row, then the rows below
+        return let(_first_of(F.concat(F.array(same), rows_below(P, h, ref, fixed.TOTAL_ROWS_BELOW)), amount), strip_currency)
+
+    return _first_of(total_hits(P), value)
+
+
+# -- label matches -----------------------------------------------------------------------
+
+def label_matches(P: Page, max_extra: int = fixed.SPAN_MAX_EXTRA_WORDS) -> Column:
+    """Every match of every label pattern: struct(p, start, end, colon, score),
+    p the pattern's number, in order of start and length; per start word and
+    pattern the shortest span only."""
+    book = F.from_json(F.lit(json.dumps(labels.LABELS)), "map<string,array<int>>")
+    n = F.size(P.W)
+    plain = lambda t: F.regexp_replace(F.translate(F.lower(t), "ıſ", "is"), f"{WS}+", " ")
+
+    def can_begin(w):
+        word = F.regexp_replace(py_strip(plain(w["text"])), ":+$", "")
+        return F.substring_index(py_strip(word), " ", 1).isin(labels.FIRST_WORDS)
+
+    def phrases(w):
+        """(phrase, colon, end) of the spans that begin with w."""
+        whole = F.slice(P.W, w["i"] + 1, max_extra + 1)
+        stop = F.array_position(F.transform(whole, lambda x: (x["i"] == w["i"]) | (y_overlap(w, x) >= fixed.MIN_Y_OVERLAP)), False)
+        line = F.when(stop > 0, F.slice(whole, 1, stop.cast("int") - 1)).otherwise(whole)
+
+        def prefix(ws):
+            def one(x, k):
+                raw = py_strip(join_text(F.slice(ws, 1, k + 1)))
+                return F.struct(py_strip(F.regexp_replace(plain(raw), ":+$", "")).alias("phrase"),
+                                raw.endswith(":").alias("colon"), (w["i"] + k + 1).alias("end"))
+            return F.filter(F.transform(ws, one), lambda c: c["phrase"].isin(list(labels.LABELS)))
+        return let(line, prefix)
+
+    def numbered(w):
+        every = F.flatten(F.transform(phrases(w), lambda c: F.transform(
+            F.try_element_at(book, c["phrase"]), lambda p: F.struct(p.alias("p"), w["i"].alias("start"), c["end"].alias("end"),
+                                                                    c["colon"].alias("colon")))))
+        # spans come shortest first
+        return let(every, lambda e: F.filter(e, lambda m, k: ~F.exists(F.slice(e, 1, k), lambda o: o["p"] == m["p"])))
+
+    def scored(w):
+        def with_score(found):
+            begins = F.when(_row_start(P, w), 1).otherwise(0)
+            return let(begins, lambda b: F.transform(found, lambda m: F.struct(
+                m["p"].alias("p"), m["start"].alias("start"), m["end"].alias("end"), m["colon"].alias("colon"),
+                (F.when(m["colon"], 2).otherwise(0) + b).alias("score"))))
+        return let(numbered(w), lambda found: F.when(F.size(found) > 0, with_score(found)))
+
+    return F.flatten(F.filter(F.transform(F.filter(P.W, can_begin), scored), lambda m: m.isNotNull()))
+
+
+def _row_start(P: Page, w: Column) -> Column:
+    return ~F.exists(P.near(w), lambda o: (o["i"] != w["i"]) & (o["x1"] <= w["x0"] - fixed.ROW_START_GAP)
+                     & (y_overlap(w, o) >= fixed.MIN_Y_OVERLAP))
 
-    return _first_of(HITS, value)
+
+def spans(M: Column, label_set: str) -> Column:
+    """Best span of each pattern of a set that has one, in pattern order:
+    struct(neg, start, end, p)."""
+    mine = labels.numbers(label_set)
+    best = F.transform(F.array(*map(F.lit, mine)), lambda p: F.array_min(F.transform(
+        F.filter(M, lambda m: m["p"] == p),
+        lambda m: F.struct((-m["score"]).alias("neg"), m["start"].alias("start"), m["end"].alias("end"), m["p"].alias("p")))))
+    return F.filter(best, lambda b: b.isNotNull())
+
+
+def total_hits(P: Page) -> Column:
+    """Every total label span (<= 4 words) of every pattern, bottom-most first;
+    equal tops keep pattern order, then index. No spelling of a total label
+    holds a subtotal's."""
+    low, high = labels.numbers("total")[0], labels.numbers("total")[-1]
+    mine = F.filter(P.M, lambda m: m["p"].between(low, high) & (m["end"] - m["start"] <= fixed.TOTAL_SPAN_MAX_EXTRA_WORDS + 1))
+    return F.array_sort(F.transform(mine, lambda m: F.struct(
+        (-F.element_at(P.W, m["start"] + 1)["top"]).alias("nt"), m["p"].alias("p"), m["start"].alias("start"), m["end"].alias("end"))))
 
 
 # -- page and document -------------------------------------------------------------------
 
 def pages(words: DataFrame) -> DataFrame:
-    """(doc_id, page, W) with W the page's words in reading order."""
+    """(doc_id, page, W, lh, R, K): W the page's words in reading order, R its
+    visual rows, K the rows that a word can reach up or down."""
     w = F.struct(F.col("idx").alias("k"), F.col("text"), F.col("x0").cast("double").alias("x0"),
                  F.col("x1").cast("double").alias("x1"), F.col("top").cast("double").alias("top"),
                  F.col("bottom").cast("double").alias("bottom"))
-    # explicit hash partitioning on the page key: it is the exchange the
-    # grouping needs anyway, and a fixed count keeps the CPU-heavy per-page
-    # rules spread over all tasks even when the input is small in bytes
-    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = (words.repartition(n, "doc_id", "page")
-         .groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(w)).alias("_w")))
-    W = F.transform("_w", lambda s, i: F.struct(i.cast("int").alias("i"), s["text"].alias("text"),
-                                                 s["x0"].alias("x0"), s["x1"].alias("x1"),
-                                                 s["top"].alias("top"), s["bottom"].alias("bottom")))
-    return g.select("doc_id", "page", W.alias("W"))
+    # the rules cost CPU per page, not per byte: a small input is spread over
+    # as many tasks as the session has, and adaptive execution keeps them
+    g = words.repartition("doc_id", "page").groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(w)).alias("_w"))
+    plain = F.transform("_w", lambda s, i: F.struct(
+        i.cast("int").alias("i"), *[s[c].alias(c) for c in ("text", "x0", "x1", "top", "bottom")], F.lit(0).alias("r")))
+    g = g.select("doc_id", "page", plain.alias("W"))
+    tol = F.col("lh") * fixed.ROW_TOL_FACTOR
+    g = g.select("doc_id", "page", "W", line_height(F.col("W")).alias("lh"))
+    g = g.select("doc_id", "page", "lh", group_rows(F.col("W"), tol).alias("R"))
+    numbered = F.transform("R", lambda ws, r: F.transform(ws, lambda x: F.struct(
+        *[x[c].alias(c) for c in ("i", "text", "x0", "x1", "top", "bottom")], r.cast("int").alias("r"))))
+    g = g.select("doc_id", "page", "lh", numbered.alias("R"))
+    tallest = F.array_max(F.transform(F.flatten("R"), lambda x: F.abs(x["bottom"] - x["top"])))
+    reach = F.when(tol > 0, F.least(F.ceil(tallest / tol) + 2, F.size("R").cast("long"))).otherwise(F.size("R"))
+    # (i is the first field)
+    return g.select("doc_id", "page", F.array_sort(F.flatten("R")).alias("W"), "lh", "R", F.coalesce(reach, F.lit(0)).cast("int").alias("K"))
+
+
+def with_matches(pg: DataFrame) -> DataFrame:
+    return pg.withColumn("M", label_matches(page()))
 
 
 def extract_from_pages(pg: DataFrame) -> DataFrame:
-    """(doc_id, page, six fields) for each page of word boxes.
-
-    Three projections: page geometry and shared span candidates; best spans
-    per label set and the total label hits; then the six pickers."""
-    s1 = pg.select("doc_id", "page", "W", line_height(F.col("W")).alias("lh"),
-                   span_candidates(F.col("W")).alias("C"))
-    W, C = F.col("W"), F.col("C")
-    s2 = s1.select(
-        "doc_id", "page", "W", "lh",
-        spans(W, C, fixed.NUMBER_LABELS).alias("sp_number"),
-        spans(W, C, fixed.INVOICE_DATE_LABELS).alias("sp_issue"),
-        spans(W, C, fixed.DUE_DATE_LABELS).alias("sp_due"),
-        spans(W, C, fixed.ISSUER_LABELS).alias("sp_issuer"),
-        spans(W, C, fixed.RECIPIENT_LABELS).alias("sp_recipient"),
-        total_hits(W, C).alias("total_hits"),
-    )
-    lh = F.col("lh")
-    empty = F.size(W) == 0
+    """(doc_id, page, six fields) for each page of word boxes: the matches
+    once, then the six pickers."""
+    P = page()
+    empty = F.size(P.W) == 0
     fields = {
-        "invoice_number": layout_invoice_number(W, F.col("sp_number"), lh),
-        "invoice_date": layout_invoice_date(W, F.col("sp_issue"), F.col("sp_due"), lh),
-        "due_date": layout_due_date(W, F.col("sp_due"), lh),
-        "issuer": layout_issuer(W, F.col("sp_issuer"), lh),
-        "recipient": layout_recipient(W, F.col("sp_recipient"), lh),
-        "total": layout_total(W, F.col("total_hits"), lh),
+        "invoice_number": layout_invoice_number(P), "invoice_date": layout_invoice_date(P), "due_date": layout_due_date(P),
+        "issuer": layout_issuer(P), "recipient": layout_recipient(P), "total": layout_total(P),
     }
-    return s2.select("doc_id", "page", *[F.when(~empty, v).alias(k) for k, v in fields.items()])
+    return with_matches(pg).select("doc_id", "page", *[F.when(~empty, v).alias(k) for k, v in fields.items()])
 
 
 def first_across_pages(per_page: DataFrame) -> DataFrame:
@@ -439,9 +445,7 @@ def merge_layout_text(text_fields: DataFrame, layout_fields: DataFrame) -> DataF
 def reading_order_text(words: DataFrame) -> DataFrame:
     """Words -> lines by y band (tol = max(3, mean height / 2)), joined."""
     pg = pages(words)
-    lh = line_height(F.col("W"))
-    tol = F.greatest(F.lit(fixed.READING_ORDER_MIN_TOL), lh / 2)
-    rows = group_rows(F.col("W"), tol)
+    rows = group_rows(F.col("W"), F.greatest(F.lit(fixed.READING_ORDER_MIN_TOL), F.col("lh") / 2))
     return pg.select("doc_id", "page", F.array_join(F.transform(rows, join_text), "\n").alias("text"))
 
 
@@ -451,52 +455,75 @@ def word_box_filter(words: DataFrame, min_conf: int = fixed.OCR_MIN_CONF) -> Dat
     return words.where((py_strip(F.col("text")) != "") & ~((conf >= 0) & (conf < min_conf)))
 
 
+def _inlined(pg: DataFrame, structs: Column) -> DataFrame:
+    """One row per struct. The outer form, as the optimizer derives a filter on
+    the whole array from the inner one and evaluates it below the page's columns."""
+    return pg.select("doc_id", "page", F.explode_outer(structs).alias("s")).where("s is not null").select("doc_id", "page", "s.*")
+
+
 def right_of_labels(pg: DataFrame) -> DataFrame:
     """For each word ending with ':' the text of the words on its row right
     of it (x0 >= x1 - 2, y-overlap >= 0.5), in x order."""
     def per_word(w):
         sp = F.struct(w["i"].alias("start"), (w["i"] + 1).alias("end"))
-        right = right_of(F.col("W"), sp, w, w["x1"])
+        right = right_of(page(), sp, w, w["x1"])
         return F.struct(w["i"].alias("word_idx"), w["text"].alias("label"), join_text(right).alias("right_text"))
-    labels = F.filter(F.col("W"), lambda w: w["text"].endswith(":"))
-    return pg.select("doc_id", "page", F.inline(F.transform(labels, per_word)))
+    ends = F.filter(F.col("W"), lambda w: w["text"].endswith(":"))
+    return _inlined(pg, F.transform(ends, per_word))
 
 
 def rows_per_page(pg: DataFrame) -> DataFrame:
-    lh = line_height(F.col("W"))
-    return pg.select("doc_id", "page", F.size(group_rows(F.col("W"), lh * fixed.ROW_TOL_FACTOR)).alias("n_rows"))
+    return pg.select("doc_id", "page", F.size("R").alias("n_rows"))
 
 
-def pick_inline(W: Column, SP: Column) -> Column:
+def pick_inline(P: Page, SP: Column) -> Column:
     """Same-row text right of the first label (pattern order) that has any,
     up to the next '...:' word (no validation)."""
     def per_span(sp):
-        sw = _span_words(W, sp)
-        ref = F.element_at(W, sp["start"] + 1)
+        sw = _span_words(P.W, sp)
+        ref = F.element_at(P.W, sp["start"] + 1)
         x_end = F.array_max(F.transform(sw, lambda w: w["x1"]))
-        right = _until_next_label(right_of(W, sp, ref, x_end))
-        return F.when(sp.isNotNull(), let(right, lambda r: F.when(F.size(r) > 0, py_strip(join_text(r)))))
+        right = _until_next_label(right_of(P, sp, ref, x_end))
+        return let(right, lambda r: F.when(F.size(r) > 0, py_strip(join_text(r))))
     return _first_of(SP, per_span)
 
 
 def first_row_below(pg: DataFrame) -> DataFrame:
     """For each word ending with ':' the text of the first visual row below it
     (band join inside the page)."""
-    lh = line_height(F.col("W"))
-
     def per_word(w):
         sp = F.struct(w["i"].alias("start"), (w["i"] + 1).alias("end"))
-        rows = rows_below(F.col("W"), sp, w, 1, lh)
-        return F.struct(w["i"].alias("word_idx"), w["text"].alias("label"),
-                        F.when(F.size(rows) > 0, join_text(F.element_at(rows, 1))).alias("below_text"))
-    labels = F.filter(F.col("W"), lambda w: w["text"].endswith(":"))
-    return pg.select("doc_id", "page", F.inline(F.transform(labels, per_word)))
-
-
-def page_spans(pg: DataFrame, patterns: list[str]) -> DataFrame:
-    """(doc_id, page, pattern_rank, start, end) of the best span per pattern."""
-    s1 = pg.select("doc_id", "page", "W", span_candidates(F.col("W")).alias("C"))
-    sp = spans(F.col("W"), F.col("C"), patterns)
-    ranked = F.transform(sp, lambda x, k: F.struct(k.alias("pattern_rank"), x["start"].alias("start"),
-                                                   x["end"].alias("end")))
-    return s1.select("doc_id", "page", F.inline(ranked)).where(F.col("start").isNotNull())
+        return let(rows_below(page(), sp, w, 1), lambda rows: F.struct(
+            w["i"].alias("word_idx"), w["text"].alias("label"),
+            F.when(F.size(rows) > 0, join_text(F.element_at(rows, 1))).alias("below_text")))
+    ends = F.filter(F.col("W"), lambda w: w["text"].endswith(":"))
+    return _inlined(pg, F.transform(ends, per_word))
+
+
+def _set_names() -> tuple[Column, Column]:
+    """Label set and place in it of a match's pattern number ``p``."""
+    names = F.array(*[F.lit(p.label_set) for p in labels.PATTERNS])
+    ranks = F.array(*[F.lit(p.rank) for p in labels.PATTERNS])
+    return F.get(names, F.col("p")).alias("label_set"), F.get(ranks, F.col("p")).alias("pattern_rank")
+
+
+def label_spans(pg: DataFrame) -> DataFrame:
+    """(doc_id, page, label_set, pattern_rank, start, end, score): every span
+    that matches a label pattern, of all label sets."""
+    return _inlined(with_matches(pg), F.col("M")).select("doc_id", "page", *_set_names(), "start", "end", "score")
+
+
+def best_label_spans(pg: DataFrame) -> DataFrame:
+    """The best span of each pattern, of all label sets, in the same columns."""
+    best = F.concat(*[spans(F.col("M"), name) for name in labels.LABEL_SETS])
+    return _inlined(with_matches(pg), best).select("doc_id", "page", *_set_names(), "start", "end", (-F.col("neg")).alias("score"))
+
+
+def label_positions(pg: DataFrame) -> DataFrame:
+    """(doc_id, page, label_set, position, start, end, label, top): the labels
+    found of each set, in pattern order, with the label's first word."""
+    def listed(name):
+        return F.transform(spans(F.col("M"), name), lambda sp, k: F.struct(
+            F.lit(name).alias("label_set"), k.alias("position"), sp["start"].alias("start"), sp["end"].alias("end"),
+            F.element_at(F.col("W"), sp["start"] + 1)["text"].alias("label"), F.element_at(F.col("W"), sp["start"] + 1)["top"].alias("top")))
+    return _inlined(with_matches(pg), F.concat(*[listed(name) for name in labels.LABEL_SETS]))

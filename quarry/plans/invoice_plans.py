@@ -478,7 +478,7 @@ def q_group_rows(spark, sf_dir):
 @register("line_height", WITH_INV + WB_CTE + """
 SELECT doc_id, page, avg(bottom - top) AS line_height FROM wb GROUP BY doc_id, page""")
 def q_line_height(spark, sf_dir):
-    return _pages(spark, sf_dir).select("doc_id", "page", el.line_height(F.col("W")).alias("line_height"))
+    return _pages(spark, sf_dir).select("doc_id", "page", F.col("lh").alias("line_height"))
 
 
 @register("y_overlap", WITH_INV + WB_CTE + """
@@ -530,23 +530,44 @@ def q_word_box_source(spark, sf_dir):
 
 # -- remaining rule-level queries --------------------------------------------------------------
 
+from ..functions import labels as _labels  # noqa: E402
 from ..operators import train as _tr  # noqa: E402
 from .feature_plans import rule_predictions as _rule_predictions  # noqa: E402,F401
 
 
-def _stage2(spark, sf_dir):
-    pg = _pages(spark, sf_dir)
-    s1 = pg.select("doc_id", "page", "W", el.line_height(F.col("W")).alias("lh"),
-                   el.span_candidates(F.col("W")).alias("C"))
-    return s1
+NUMBERED_WORDS = """SELECT doc_id, page, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY idx) - 1 AS INTEGER) AS i,
+    text, x0, x1, top, bottom FROM wb"""
+_OVERLAP_SQL = """(least(a.bottom, b.bottom) > greatest(a.top, b.top) AND least(a.bottom - a.top, b.bottom - b.top) > 0
+    AND (least(a.bottom, b.bottom) - greatest(a.top, b.top)) / least(a.bottom - a.top, b.bottom - b.top) >= 0.5)"""
+_ALL_LABELS = "|".join(f"(?:{p.pattern})" for p in _labels.PATTERNS)
+# the label spans by the patterns themselves: phrases of 1 to 5 words on one
+# line, matched in full; per start word and pattern the shortest
+WITH_SPANS = WITH_INV + WB_CTE + f"""
+, w AS ({NUMBERED_WORDS}),
+pat(label_set, pattern_rank, rx) AS (VALUES {", ".join(f"('{p.label_set}', {p.rank}, '{p.pattern}')" for p in _labels.PATTERNS)}),
+on_line AS (SELECT a.doc_id, a.page, a.i, b.i - a.i AS d, b.text, {_OVERLAP_SQL} OR a.i = b.i AS same
+    FROM w a JOIN w b ON b.doc_id = a.doc_id AND b.page = a.page AND b.i BETWEEN a.i AND a.i + 4),
+phrase AS (SELECT doc_id, page, i, d, bool_and(same) OVER o AS ok, trim(string_agg(text, ' ') OVER o) AS raw
+    FROM on_line WINDOW o AS (PARTITION BY doc_id, page, i ORDER BY d)),
+cand AS (SELECT doc_id, page, i, d, raw LIKE '%:' AS colon, trim(regexp_replace(lower(raw), ':+$', '')) AS s FROM phrase WHERE ok),
+likely AS (SELECT * FROM cand WHERE regexp_full_match(s, '{_ALL_LABELS}')),
+hit AS (SELECT doc_id, page, label_set, pattern_rank, i, min(d) AS d, arg_min(colon, d) AS colon
+    FROM likely JOIN pat ON regexp_full_match(s, rx) GROUP BY ALL),
+scored AS (SELECT h.doc_id, h.page, label_set, pattern_rank, h.i AS start, CAST(h.i + d + 1 AS INTEGER) AS "end",
+        CASE WHEN colon THEN 2 ELSE 0 END + CASE WHEN EXISTS (SELECT 1 FROM w b WHERE b.doc_id = a.doc_id AND b.page = a.page AND b.i <> a.i
+            AND b.x1 <= a.x0 - 5 AND {_OVERLAP_SQL}) THEN 0 ELSE 1 END AS score, a.text AS label, a.top
+    FROM hit h JOIN w a ON a.doc_id = h.doc_id AND a.page = h.page AND a.i = h.i),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id, page, label_set, pattern_rank ORDER BY score DESC, start) = 1)"""
+
+
+def _matched(spark, sf_dir):
+    return el.with_matches(_pages(spark, sf_dir))
 
 
 @register("pick_value", WITH_LEXPECTED + " SELECT doc_id, due_date AS value FROM lexpected")
 def q_pick_value(spark, sf_dir):
-    s1 = _stage2(spark, sf_dir)
-    W, C, lh = F.col("W"), F.col("C"), F.col("lh")
-    s2 = s1.select("doc_id", "W", "lh", el.spans(W, C, fixed.DUE_DATE_LABELS).alias("SP"))
-    return s2.select("doc_id", el.pick_value(F.col("W"), F.col("SP"), F.col("lh"), inv_fn.find_date).alias("value"))
+    return _matched(spark, sf_dir).select("doc_id", el.pick_value(
+        el.page(), el.spans(F.col("M"), "due"), inv_fn.find_date).alias("value"))
 
 
 @register("pick_inline", WITH_INV + """
@@ -554,43 +575,48 @@ SELECT doc_id, CASE WHEN layout IN (0, 1) THEN t_invoice_number
                     WHEN layout = 3 THEN 'Number: PO-' || CAST(CAST(regexp_extract(t_recipient, '([0-9]+)', 1) AS BIGINT) + 10000 AS VARCHAR)
                END AS value FROM inv""")
 def q_pick_inline(spark, sf_dir):
-    s1 = _stage2(spark, sf_dir)
-    s2 = s1.select("doc_id", "W", el.spans(F.col("W"), F.col("C"), fixed.NUMBER_LABELS).alias("SP"))
-    return s2.select("doc_id", el.pick_inline(F.col("W"), F.col("SP")).alias("value"))
+    return _matched(spark, sf_dir).select("doc_id", el.pick_inline(el.page(), el.spans(F.col("M"), "number")).alias("value"))
 
 
 @register("pick_block_below", WITH_INV + """
 SELECT doc_id, CASE layout WHEN 1 THEN 'To: ' || t_recipient WHEN 2 THEN 'Billed to: ' || t_recipient
                            WHEN 3 THEN 'Buyer: ' || t_recipient END AS value FROM inv""")
 def q_pick_block_below(spark, sf_dir):
-    s1 = _stage2(spark, sf_dir)
-    s2 = s1.select("doc_id", "W", "lh", el.spans(F.col("W"), F.col("C"), fixed.ISSUER_LABELS).alias("SP"))
-    return s2.select("doc_id", el.pick_block_below(F.col("W"), F.col("SP"), F.col("lh")).alias("value"))
+    return _matched(spark, sf_dir).select("doc_id", el.pick_block_below(el.page(), el.spans(F.col("M"), "issuer")).alias("value"))
 
 
 @register("header_company_guess")
 def q_header_company_guess(spark, sf_dir):
-    pg = _pages(spark, sf_dir)
-    return pg.select("doc_id", el.header_company_guess(F.col("W"), el.line_height(F.col("W"))).alias("value"))
+    return _pages(spark, sf_dir).select("doc_id", el.header_company_guess(el.page()).alias("value"))
 
 
-@register("label_positions")
+@register("label_positions", WITH_SPANS + """
+SELECT doc_id, page, label_set, CAST(row_number() OVER (PARTITION BY doc_id, page, label_set ORDER BY pattern_rank) - 1 AS INTEGER) AS position,
+       start, "end", label, top FROM best""")
 def q_label_positions(spark, sf_dir):
-    return el.page_spans(_pages(spark, sf_dir), fixed.NUMBER_LABELS)
+    return el.label_positions(_pages(spark, sf_dir))
 
 
-@register("best_label_span")
+@register("best_label_span", WITH_SPANS + " SELECT doc_id, page, label_set, pattern_rank, start, \"end\", score FROM best")
 def q_best_label_span(spark, sf_dir):
-    return el.page_spans(_pages(spark, sf_dir), fixed.INVOICE_DATE_LABELS).where(F.col("pattern_rank") >= 0)
+    return el.best_label_spans(_pages(spark, sf_dir))
 
 
-@register("label_spans")
+@register("label_spans", WITH_SPANS + " SELECT doc_id, page, label_set, pattern_rank, start, \"end\", score FROM scored")
 def q_label_spans(spark, sf_dir):
-    s1 = _stage2(spark, sf_dir)
-    return s1.select("doc_id", "page", F.inline(el.total_hits(F.col("W"), F.col("C"))))
-
-
-@register("below_join")
+    return el.label_spans(_pages(spark, sf_dir))
+
+
+@register("below_join", WITH_INV + WB_CTE + f"""
+, w AS ({NUMBERED_WORDS}),
+h AS (SELECT doc_id, page, avg(bottom - top) AS lh FROM w GROUP BY ALL),
+b AS (SELECT l.doc_id, l.page, l.i AS word_idx, l.text AS label, r.text, r.top, r.x0, r.i, lh,
+             min(r.top) OVER (PARTITION BY l.doc_id, l.page, l.i) AS first_top
+      FROM w l JOIN h USING (doc_id, page) LEFT JOIN w r ON r.doc_id = l.doc_id AND r.page = l.page AND r.i <> l.i
+           AND r.top > l.bottom - lh * 0.2 AND r.top < l.bottom + 2 * lh
+      WHERE l.text LIKE '%:')
+SELECT doc_id, page, word_idx, label, string_agg(text, ' ' ORDER BY x0, top, i) FILTER (top - first_top < lh * 0.6) AS below_text
+FROM b GROUP BY doc_id, page, word_idx, label""")
 def q_below_join(spark, sf_dir):
     return el.first_row_below(_pages(spark, sf_dir))
 
