@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .features import hash_key
 from .profile import text_key
 
 
@@ -66,5 +67,6 @@ def sequence_id(df: DataFrame, order, out: str = "seq") -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows picked by a seeded hash of the key (top-k, no full sort)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows picked by a seeded hash of the key (top-k, no full sort), the
+    same hash as the stratified split's."""
+    return df.orderBy(hash_key(key, seed), key).limit(n)

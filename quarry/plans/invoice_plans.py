@@ -131,8 +131,8 @@ def q_amount_as_double(spark, sf_dir):
 
 
 @register("largest_monetary", AMOUNT_TOKENS_SQL + """
-SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, arg_max(token, (amount, -pos)) AS token
-FROM valued WHERE is_monetary AND amount > -1.0 GROUP BY doc_id, line_no""")
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, token FROM valued WHERE is_monetary AND amount > -1.0
+QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY amount DESC, pos) = 1""")
 def q_largest_monetary(spark, sf_dir):
     d = _lines(spark, sf_dir).select("doc_id", "line_no", inv_fn.largest_monetary("line").alias("token"))
     return d.where(F.col("token").isNotNull())
@@ -384,20 +384,20 @@ def q_signal_count(spark, sf_dir):
 from ..operators import extract_layout as el  # noqa: E402
 
 # What the layout rules return on the grid word boxes, derived by hand from
-# the rules: a 60-unit column keeps 3 words of the name under "Bill To:";
-# block labels take the whole next row (300 units wide); "PO Number:" makes
-# "Number" the first valid token right of the "po" label; the bare "to"
-# label fires inside sentences of layouts 3 and 4.
+# the rules. Layout 1: a 60-unit column keeps 3 words of the name below its
+# label; the issuer has no label and is the header guess. Layouts 2 and 3: an
+# issuer label's block is the next row (300 units wide). Layout 3: the number
+# is the word behind "#". Layout 4: the bare "date" of "Due Date" ends the row
+# start; its greeting is the header guess.
 LAYOUT_EXPECTED_CTE = """
 lexpected AS (
   SELECT doc_id, layout,
-         CASE WHEN layout IN (0, 1) THEN t_invoice_number WHEN layout = 3 THEN 'Number' END AS invoice_number,
+         CASE WHEN layout = 3 THEN '#' || t_invoice_number ELSE t_invoice_number END AS invoice_number,
          CASE WHEN layout = 4 THEN t_due_date ELSE t_invoice_date END AS invoice_date,
          t_due_date AS due_date,
-         CASE layout WHEN 0 THEN t_issuer WHEN 1 THEN 'To: ' || t_recipient
-                     WHEN 2 THEN 'Billed to: ' || t_recipient WHEN 3 THEN 'Buyer: ' || t_recipient
-                     ELSE 'Dear ' || t_recipient END AS issuer,
-         CASE WHEN layout = 0 THEN 'Blue Sky Retail' WHEN layout IN (1, 2) THEN t_recipient END AS recipient,
+         CASE layout WHEN 2 THEN 'Shipped To: ' || t_recipient WHEN 3 THEN 'Sold To: ' || t_recipient
+                     WHEN 4 THEN 'Memo for ' || t_recipient ELSE t_issuer END AS issuer,
+         CASE WHEN layout = 1 THEN 'Blue Sky Retail' WHEN layout <> 4 THEN t_recipient END AS recipient,
          t_total AS total
   FROM inv
 )"""
@@ -571,21 +571,24 @@ def q_pick_value(spark, sf_dir):
 
 
 @register("pick_inline", WITH_INV + """
-SELECT doc_id, CASE WHEN layout IN (0, 1) THEN t_invoice_number
-                    WHEN layout = 3 THEN 'Number: PO-' || CAST(CAST(regexp_extract(t_recipient, '([0-9]+)', 1) AS BIGINT) + 10000 AS VARCHAR)
-               END AS value FROM inv""")
+SELECT doc_id, CASE layout WHEN 0 THEN t_invoice_number WHEN 2 THEN '# ' || t_invoice_number
+                           WHEN 4 THEN t_invoice_number || ' is payable on' END AS value FROM inv""")
 def q_pick_inline(spark, sf_dir):
     return _matched(spark, sf_dir).select("doc_id", el.pick_inline(el.page(), el.spans(F.col("M"), "number")).alias("value"))
 
 
 @register("pick_block_below", WITH_INV + """
-SELECT doc_id, CASE layout WHEN 1 THEN 'To: ' || t_recipient WHEN 2 THEN 'Billed to: ' || t_recipient
-                           WHEN 3 THEN 'Buyer: ' || t_recipient END AS value FROM inv""")
+SELECT doc_id, CASE layout WHEN 2 THEN 'Shipped To: ' || t_recipient WHEN 3 THEN 'Sold To: ' || t_recipient END AS value FROM inv""")
 def q_pick_block_below(spark, sf_dir):
     return _matched(spark, sf_dir).select("doc_id", el.pick_block_below(el.page(), el.spans(F.col("M"), "issuer")).alias("value"))
 
 
-@register("header_company_guess")
+# the top quarter of layout 0 is its first two lines: an amount, and the due
+# date, which reads as an amount when written with dots
+@register("header_company_guess", WITH_INV + """
+SELECT doc_id, CASE layout WHEN 0 THEN CASE WHEN NOT regexp_matches(t_due_date, '[0-9][.,][0-9]{2}') THEN 'Pay by ' || t_due_date END
+                           WHEN 1 THEN t_issuer WHEN 2 THEN 'Reply to your order' WHEN 3 THEN 'Counter note #' || t_invoice_number
+                           ELSE 'Memo for ' || t_recipient END AS value FROM inv""")
 def q_header_company_guess(spark, sf_dir):
     return _pages(spark, sf_dir).select("doc_id", el.header_company_guess(el.page()).alias("value"))
 
@@ -622,7 +625,7 @@ def q_below_join(spark, sf_dir):
 
 
 @register("label_value_lookup", WITH_INV + """
-SELECT doc_id, CASE WHEN layout = 3
+SELECT doc_id, CASE WHEN layout = 2
        THEN 'PO-' || CAST(CAST(regexp_extract(t_recipient, '([0-9]+)', 1) AS BIGINT) + 10000 AS VARCHAR) END AS value
 FROM inv""")
 def q_label_value_lookup(spark, sf_dir):

@@ -492,7 +492,8 @@ def q_top_n_shortest(spark, sf_dir):
     return d.orderBy("num_words", "doc_id").limit(10)
 
 
-@register("seeded_sample")
+@register("seeded_sample", f"""
+SELECT doc_id, lang FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{fixed.SEED}'), doc_id LIMIT 20""")
 def q_seeded_sample(spark, sf_dir):
     return dd.seeded_sample(docs(spark, sf_dir), "doc_id", 20, fixed.SEED).select("doc_id", "lang")
 

@@ -27,20 +27,21 @@ def count_re(x: str, pat: str) -> str:
     return f"CAST(len(regexp_extract_all({x}, '{pat}')) AS INTEGER)"
 
 
-# What the text rules return per layout (hand-derived from the rules):
-# number only where a number label precedes it; layout 4's issue date is
-# the due date (a bare "date" label), its issuer the greeting line; the
-# recipient label "invoice to" also fires inside "Invoice total:" (layout 3).
+# What the text rules return per layout (hand-derived from the rules). Layout
+# 1: the total's amount stands on the next line. Layout 2: none of its labels
+# but the total's is known to the text rules, so its heading is taken for the
+# issuer. Layout 3: the number has no label and letters, the date's label is
+# unknown. Layout 4: the bare "date" label precedes the due date, the greeting
+# is the first clean line.
 TEXT_EXPECTED_CTE = """
 expected AS (
   SELECT doc_id, layout,
-         CASE WHEN layout IN (0, 1) THEN t_invoice_number END AS invoice_number,
-         CASE WHEN layout = 4 THEN t_due_date ELSE t_invoice_date END AS invoice_date,
-         t_due_date AS due_date,
-         CASE WHEN layout = 4 THEN 'Dear ' || t_recipient ELSE t_issuer END AS issuer,
-         CASE WHEN layout IN (0, 2) THEN t_recipient
-              WHEN layout = 3 THEN 'tal: ' || t_currency || ' ' || t_total END AS recipient,
-         t_total AS total
+         CASE WHEN layout IN (0, 1, 2, 4) THEN t_invoice_number END AS invoice_number,
+         CASE WHEN layout IN (0, 1) THEN t_invoice_date WHEN layout = 4 THEN t_due_date END AS invoice_date,
+         CASE WHEN layout <> 2 THEN t_due_date END AS due_date,
+         CASE layout WHEN 2 THEN 'Reply to your order' WHEN 4 THEN 'Memo for ' || t_recipient ELSE t_issuer END AS issuer,
+         CASE WHEN layout IN (0, 1, 3) THEN t_recipient END AS recipient,
+         CASE WHEN layout <> 1 THEN t_total END AS total
   FROM inv
 )"""
 

@@ -21,13 +21,12 @@ from pyspark.sql import functions as F
 
 from .tables import table
 
-# FIXED VALUES: rendering choices for the fixture invoices.
-DATE_STYLES_SPARK = ["dd/MM/yyyy", "MM/dd/yyyy", "yyyy-MM-dd", "d MMMM yyyy", "MMMM d, yyyy"]
-DATE_STYLES_SQL = ["%d/%m/%Y", "%m/%d/%Y", "%Y-%m-%d", "%-d %B %Y", "%B %-d, %Y"]
-CURRENCIES = ["$", "EUR", "GBP", "USD"]
-TAX_RATES = [0, 5, 8, 10, 20]
-TERMS = "Net 30"
-DUE_DAYS = 30
+# Rendering choices for the fixture invoices.
+DATE_STYLES_SPARK = ["yyyy-MM-dd", "dd.MM.yyyy", "d MMM yyyy", "MMM d, yyyy"]
+DATE_STYLES_SQL = ["%Y-%m-%d", "%d.%m.%Y", "%-d %b %Y", "%b %-d, %Y"]
+CURRENCIES = ["€", "$", "RM", "£"]
+TAX_RATES = [0, 7, 12, 19, 25]
+DUE_DAYS = 21
 NUMBER_OFFSET = 1000
 PO_OFFSET = 10000
 LINE_STRIDE = 1 << 32          # a word's idx: line number, then place in the line
@@ -42,29 +41,22 @@ NUM, ISSUE, DUE, ISSUER, RECIP, TOTAL, SUB, TAX, UNIT, QTY, PCT, CUR, ITEM, PO =
     V("tax"), V("unit"), V("qty"), V("pct"), V("cur"), V("item"), V("po"))
 
 LAYOUTS = [
-    # 0: tax invoice, values behind or below their labels
-    [ISSUER, "\nTax invoice, first copy\nInvoice No: ", NUM, "\nInvoice Date: ", ISSUE, "\nDue Date: ", DUE,
-     "\n\nBill To:\n", RECIP, "\n\nOrdered: ", ITEM, "\nPieces: ", QTY, "\nPrice of one piece: ", CUR, " ", UNIT,
-     "\n\nSubtotal: ", CUR, " ", SUB, "\nTax of ", PCT, "%: ", CUR, " ", TAX,
-     "\nTotal Amount Due: ", CUR, " ", TOTAL, "\n\nDelivered on terms " + TERMS + "."],
-    # 1: from / to
-    ["Invoice for delivered goods\nFrom: ", ISSUER, "\nTo: ", RECIP, "\nInvoice Number: ", NUM, "\nDate: ", ISSUE,
-     "\nPayment Due: ", DUE, "\n\n", QTY, " pieces of ", ITEM, " at ", CUR, " ", UNIT,
-     "\n\nGrand Total: ", CUR, " ", TOTAL, "\nBalance Due: ", CUR, " ", TOTAL,
-     "\n\nWe sell on terms " + TERMS + " only."],
-    # 2: issued by / billed to
-    ["Invoice ", NUM, "\nIssued by: ", ISSUER, "\nBilled to: ", RECIP, "\nDate of issue: ", ISSUE, "\nPayment Due: ", DUE,
-     "\n\nWork on ", ITEM, "\n", QTY, " hours at ", CUR, " ", UNIT,
-     "\n\nSubtotal ", CUR, " ", SUB, "\nVAT ", PCT, "% ", CUR, " ", TAX, "\nTotal ", CUR, " ", TOTAL,
-     "\n\nName ", NUM, " in your transfer."],
-    # 3: seller / buyer
-    ["Commercial invoice\nSeller: ", ISSUER, "\nBuyer: ", RECIP, "\nPO Number: ", PO, "\nInvoice Date: ", ISSUE,
-     "\nPayment Due: ", DUE, "\n\nGoods: ", ITEM, "\nPieces: ", QTY, "\nPrice of one piece: ", CUR, " ", UNIT,
-     "\n\nInvoice total: ", CUR, " ", TOTAL, "\nAmount due: ", CUR, " ", TOTAL,
-     "\n\nShipped under terms " + TERMS + ".\nInvoice ID: ", NUM],
-    # 4: letter
-    ["Dear ", RECIP, ",\n\nthis invoice covers ", ITEM, " until ", ISSUE, ", our reference is ", NUM,
-     ".\n\nAmount due: ", CUR, " ", TOTAL, " with ", PCT, "% tax\nDue date: ", DUE, "\n\nYours,\n", ISSUER],
+    # 0: warehouse bill, what is to be paid comes first
+    ["Balance Due ", CUR, " ", TOTAL, "\nPay by ", DUE, "\nBill No. ", NUM, "\nIssue Date ", ISSUE,
+     "\n\nCustomer: ", RECIP, "\nVendor: ", ISSUER, "\nItems: ", QTY, ", the first is ", ITEM],
+    # 1: account sheet, every value stands below its label
+    [ISSUER, "\n\nClient\n", RECIP, "\n\nInvoice Number\n", NUM, "\n\nDate of Issue\n", ISSUE,
+     "\n\nPayment Due Date\n", DUE, "\n\nTotal Payable\n", CUR, " ", TOTAL],
+    # 2: reply to a purchase order, its own number stands last
+    ["Reply to your order\nPO Number: ", PO, "\nIssued On: ", ISSUE, "\nDue: ", DUE, "\nRemit To: ", ISSUER,
+     "\nShipped To: ", RECIP, "\n\nQuantity ", QTY, " at ", CUR, " ", UNIT, "\nSub Total ", CUR, " ", SUB,
+     "\nTotal Due ", CUR, " ", TOTAL, "\nInv # ", NUM],
+    # 3: counter note with the number in its heading
+    ["Counter note #", NUM, "\n", QTY, " x ", ITEM, "\nAmount Due: ", CUR, " ", TOTAL, "\nDated: ", ISSUE,
+     "\nBill From: ", ISSUER, "\nSold To: ", RECIP, "\nPayment Due: ", DUE],
+    # 4: memo in sentences
+    ["Memo for ", RECIP, "\nWe deliver ", ITEM, " with ", PCT, "% VAT, ", TAX, " in all.\nInvoice # ", NUM, " is payable on\nDue Date ", DUE,
+     " and was written on ", ISSUE, "\nTotal ", CUR, " ", TOTAL, "\n", ISSUER],
 ]
 
 TRUTH = {"invoice_number": NUM, "invoice_date": ISSUE, "due_date": DUE,
@@ -105,7 +97,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _spark_values() -> dict[str, Column]:
     k = F.col("o_orderkey")
     issue = F.to_date("o_orderdate")
-    style = (k % 7) % 5
+    style = (k % 9) % 4
     pct = _pick(TAX_RATES, k % 5)
     total_c = F.round(F.col("o_totalprice") * 100).cast("long")
     sub_c = F.floor(total_c * 100 / (pct + 100)).cast("long")
@@ -160,7 +152,7 @@ def _sql_values() -> dict[str, str]:
 
     def fmt(d):
         arms = " ".join(f"WHEN {i} THEN strftime({d}, '{s}')" for i, s in enumerate(DATE_STYLES_SQL))
-        return f"(CASE (o_orderkey % 7) % 5 {arms} END)"
+        return f"(CASE (o_orderkey % 9) % 4 {arms} END)"
 
     def money(c):
         return f"format('{{:,.2f}}', ({c}) / 100.0)"
