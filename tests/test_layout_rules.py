@@ -1,8 +1,14 @@
 """Hand-worked layout cases: inline value, row folding on the anchor word,
 confidence filter."""
 
+import random
+import re
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions import labels
 from quarry.operators import extract_layout as el
 
 SCHEMA = "doc_id long, page int, idx long, text string, x0 double, x1 double, top double, bottom double"
@@ -47,3 +53,103 @@ def test_conf_filter(spark):
 def test_no_words_no_fields(spark):
     w = spark.createDataFrame([], SCHEMA)
     assert el.extract_from_words(w).count() == 0
+
+
+def plain_spans(page):
+    """(pattern, start, end, score) of every label match, word by word with the patterns themselves."""
+    def overlap(a, b):
+        both, least = min(a[4], b[4]) - max(a[3], b[3]), min(a[4] - a[3], b[4] - b[3])
+        return both / least if both > 0 and least > 0 else 0.0
+
+    out = []
+    for i, w in enumerate(page):
+        begins = not any(o is not w and o[2] <= w[1] - 5 and overlap(w, o) >= 0.5 for o in page)
+        done = set()
+        for n in range(1, 6):
+            line = page[i:i + n]
+            if len(line) < n or any(overlap(w, o) < 0.5 for o in line[1:]):
+                break
+            raw = " ".join(o[0] for o in line).strip()
+            phrase = raw.lower().rstrip(":").strip()
+            for k, p in enumerate(labels.PATTERNS):
+                if k not in done and re.fullmatch(p.pattern, phrase, re.I):
+                    done.add(k)
+                    out.append((k, i, i + n, 2 * raw.endswith(":") + begins))
+    return out
+
+
+def random_page(seed, n, lines):
+    r = random.Random(seed)
+    vocab = ["Invoice", "No", "no.", "Number:", "#", "Date", "date:", "of", "issue", "Due", "DUE:", "Total", "Amount", "Sub", "Grand", "Bill", "To",
+             "to:", "From:", "Sold", "Inv", "Ref", "PO", "x", "12.50", "Acme", "Payment", "due", "Balance", "Ship", "Customer", "Vendor:"]
+    out = []
+    for _ in range(n):
+        x, y, h = r.randrange(0, 500), 12.0 * r.randrange(lines) + r.choice([0, 0, 0, 3, 6]), r.choice([10.0, 10.0, 10.0, 14.0, 5.0])
+        out.append((r.choice(vocab), float(x), float(x + 20), y, y + h))
+    return sorted(out, key=lambda w: (w[3], w[1]))
+
+
+def test_label_spans_against_the_patterns(spark):
+    pages = {d: random_page(d, 150, 14) for d in range(12)}
+    pages[99] = random_page(99, 60, 4) + [("Date:", 0.0, 9.0, 0.0, 400.0)]               # one word as high as the page
+    w = spark.createDataFrame([(d, 1, i, *x) for d, p in pages.items() for i, x in enumerate(p)], SCHEMA)
+    rank = {(p.label_set, p.rank): k for k, p in enumerate(labels.PATTERNS)}
+    got = sorted((r.doc_id, rank[r.label_set, r.pattern_rank], r.start, r.end, r.score) for r in el.label_spans(el.pages(w)).collect())
+    assert got == sorted((d, *m) for d, p in pages.items() for m in plain_spans(p)) and len(got) > 200
+    best = {(r.doc_id, rank[r.label_set, r.pattern_rank]): (r.start, r.end, r.score) for r in el.best_label_spans(el.pages(w)).collect()}
+    want = {}
+    for d, k, a, b, score in got:
+        if (d, k) not in want or (-score, a) < (-want[d, k][2], want[d, k][0]):
+            want[d, k] = (a, b, score)
+    assert best == want
+    found = el.label_positions(el.pages(w)).collect()
+    assert {(r.doc_id, r.label_set, r.start, r.end) for r in found} == {(d, labels.PATTERNS[k].label_set, a, b) for (d, k), (a, b, _) in want.items()}
+    assert all(r.label == pages[r.doc_id][r.start][0] and r.top == pages[r.doc_id][r.start][3] for r in found)
+
+
+def test_words_beside_and_below_are_found_in_their_rows(spark):
+    """The rows around a word hold all words that the rules look at."""
+    pages = {d: random_page(d, 120, 10) for d in range(20, 28)}
+    pages[98] = random_page(98, 50, 4) + [("bar:", 0.0, 3.0, 0.0, 500.0)]
+    w = spark.createDataFrame([(d, 1, i, *x) for d, p in pages.items() for i, x in enumerate(p)], SCHEMA)
+
+    def overlap(a, b):
+        both, least = min(a[4], b[4]) - max(a[3], b[3]), min(a[4] - a[3], b[4] - b[3])
+        return both > 0 and least > 0 and both / least >= 0.5
+
+    right, below = {}, {}
+    for d, p in pages.items():
+        lh = sum(x[4] - x[3] for x in p) / len(p)
+        for i, x in enumerate(p):
+            if x[0].endswith(":"):
+                beside = sorted((o[1], o[3], j) for j, o in enumerate(p) if j != i and o[1] >= x[2] - 2 and overlap(x, o))
+                right[d, i] = " ".join(p[j][0] for _, _, j in beside)
+                under = sorted((o[3], o[1], j) for j, o in enumerate(p) if j != i and x[4] - lh * 0.2 < o[3] < x[4] + 2 * lh)
+                row = [u for u in under if u[0] - under[0][0] < lh * 0.6]
+                below[d, i] = " ".join(p[j][0] for _, _, j in sorted(row, key=lambda u: (u[1], u[0], u[2]))) or None
+    assert {(r.doc_id, r.word_idx): r.right_text for r in el.right_of_labels(el.pages(w)).collect()} == right
+    assert {(r.doc_id, r.word_idx): r.below_text for r in el.first_row_below(el.pages(w)).collect()} == below
+
+
+def test_spellings_are_the_patterns_languages():
+    for s, numbers in labels.LABELS.items():
+        assert numbers == [k for k, p in enumerate(labels.PATTERNS) if re.fullmatch(p.pattern, s)]
+    assert labels.spellings(r"bill(?:ed)?\s*to") == {"bill to", "billto", "billed to", "billedto"}
+    with pytest.raises(ValueError):
+        labels.spellings(r"no\d+")
+
+
+def test_a_large_page_costs_in_proportion(spark):
+    """Ten times the words on ten times the lines: no rule looks through the whole page per word."""
+    def seconds(n):
+        w = spark.createDataFrame([(1, 1, i, *x) for i, x in enumerate(random_page(5, n, n // 10))], SCHEMA)
+        pg = el.with_matches(el.pages(w)).select("doc_id", "R", "M")
+        times = []
+        for _ in range(3):
+            t = time.time()
+            pg.collect()
+            times.append(time.time() - t)
+        return min(times)
+
+    small, large = seconds(500), seconds(5000)
+    assert large < 25 * small, (small, large)
