@@ -273,28 +273,26 @@ def layout_invoice_number(P: Page) -> Column:
     return F.coalesce(v, fb)
 
 
-def layout_due_date(P: Page) -> Column:
-    return pick_value(P, spans(P.M, "due"), find_date)
+def labelled_dates(P: Page) -> Column:
+    """[issue date, due date] by their labels: one rule over both label sets."""
+    return F.transform(F.array(spans(P.M, "issue"), spans(P.M, "due")), lambda SP: pick_value(P, SP, find_date))
 
 
-def layout_invoice_date(P: Page) -> Column:
-    """Labelled date; else the first dated visual row whose rounded top is
-    not that of a due-date label (half-even rounding)."""
-    v = pick_value(P, spans(P.M, "issue"), find_date)
+def first_other_date(P: Page) -> Column:
+    """The first dated visual row whose rounded top is not that of a due-date
+    label (half-even rounding)."""
     due_tops = F.transform(spans(P.M, "due"), lambda sp: F.bround(F.element_at(P.W, sp["start"] + 1)["top"], 0))
-    fb = let(due_tops, lambda due: _first_of(P.R, lambda r: F.when(
+    return let(due_tops, lambda due: _first_of(P.R, lambda r: F.when(
         ~F.array_contains(due, F.bround(F.element_at(r, 1)["top"], 0)), let(join_text(r), find_date))))
-    return F.coalesce(v, fb)
-
-
-def layout_issuer(P: Page) -> Column:
-    SP = spans(P.M, "issuer")
-    return F.coalesce(pick_block_below(P, SP), pick_value(P, SP, clean_party), header_company_guess(P))
 
 
-def layout_recipient(P: Page) -> Column:
-    SP = spans(P.M, "recipient")
-    return F.coalesce(pick_value(P, SP, clean_party), pick_block_below(P, SP))
+def labelled_parties(P: Page) -> Column:
+    """[issuer, recipient] by their labels: an issuer's block comes before the
+    value beside its label, a recipient's value before the block."""
+    block, value = 1, 2
+    party = lambda name, order: F.struct(spans(P.M, name).alias("SP"), F.array(*map(F.lit, order)).alias("order"))
+    return F.transform(F.array(party("issuer", (block, value)), party("recipient", (value, block))), lambda x: _first_of(
+        x["order"], lambda k: F.when(k == block, pick_block_below(P, x["SP"])).otherwise(pick_value(P, x["SP"], clean_party))))
 
 
 def layout_total(P: Page) -> Column:
@@ -416,12 +414,14 @@ def extract_from_pages(pg: DataFrame) -> DataFrame:
     """(doc_id, page, six fields) for each page of word boxes: the matches
     once, then the six pickers."""
     P = page()
-    empty = F.size(P.W) == 0
+    found = with_matches(pg).withColumns({"_dates": labelled_dates(P), "_parties": labelled_parties(P)})
     fields = {
-        "invoice_number": layout_invoice_number(P), "invoice_date": layout_invoice_date(P), "due_date": layout_due_date(P),
-        "issuer": layout_issuer(P), "recipient": layout_recipient(P), "total": layout_total(P),
+        "invoice_number": layout_invoice_number(P),
+        "invoice_date": F.coalesce(F.get("_dates", 0), first_other_date(P)), "due_date": F.get("_dates", 1),
+        "issuer": F.coalesce(F.get("_parties", 0), header_company_guess(P)), "recipient": F.get("_parties", 1),
+        "total": layout_total(P),
     }
-    return with_matches(pg).select("doc_id", "page", *[F.when(~empty, v).alias(k) for k, v in fields.items()])
+    return found.select("doc_id", "page", *[F.when(F.size(P.W) > 0, v).alias(k) for k, v in fields.items()])
 
 
 def first_across_pages(per_page: DataFrame) -> DataFrame:
