@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as tx
 from ..operators import features as fe
+from ..operators import linear
 from ..operators import metrics as mt
 from ..operators import train as tr
 from ..session import scratch_path
@@ -51,7 +52,7 @@ class Fit:
         return tr.featurize(self.split.where(F.col("split") == name), self.feats, self.idx)
 
     def model(self, kind: str, **kw):
-        return tr.make_model(kind, n_train=self.n, **kw).fit(self.rows)
+        return tr.make_model(kind, **kw).fit(self.rows)
 
     def metrics(self, name: str, model) -> DataFrame:
         """accuracy and F1s of validation and test, as a small local table."""
@@ -89,7 +90,7 @@ def q_dense_vector_lr(spark, sf_dir):
     idx = tr.index_labels(sp, "label")
     data = idx.transform(tr.dense_vectors(sp))
     train, n = tr.fit_ready(tr.with_balanced_weights(data.where(F.col("split") == "train")))
-    model = tr.make_model("logistic_regression", n_train=n).fit(train)
+    model = tr.make_model("logistic_regression").fit(train)
     train.unpersist()
     out = None
     for split in ("val", "test"):
@@ -143,36 +144,39 @@ def grid_search(spark, sf_dir, kind: str, vocab_sizes=GRID_VOCABS, ngrams=GRID_N
     setting (ties: smaller vocabulary, n-gram range, C) is fitted on all
     training and validation rows and scored on the test rows. ``Cs``: by
     default those of the kind."""
-    Cs = Cs or GRID_C[kind]
+    Cs = tuple(Cs or GRID_C[kind])
     sp = split_docs(spark, sf_dir)
-    dev = fe.fold_ids(sp.where(F.col("split") != "test").drop("split"), "label", "doc_id", k=k).drop("rank", "class_n")
-
-    def ready(train):
-        return tr.with_balanced_weights(train)
-
-    def fold_scores(vocab, ngram, fold):
-        train, held = dev.where(F.col("fold") != fold), dev.where(F.col("fold") == fold)
-        feats, idx = tr.prepare(train, vocab_size=vocab, ngram_max=ngram)
-        rows, n = tr.fit_ready(ready(tr.featurize(train, feats, idx)))
-        val = tr.featurize(held, feats, idx).select("doc_id", "label", "features", "y").cache()
-        out = []
-        for c in Cs:
-            m = tr.make_model(kind, n_train=n, C=c).fit(rows)
-            out.append((vocab, ngram, c, float(mt.summary(tr.evaluate(m, val, idx.labels)).first()["macro_f1"])))
-        rows.unpersist()
-        val.unpersist()
-        return out
-
-    jobs = [lambda v=v, g=g, f=f: fold_scores(v, g, f) for v in vocab_sizes for g in ngrams for f in range(k)]
-    scores: dict[tuple, list[float]] = {}
-    for part in side_by_side(jobs):
-        for v, g, c, f1 in part:
-            scores.setdefault((v, g, c), []).append(f1)
+    dev = fe.fold_ids(sp.where(F.col("split") != "test").drop("split"), "label", "doc_id", k=k).drop("rank", "class_n").cache()
+    idx = tr.index_labels(dev)
+    sizes = sorted(vocab_sizes)
+    loss = {"linear_svm": linear.HINGE, "logistic_regression": linear.SOFTMAX}[kind]
+
+    def folds_of(ngram: int) -> dict[tuple, list[float]]:
+        """Scores of every (vocabulary size, n-gram range, C) and fold: terms
+        once, features of all folds and sizes in one pass, and all fits of all
+        folds, sizes and penalties step by step in the same passes."""
+        terms = tr.term_rows(idx.transform(dev), ngram).select("fold", "y", "terms").cache()
+        counts = linear.class_counts(terms, len(idx.labels), "fold")
+        vocab = linear.fold_terms(terms, k, sizes[-1], fixed.MIN_DF)
+        few = max(1, -(-k * len(sizes) * int(sum(counts.values()).sum()) // tr.FIT_ROWS_PER_TASK))
+        blocks = linear.packed_folds(terms, vocab, sizes)
+        blocks = blocks.coalesce(min(few, blocks.rdd.getNumPartitions())).cache()
+        total, base = sum(counts.values()), lambda fold: fold * len(sizes)
+        problems = {base(f) + i: linear.Problem(total - counts.get((f,), 0), min(s, len(v.terms)), Cs, loss)
+                    for f, v in enumerate(vocab) for i, s in enumerate(sizes)}
+        found = linear.confusion(blocks.where("held"), linear.fit(blocks.where("NOT held"), problems))
+        blocks.unpersist()
+        terms.unpersist()
+        return {(s, ngram, c): [linear.macro_f1(found[base(f) + i][j]) for f in range(k)]
+                for i, s in enumerate(sizes) for j, c in enumerate(Cs)}
+
+    scores = {key: v for part in side_by_side([lambda g=g: folds_of(g) for g in ngrams]) for key, v in part.items()}
     best = min(scores, key=lambda s: (-sum(scores[s]), s))
     feats, idx = tr.prepare(dev, vocab_size=best[0], ngram_max=best[1])
-    rows, n = tr.fit_ready(ready(tr.featurize(dev, feats, idx)))
-    model = tr.make_model(kind, n_train=n, C=best[2]).fit(rows)
+    rows, _ = tr.fit_ready(tr.with_balanced_weights(tr.featurize(dev, feats, idx)))
+    model = tr.make_model(kind, C=best[2]).fit(rows)
     rows.unpersist()
+    dev.unpersist()
     test = mt.summary(tr.evaluate(model, tr.featurize(sp.where(F.col("split") == "test"), feats, idx), idx.labels)).first()
     table_ = [(kind, *s, float(sum(x) / len(x)), s == best, float(test["macro_f1"]) if s == best else None)
               for s, x in sorted(scores.items())]
