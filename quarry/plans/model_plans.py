@@ -21,7 +21,7 @@ from ..operators import linear
 from ..operators import metrics as mt
 from ..operators import train as tr
 from ..session import scratch_path
-from ..sources.invoices import invoices
+from ..sources.invoices import invoices, word_boxes
 from ..sources.tables import table
 from .feature_plans import cleaned, split_docs
 
@@ -252,12 +252,15 @@ def q_leaderboard(spark, sf_dir):
 
 # -- scoring: model store, classify job --------------------------------------------------
 
+INVOICE_IDS = 10_000_000_000     # added to an invoice's id in the scoring corpus
+
+
 def _scoring_corpus(spark, sf_dir) -> DataFrame:
     """documents (label = lang) plus rendered invoices (label = invoice)."""
     d = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("label"), F.col("text").alias("raw"))
     inv = invoices(spark, sf_dir).select(
-        (F.col("doc_id") + 10_000_000_000).alias("doc_id"), F.lit("invoice").alias("label"),
+        (F.col("doc_id") + INVOICE_IDS).alias("doc_id"), F.lit("invoice").alias("label"),
         F.col("text").alias("raw"))
     both = d.unionByName(inv)
     return both.withColumn("text", tx.clean_for_classifier("raw"))
@@ -292,21 +295,30 @@ def q_model_store(spark, sf_dir):
     return scored.groupBy(lab.alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def classify(spark, path: str, docs: DataFrame, key: str) -> DataFrame:
+def classify(spark, path: str, docs: DataFrame, key: str, words: DataFrame | None = None) -> DataFrame:
     """clean -> features -> predict -> probabilities -> signal override ->
-    extraction for invoices only; every step is per row, so no join."""
+    extraction for invoices only. Text rules are per row; with ``words`` the
+    invoices' boxes are read by the layout rules, whose values come first."""
+    from ..operators.extract_layout import extract_from_words
     from ..operators.extract_text import extract_fields
     pm = load_model(path)
     prepared = docs.withColumns({"text": tx.clean_for_classifier("raw"), "n_signals": tx.signal_count("raw")})
     s = tr.invoice_override(tr.probabilities(pm, prepared, labels_of(pm), carry=("raw", "n_signals")))
-    return s.select("doc_id", "label", "confidence", "proba", F.lit(key).alias("model_used"), "n_signals", "overridden",
-                    F.when(F.col("label") == "invoice", extract_fields(F.col("raw"))).alias("invoice_fields"))
+    s = s.select("doc_id", "label", "confidence", "proba", F.lit(key).alias("model_used"), "n_signals", "overridden",
+                 F.when(F.col("label") == "invoice", extract_fields(F.col("raw"))).alias("invoice_fields"))
+    if words is None:
+        return s
+    layout = extract_from_words(words).select("doc_id", F.struct(*fixed.FIELDS).alias("_layout"))
+    merged = F.struct(*[F.coalesce(F.col(f"_layout.{f}"), F.col(f"invoice_fields.{f}")).alias(f) for f in fixed.FIELDS])
+    return s.join(layout, "doc_id", "left").withColumn(
+        "invoice_fields", F.when(F.col("label") == "invoice", merged)).drop("_layout")
 
 
 @register("classify_job")
 def q_classify_job(spark, sf_dir):
     path = save_model(spark, sf_dir, "logistic_regression")
-    out = classify(spark, path, _scoring_corpus(spark, sf_dir).select("doc_id", "raw"), "logistic_regression")
+    words = word_boxes(invoices(spark, sf_dir).withColumn("doc_id", F.col("doc_id") + INVOICE_IDS))
+    out = classify(spark, path, _scoring_corpus(spark, sf_dir).select("doc_id", "raw"), "logistic_regression", words)
     return out.select("doc_id", "label", "confidence", "model_used", "n_signals", "overridden",
                       "invoice_fields.*")
 
