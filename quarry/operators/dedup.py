@@ -40,30 +40,52 @@ def show_all_duplicates(df: DataFrame, text: str) -> DataFrame:
     return keyed.join(dups, "_k", "inner").drop("_k")
 
 
-def sequence_id(df: DataFrame, order, out: str = "seq") -> DataFrame:
+PER_RANGE = 20                   # sampled keys per range
+
+
+def range_bounds(df: DataFrame, order: list[str], ranges: int) -> list[tuple]:
+    """Keys that cut ``df`` into about equal ranges, from a hash sample of its
+    distinct keys (about ``PER_RANGE`` per range)."""
+    every = max(1, df.count() // (ranges * PER_RANGE))
+    sample = (df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).distinct()
+              .orderBy(*order).collect())
+    step = max(1, len(sample) // ranges)
+    return [tuple(r) for r in sample[step::step]][:ranges - 1]
+
+
+def sequence_id(df: DataFrame, order, out: str = "seq", ranges: int | None = None) -> DataFrame:
     """Dense 0-based ids in ``order`` without a single-partition window.
 
-    Rows are range-partitioned and sorted per partition; the index inside a
-    partition comes from ``monotonically_increasing_id``. The numbered rows
-    are checkpointed (to the shared checkpoint folder) so that the
-    per-partition counts and the rows they offset are the same data even if
-    the plan is re-optimised or a task is retried. Offsets are a running sum
-    over the partition-count sized table, broadcast back.
-    """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder; own one only when unset
+    Fixed bounds, taken from a sample when the query is built, give every row
+    the number of its range; rows per range are counted into a table of one row
+    per range, whose running sums are broadcast, and a window numbers the rows
+    inside each range. A row's range depends on its key alone, so a task that
+    runs again gives the same ids, and no row is stored in between. By default
+    there are as many ranges as shuffle partitions."""
     order = [order] if isinstance(order, str) else list(order)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    numbered = ranged.withColumn("_pid", pid).withColumn(
-        "_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).checkpoint(eager=True)
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_local", "_off"))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    literal = lambda key: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, key)])
+    bounds = range_bounds(df, order, n)
+    # two steps, so that a row is compared with about 2 sqrt(n) bounds
+    width = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    key = F.struct(*order)
+    below = lambda keys: F.size(F.filter(F.array(*map(literal, keys)), lambda b: b <= key)) if keys else F.lit(0)
+    if groups:
+        coarse = below([g[0] for g in groups])
+        fine = F.when(F.col("_c") == 0, 0)
+        for i, g in enumerate(groups):
+            fine = fine.when(F.col("_c") == i + 1, below(g) + i * width)
+        numbered = df.withColumn("_c", coarse).withColumn("_range", fine.cast("int")).drop("_c")
+    else:
+        numbered = df.withColumn("_range", F.lit(0))
+    counts = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)                  # one row per range
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return (numbered.withColumn("_local", local).join(F.broadcast(offsets), "_range")
+            .withColumn(out, F.col("_off") + F.col("_local")).drop("_range", "_local", "_off"))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

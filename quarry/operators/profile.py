@@ -2,9 +2,10 @@
 duplicates, pattern presence, top words, histograms.
 
 Every profile is one or two aggregations. Aggregations are partial (map-side
-combine) and group by small keys (label, field, term); exact quartiles use
-``percentile``, whose state is a value -> count map bounded by the number of
-distinct values (lengths), not by rows.
+combine) and group by small keys (label, field, term). Exact quartiles of
+integers use ``percentile``, whose state is a value -> count map bounded by the
+number of distinct values (lengths); those of real numbers narrow a histogram
+in a few passes (``quantiles``).
 """
 
 from __future__ import annotations
@@ -31,14 +32,71 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, F.round(F.col("count") * 100.0 / tot, 2).alias("pct"))
 
 
-def describe(df: DataFrame, cols: list[str], group: str | None = None, quartile_digits: int | None = None) -> DataFrame:
+BINS = 1024                      # per pass and order statistic
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """The values of the given 0-based ranks of each column, nulls left out.
+
+    Every rank starts with its column's whole interval. A pass counts the
+    values of all ranks' intervals in ``BINS`` bins, with the least and the
+    largest value of each bin; the bin that holds the rank is the next interval,
+    until its ends are equal. A pass is one aggregate with at most BINS groups
+    per rank, whatever the number of rows or of different values."""
+    if not wanted:
+        return {}
+    ends = df.agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in wanted for n, f in (("low", F.min), ("high", F.max))]).first()
+    open_ = {(c, k): (ends[f"low_{c}"], ends[f"high_{c}"], k) for c, ranks in wanted.items() for k in ranks}
+    found = {}
+    while open_:
+        for key, (low, high, _) in list(open_.items()):
+            if low == high:
+                found[key] = low
+                del open_[key]
+        if not open_:
+            break
+        keys = list(open_)
+        cells = []
+        for i, (c, k) in enumerate(keys):
+            low, high, _ = open_[c, k]
+            x = F.col(c).cast("double")
+            share = (x - F.lit(low)) / F.lit(high - low)              # grows with x, so bins are in order
+            cells.append(F.when(x.between(low, high), F.struct(
+                F.lit(i).alias("i"), F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), x.alias("x"))))
+        rows = (df.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("s"))
+                .groupBy("s.i", "s.bin").agg(F.count(F.lit(1)).alias("n"), F.min("s.x").alias("low"), F.max("s.x").alias("high"))
+                .orderBy("i", "bin").collect())
+        left = {i: open_[key][2] for i, key in enumerate(keys)}
+        for r in rows:
+            if left.get(r.i) is None:
+                continue
+            if left[r.i] < r.n:
+                open_[keys[r.i]] = (r.low, r.high, left[r.i])
+                left[r.i] = None
+            else:
+                left[r.i] -= r.n
+    return found
+
+
+def quantiles(df: DataFrame, cols: list[str], shares=(0.25, 0.5, 0.75)) -> dict[str, list[float | None]]:
+    """Exact quantiles of each column, linear between neighbours."""
+    n = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    at = {c: [(n[c] - 1) * q for q in shares] if n[c] else [] for c in cols}
+    wanted = {c: sorted({k for h in hs for k in (int(h), min(int(h) + 1, n[c] - 1))}) for c, hs in at.items() if hs}
+    value = order_statistics(df, wanted)
+    line = lambda c, h: value[c, int(h)] + (value[c, min(int(h) + 1, n[c] - 1)] - value[c, int(h)]) * (h - int(h))
+    return {c: [line(c, h) for h in at[c]] or [None] * len(shares) for c in cols}
+
+
+def describe(df: DataFrame, cols: list[str], group: str | None = None, exact: dict[str, list[float | None]] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear), max per column.
-    ``quartile_digits`` rounds the values that the quartiles see, which bounds
-    their state for ratios; all other statistics use the values as they are."""
+    Quartiles come from ``percentile``, whose state is a count per different
+    value and so fits lengths and other integers; for real numbers pass those
+    of ``quantiles`` as ``exact``."""
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x if quartile_digits is None else F.round(x, quartile_digits), [0.25, 0.5, 0.75])
+        q = [F.lit(v).cast("double") for v in exact[c]] if exact else F.percentile(x, [0.25, 0.5, 0.75])
         aggs = [
             F.count(x).alias("count"), F.round(F.avg(x), R).alias("mean"),
             F.round(F.stddev_samp(x), R).alias("std"), F.min(x).alias("min"),
@@ -155,11 +213,14 @@ def length_histogram(df: DataFrame, c: str, bins: int, group: str | None = None)
 
 
 def noise_profile(df: DataFrame, text: str) -> DataFrame:
-    """describe of the four ratios. Only the quartiles see ratios rounded to
-    1e-6, which caps their state at 10^6 distinct values whatever the corpus
-    size (lengths are integers and bounded already)."""
+    """describe of the four ratios, quartiles from the ratios as they are
+    (``quantiles`` looks at them several times, so they are kept meanwhile)."""
     ratios = noise_ratios(text)
-    return describe(df.select(*[v.alias(k) for k, v in ratios.items()]), list(ratios), quartile_digits=6)
+    numbers = df.select(*[v.alias(k) for k, v in ratios.items()])
+    kept = numbers.cache()
+    exact = quantiles(kept, list(ratios))
+    kept.unpersist()
+    return describe(numbers, list(ratios), exact=exact)
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

@@ -46,14 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    have = spark.sparkContext.getCheckpointDir()
+    path = path or have
     if not path and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not have:                   # each setting makes a new folder inside the last one
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
