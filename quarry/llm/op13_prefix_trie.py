@@ -158,6 +158,8 @@ def ranked_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn"),
         F.unhex(F.substring(F.sha2(F.concat(F.octet_length(text("role")).cast("string"), F.lit(":"), text("role"), text("text")), 256), 1, 32)).alias("digest"),
         F.regexp_count(text("text"), F.lit(WORDS)).cast("long").alias("words"))
+    # texts are read once: finding the ranges and dealing the rows look at digests only
+    narrow = cut(narrow, "trie-digests")
     parts = cut(narrow.repartitionByRange("conv_id", "turn", "digest").sortWithinPartitions("conv_id", "turn", "digest")
                 .mapInArrow(ranking, RANKED), "trie-turns")
     convs = cut(parts.groupBy("conv_id").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")), "trie-convs")
