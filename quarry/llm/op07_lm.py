@@ -22,8 +22,8 @@ class, (c + 1) / (n + v + 1) over the class's n tokens and v words, so the
 model is a distribution over texts.
 
 Defined cases: null and empty texts are one end token. Tokens are compared as
-64-bit hashes of their lower-cased (A-Z) bytes. Without training text every
-count is 0. A null id is the empty text for the fold and stays null. Repeated
+64-bit polynomial hashes of their lower-cased (A-Z) bytes, so words built to
+collide under them count as one. Without training text every count is 0. A null id is the empty text for the fold and stays null. Repeated
 rows count as often as they stand and are scored each. Long texts come in
 pieces between words. Empty tables give an empty result. Extra columns are
 ignored.
