@@ -4,12 +4,15 @@ Three pattern kinds report by their pattern alone: ``assign`` (a named value),
 ``access`` (access key ids) and ``hex`` (long hex runs). Two more kinds are
 reported only after their candidate has been decoded and its structure holds:
 
-* ``jwt``: three dot-separated base64url parts whose first decodes to a JSON
-  object with an ``alg`` and whose second decodes to a JSON object;
-* ``key``: a PEM block, or a bare base64 or hex run, that decodes to a private
-  key: DER whose nested lengths fill their parents exactly and whose fields
-  are those of an RSA, EC, DSA or wrapped private key, or the length-prefixed
-  strings of an OpenSSH private key.
+* ``jwt``: three dot-separated base64url parts, whatever they begin with, whose
+  first decodes to a JSON object with an ``alg`` and whose second decodes to a
+  JSON object;
+* ``key``: a PEM block (line ends may be escaped, as in JSON), or a bare base64,
+  base64url or hex run, that decodes to a private key: DER whose nested lengths
+  fill their parents exactly and whose fields are those of an RSA, EC, DSA or
+  wrapped private key, or the length-prefixed strings of an OpenSSH private
+  key; or a PEM block with encryption headers whose body is whole cipher blocks
+  of the length of its initial vector.
 
 Every text is scanned whole in its task; nothing is shuffled. Spans are code
 points, end exclusive.
@@ -44,9 +47,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")      # whole runs of 24 and more
 LEAST = {"assign": 6, "access": 20}
 
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----([A-Za-z0-9+/=\s]*)-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+# looks ahead, so that any part of a dotted name may begin a token
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*))")
+PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----((?:[^-]|-(?!----))*)-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+DEK = re.compile(r"\s*Proc-Type:\s*4,ENCRYPTED\s+DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)\s+(.*)", re.DOTALL)
 RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
+URL_RUN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{40,}={0,2}")
+OPENSSH_HEAD = "b3BlbnNzaC1rZXktdjE"
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -158,25 +165,46 @@ def signed_token(head: str, body: str) -> bool:
     return isinstance(h, dict) and isinstance(h.get("alg"), str) and isinstance(b, dict)
 
 
+def pem_body(body: str) -> bool:
+    """Does the inside of a PEM block decode to a private key?"""
+    body = body.replace("\\r", "").replace("\\n", "\n")
+    if m := DEK.fullmatch(body):
+        block, data = len(m[1]) // 2, unbase64("".join(m[2].split()))
+        return block in (8, 16) and bool(data) and len(data) % block == 0
+    return private_key(unbase64("".join(body.split())))
+
+
 def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of what decodes to a signed token or private key."""
     out = []
-    if "eyJ" in text:
-        out += [(m.start(), "jwt", m.end()) for m in JWT.finditer(text) if signed_token(m[1], m[2])]
-    pem = [(m.start(), "key", m.end()) for m in (PEM.finditer(text) if "PRIVATE KEY-----" in text else ())
-           if private_key(unbase64("".join(m[1].split())))]
+    if "." in text:
+        # the first characters of a header are white space or the opening brace
+        out += [(m.start(1), "jwt", m.end(3)) for m in JWT.finditer(text)
+                if (unbase64(m[1][:4], True) or b"x").lstrip()[:1] in (b"{", b"") and signed_token(m[1], m[2])]
+    pem = [(m.start(), "key", m.end()) for m in (PEM.finditer(text) if "PRIVATE KEY-----" in text else ()) if pem_body(m[1])]
     out += pem
+    seen = {a: b for a, _, b in pem}
+    # DER starts with a sequence (0x30 as base64 "M", hex "30"); OpenSSH with its magic
     for m in RUN.finditer(text):
-        if any(a <= m.start() < b for a, _, b in pem):
-            continue
         run = m[0]
-        # DER starts with a sequence (0x30 as base64 "M", hex "30"); OpenSSH with its magic
-        if run[0] == "M" or run.startswith("b3BlbnNzaC1rZXktdjE"):
+        if run[0] == "M" or run.startswith(OPENSSH_HEAD):
             if private_key(unbase64(run)):
-                out.append((m.start(), "key", m.end()))
+                seen.setdefault(m.start(), m.end())
         elif run[:2] == "30" and len(run) % 2 == 0 and re.fullmatch(r"[0-9a-fA-F]+", run):
             if private_key(bytes.fromhex(run)):
-                out.append((m.start(), "key", m.end()))
+                seen.setdefault(m.start(), m.end())
+    for m in URL_RUN.finditer(text):
+        run = m[0]
+        if ("-" in run or "_" in run) and (run[0] == "M" or run.startswith(OPENSSH_HEAD)) and private_key(unbase64(run, True)):
+            seen.setdefault(m.start(), m.end())
+    # bare runs inside a block are the block's
+    last = 0
+    blocks = {a for a, _, _ in pem}
+    for a, b in sorted(seen.items()):
+        if a in blocks:
+            last = b
+        elif a >= last:
+            out.append((a, "key", b))
     return out
 
 

@@ -73,3 +73,51 @@ def test_base_on_fixture_documents(spark):
     got = by_id(op.query(spark, "/root/testdata/sf0.001"))
     for i, t in duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet'").fetchall():
         assert got[i].base_sha256 == hashlib.sha256(brute_base(t or "").encode()).hexdigest()
+
+
+def pem(body, kind="RSA ", eol="\n"):
+    return f"-----BEGIN {kind}PRIVATE KEY-----{eol}{body}{eol}-----END {kind}PRIVATE KEY-----"
+
+
+def kinds_of(text):
+    return [(k, text[a:b]) for a, k, b in op.confirmed_spans(text)]
+
+
+def test_the_parse_decides_not_the_first_letters():
+    for head in (b' {"alg":"HS256"}', b'\n{ "typ":"JWT", "alg":"none"}', b'{\n "alg": "RS256"}', b'\r\n\t{"alg":"x"}', b'    {"alg":"x"}'):
+        token = ".".join([U(head), U(b'{"sub":"x"}'), U(b"sig")])
+        assert kinds_of(f"see {token}, x") == [("jwt", token)]
+        assert kinds_of(f"host.name.{token}") == [("jwt", token)]
+    assert kinds_of(".".join([U(b'{"typ":"JWT"}'), U(b"{}"), "x"])) == []
+    assert kinds_of("www.example.com and a.b.c.d.e.f 1.2.3") == []
+
+
+def test_escaped_and_encrypted_blocks():
+    lines = base64.encodebytes(PKCS8).decode().strip()
+    escaped = pem(lines.replace("\n", "\\n"), "", "\\n")
+    assert kinds_of('{"private_key": "' + escaped + '"}') == [("key", escaped)]
+    windows = pem(lines.replace("\n", "\\r\\n"), "", "\\r\\n")
+    assert kinds_of(windows) == [("key", windows)]
+    for iv, n, good in (("0123456789ABCDEF", 64, True), ("0123456789ABCDEF0123456789ABCDEF", 64, True), ("0123456789ABCDEF", 63, False), ("01", 64, False)):
+        block = pem(f"Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,{iv}\n\n{base64.b64encode(b'z' * n).decode()}")
+        assert kinds_of(block) == ([("key", block)] if good else [])
+    assert kinds_of(pem("hello, not base64")) == [] and kinds_of(pem(base64.b64encode(b"x" * 60).decode())) == []
+
+
+def test_urlsafe_runs_and_runs_inside_blocks():
+    for fill in range(200):
+        key = der(0x30, INT(1) + der(4, bytes([fill, 251, 255]) * 20))
+        run = U(key)
+        assert kinds_of(f"k {run} .") == [("key", run)]
+    one = pem(base64.b64encode(RSA).decode())
+    bare = base64.b64encode(PKCS8).decode()
+    assert kinds_of(f"{one} {bare} {one}") == [("key", one), ("key", one), ("key", bare)]
+
+
+def test_long_texts_stay_linear():
+    import time
+    many = " ".join(f"{pem('AAAA' * 20)} {base64.b64encode(PKCS8).decode()}" for _ in range(2000))
+    for text in (many, "a" * 2_000_000, "a." * 700_000, "-" * 1_000_000, "-----BEGIN PRIVATE KEY-----" * 40_000, "M" * 2_000_000):
+        t = time.time()
+        op.confirmed_spans(text)
+        assert time.time() - t < 60
