@@ -96,3 +96,12 @@ def test_classifier_text(spark):
     out = scalar(spark, tx.clean_for_classifier, "Invoice Number 12\nHello  WORLD-\nwide\n 7 \n")
     assert out.startswith("__inv_number__ __inv_header__")
     assert out.endswith("invoice number 12 hello worldwide")
+
+
+def test_a_value_is_parsed_once(spark):
+    """Rules bind what they use more than once instead of repeating it."""
+    df = spark.createDataFrame([("EUR 1.234,50",)], "s string")
+    plan = lambda f: df.select(f(F.col("s")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan(inv.clean_party).count("regexp_replace(") == 3
+    assert plan(inv.find_date).count("regexp_extract(") == 1
+    assert plan(inv.largest_monetary).count("regexp_replace(") == 5
