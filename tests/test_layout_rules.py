@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import labels
 from quarry.operators import extract_layout as el
+from quarry.sources.invoices import word_boxes
 
 SCHEMA = "doc_id long, page int, idx long, text string, x0 double, x1 double, top double, bottom double"
 
@@ -131,6 +132,35 @@ def test_words_beside_and_below_are_found_in_their_rows(spark):
     assert {(r.doc_id, r.word_idx): r.below_text for r in el.first_row_below(el.pages(w)).collect()} == below
 
 
+def test_words_keep_their_place_in_the_source(spark):
+    """Results name a word by its source's idx without reading the words again."""
+    w = words(spark, [("No:", 0.0, 18.0, 0.0, 10.0), ("7", 24.0, 30.0, 0.0, 10.0), ("Due:", 0.0, 24.0, 12.0, 22.0)])
+    pg = el.pages(w.withColumn("idx", F.col("idx") * 1000 + 5))
+    assert sorted((r.idx, r.right_text) for r in el.right_of_labels(pg).collect()) == [(5, "7"), (2005, "")]
+
+
+def test_word_boxes_begin_behind_the_words_before_them(spark):
+    text = " a  bc d\n\nlast "
+    boxes = word_boxes(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"))
+    want = [(n, m.group(), m.start() * 6.0, m.end() * 6.0) for n, line in enumerate(text.split("\n")) for m in re.finditer("[^ ]+", line)]
+    assert [(int(r.top / 12), r.text, r.x0, r.x1) for r in boxes.orderBy("idx").collect()] == want
+    # an offset is one expression, not a fold over the words before it
+    assert "lambdafunction" not in boxes._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labels_with_other_blanks_and_letters_are_found(spark):
+    """The short way for plain ASCII and the full one agree."""
+    found = {}
+    for k, (a, b) in enumerate([("Total", "Due:"), ("Total", "DUE :"), ("\u00a0Total", "due:"), ("Total\t", "Due"), ("B\u0131ll", "to::")]):
+        w = words(spark, [(a, 0.0, 30.0, 0.0, 10.0), (b, 36.0, 60.0, 0.0, 10.0)])
+        found[k] = {(r.label_set, r.start, r.end) for r in el.label_spans(el.pages(w)).collect()}
+        p = [(re.sub(r"\s+", " ", x.lower().translate(str.maketrans("ıſ", "is"))), y) for x, y in ((a, 0), (b, 1))]
+        spans = {(i, j): re.sub(":+$", "", " ".join(t for t, _ in p[i:j]).strip()).strip() for i, j in ((0, 1), (1, 2), (0, 2))}
+        want = {(q.label_set, i, j) for (i, j), s in spans.items() for q in labels.PATTERNS if re.fullmatch(q.pattern, s)}
+        # per start word and pattern the shortest one only
+        assert found[k] <= want and {(n, i) for n, i, _ in found[k]} == {(n, i) for n, i, _ in want}
+
+
 def test_spellings_are_the_patterns_languages():
     for s, numbers in labels.LABELS.items():
         assert numbers == [k for k, p in enumerate(labels.PATTERNS) if re.fullmatch(p.pattern, s)]
