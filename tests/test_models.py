@@ -102,6 +102,15 @@ def test_many_tasks_are_summed_in_groups(spark, monkeypatch):
     assert all(np.abs(few[p] - many[p]).max() < 1e-2 for p in problems)
 
 
+def test_large_gradients_reach_the_driver_once_per_model(spark, monkeypatch):
+    parts = spark.range(0, 12, 1, 6).selectExpr("id % 2 AS pid", "0L AS unit", "int(id / 2) AS part", "1.0D AS loss").withColumn(
+        "g", F.lit(np.ones(4).tobytes())).withColumn("part", F.col("part").cast("long"))
+    assert len(linear.summed(parts, 6, 64)) == 12
+    monkeypatch.setattr(linear, "DIRECT_BYTES", 100)
+    found = linear.summed(parts, 6, 64)
+    assert sorted((r.pid, r.loss, np.frombuffer(r.g).tolist()) for r in found) == [(p, 6.0, [6.0] * 4) for p in (0, 1)]
+
+
 def test_fold_features_equal_the_pipeline(spark):
     """Terms, idf and rows of every fold as the fitted stages give them, cut to each vocabulary size."""
     r = np.random.default_rng(3)
