@@ -8,6 +8,13 @@ expressions, so listing and reading are distributed like any file scan.
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -72,10 +79,56 @@ def read_table_with_fallback(spark: SparkSession, primary: str, secondary: str,
     raise FileNotFoundError(f"neither {primary} nor {secondary} exists")
 
 
+def mounted_folder(path: str) -> str | None:
+    """The folder that all machines mount, or None for any other store."""
+    if path.startswith("file:"):
+        return unquote(re.sub(r"^file:/*", "/", path))
+    return path if path.startswith("/") else None
+
+
 def write_text_tree(df: DataFrame, path: str, label: str = "label", text: str = "text") -> None:
-    """One text file per row under label=<label> folders (test and fixture helper)."""
-    (df.select(label, text).write.mode("overwrite").option("maxRecordsPerFile", 1)
-     .partitionBy(label).text(path))
+    """One text file per row under label=<label> folders (test and fixture helper).
+
+    Where ``path`` is on a mounted folder, tasks write their files themselves:
+    Spark's local writer starts a process per file to set its mode. The names
+    follow task and row, so a task that runs again replaces its own files; each
+    is written aside (a dot file, which no reader lists) and moved. Other stores
+    get the files from Spark's text writer."""
+    spark = df.sparkSession
+    store = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = mounted_folder(path) if store.getUri().getScheme() == "file" else None
+    if folder is None or path_exists(spark, path):
+        (df.select(label, text).write.mode("overwrite").option("maxRecordsPerFile", 1)
+         .partitionBy(label).text(path))
+        return
+    run = uuid.uuid4().hex
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        task, n = TaskContext.get(), 0
+        for b in batches:
+            for lab, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = os.path.join(folder, f"{label}={partition_name(lab)}")
+                if n == 0 or not os.path.isdir(own):
+                    os.makedirs(own, exist_ok=True)
+                name = f"part-{task.partitionId():05d}-{run}-c{n:06d}.txt"
+                aside = os.path.join(own, f".{name}.{task.taskAttemptId()}")
+                with open(aside, "wb") as f:
+                    f.write((data or b"") + b"\n")
+                os.replace(aside, os.path.join(own, name))
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    os.makedirs(folder, exist_ok=True)
+    rows = df.select(F.col(label).cast("string"), F.col(text).cast("binary"))
+    rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def partition_name(value: str | None) -> str:
+    """The value as Spark spells it in a folder name."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\x7f\"#%'*/:=?\\{[]^" else c for c in value)
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "csv") -> None:
