@@ -1,9 +1,9 @@
 """Tokens, n-grams, vocabulary, TF-IDF, exact stratified split, class weights.
 
-Relational TF-IDF: documents are exploded to ``(doc_id, term)`` once, term
-statistics are one partial aggregate by term, the vocabulary (at most
-``max_features`` rows, a proven bound) is broadcast back, and the L2 norm is
-a per-document aggregate. The same vocabulary/IDF feeds Spark ML vectors.
+Relational TF-IDF: a document's terms stay in its row; term statistics are one
+partial aggregate by term, the vocabulary (at most ``max_features`` rows, a
+proven bound) is broadcast back, and counts, weights and the L2 norm are taken
+inside the row. The same vocabulary/IDF feeds Spark ML vectors.
 
 The split is exact per class and has no per-class window: rows are ranked by
 a global range-partitioned sort on (label, hash) with per-partition offsets,
@@ -12,12 +12,20 @@ and per-class start/size come from a tiny grouped table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed
 from .profile import english_stop_words, tokens
 
+DOCS_AT_ONCE = 1000              # whose terms a task looks up together
+
 
 def unigrams(text) -> Column:
     stop = list(english_stop_words())
@@ -38,19 +46,31 @@ def with_bigrams(u: Column) -> Column:
     return F.concat(u, bi)
 
 
-def term_counts(df: DataFrame, text: str = "text", key: str = "doc_id", ngram_max: int = 2,
-                carry=()) -> DataFrame:
-    """(doc_id, carry..., term, tf); ``carry`` columns are per-document
-    attributes (e.g. the split) kept alongside the counts."""
-    t = df.select(key, *carry, F.explode(tokens_ngrams(F.col(text), ngram_max)).alias("term"))
-    return t.groupBy(key, *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
+def doc_unigrams(df: DataFrame, text: str = "text", key: str = "doc_id", by: str | None = None, values=(None,)) -> DataFrame:
+    """(key, u0, u1, ...): one row per document, with the non-stop tokens of each
+    of its texts; rows that share a key are one document. One column per value of
+    ``by``, or a single one."""
+    u = df.select(key, *([by] if by else []), unigrams(F.col(text)).alias("u"))
+    own = [F.when(F.col(by) == v, F.col("u")) if by else F.col("u") for v in values]
+    return u.groupBy(key).agg(*[F.collect_list(c).alias(f"u{i}") for i, c in enumerate(own)])
+
+
+def doc_terms(docs: DataFrame, columns=("u0",), key: str = "doc_id", ngram_max: int = 2) -> DataFrame:
+    """(key, parts): the terms of each of the columns of ``doc_unigrams``, still
+    in the document's row. Nothing is grouped by document and term."""
+    ngrams = (lambda x: x) if ngram_max < 2 else with_bigrams
+    return docs.select(key, F.array(*[F.flatten(F.transform(c, ngrams)) for c in columns]).alias("parts"))
 
 
-def vocabulary(tc: DataFrame, min_df: int = fixed.MIN_DF, max_features: int = fixed.MAX_FEATURES,
-               key: str = "doc_id") -> DataFrame:
+def vocabulary(docs: DataFrame, min_df: int = fixed.MIN_DF, max_features: int = fixed.MAX_FEATURES) -> DataFrame:
     """Terms in at least min_df documents, top max_features by corpus count
-    (ties by term), with df and a 0-based index in that order."""
-    stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    (ties by term), with df and a 0-based index in that order. ``docs``: rows of
+    ``doc_terms``. A document's terms are sorted inside its row, where the first
+    of equal ones counts for df; what is aggregated has one row per term."""
+    s = docs.select(F.sort_array(F.flatten("parts")).alias("s"))
+    first = s.select(F.explode(F.transform("s", lambda t, i: F.struct(
+        t.alias("term"), ((i == 0) | (t != F.try_element_at(F.col("s"), i))).cast("long").alias("first")))).alias("x"))
+    stats = first.groupBy("x.term").agg(F.sum("x.first").alias("df"), F.count(F.lit(1)).alias("cf"))
     top = stats.where(F.col("df") >= min_df).orderBy(F.desc("cf"), "term").limit(max_features)
     # at most max_features rows: one ordered window is bounded by that
     w = Window.orderBy(F.desc("cf"), "term")
@@ -64,12 +84,34 @@ def idf_table(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     return vocab.select("term", "index", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf(tc: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, term, index, weight): tf * idf, L2-normalised per document."""
-    j = tc.join(F.broadcast(idf.select("term", "index", "idf")), "term", "inner")  # <= max_features rows
-    w = j.select(key, "term", "index", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return w.select(key, "term", "index", (F.col("w") / norm).alias("weight"))
+def tfidf(docs: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, term, index, weight): tf * idf per part of a document, L2-normalised
+    per document. The vocabulary (at most max_features rows) is known to every
+    task, which looks up the terms of many documents at once."""
+    rows = idf.select("term", "index", "idf").collect()
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (pa.array([r.term for r in rows], pa.string()), np.array([r["index"] for r in rows], np.int64), np.array([r.idf for r in rows], np.float64)))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, index, weight = shared.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, DOCS_AT_ONCE):
+                b = batch.slice(lo, DOCS_AT_ONCE)
+                parts = b.column("parts").flatten()
+                per_doc = b.column("parts").value_lengths().to_numpy()
+                at = pc.index_in(parts.flatten(), value_set=terms)
+                part = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy())
+                known = at.is_valid().to_numpy(zero_copy_only=False)
+                cell, tf = np.unique(part[known] * max(1, len(terms)) + at.drop_null().to_numpy(), return_counts=True)
+                place = cell % max(1, len(terms))
+                row = np.repeat(np.arange(b.num_rows), per_doc)[cell // max(1, len(terms))]
+                w = tf * weight[place]
+                norm = np.sqrt(np.bincount(row, w * w, b.num_rows))
+                yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(row)), terms.take(pa.array(place)), pa.array(index[place]),
+                                                  pa.array(w / norm[row])], names=[key, "term", "index", "weight"])
+
+    out = StructType([docs.schema[key], *StructType.fromDDL("term string, index long, weight double").fields])
+    return docs.mapInArrow(task, out)
 
 
 def hash_key(key: str, seed: int = fixed.SEED) -> Column:

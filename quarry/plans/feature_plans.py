@@ -3,6 +3,8 @@ class weights, label index, metrics of a fixed rule predictor)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..functions import text as tx
 from ..operators import features as fe
 from ..operators import metrics as mt
 from ..operators.profile import english_stop_words
+from ..session import scratch_path
 from ..sources.invoices import invoices, invoices_sql_cte
 from ..sources.tables import table
 from .profile_plans import CLEAN_SQL
@@ -88,32 +91,29 @@ def q_stratified_folds(spark, sf_dir):
     return fe.fold_ids(cleaned(spark, sf_dir), "label", "doc_id").select("doc_id", "label", "fold")
 
 
-def _train_tc(spark, sf_dir):
-    """Term counts with the split carried along: the train subset is a
-    filter on the same counts, not a second pass over the documents."""
-    # texts are cleaned, split and dealt by document once; both uses of the
-    # counts read that exchange, and neither terms nor norms are shuffled again
-    sp = split_docs(spark, sf_dir).select("doc_id", "split", "text").repartition("doc_id")
-    tc_all = fe.term_counts(sp, "text", carry=("split",))
-    train = sp.where(F.col("split") == "train").select("doc_id")
-    return sp, tc_all, train
+SPLITS = ("train", "val", "test")
 
 
 @register("vocabulary", f"WITH {RANKED_SQL}, {TERMS_SQL}, {VOCAB_SQL} "
           "SELECT term, df, cf, CAST(\"index\" AS BIGINT) AS \"index\" FROM vocab")
 def q_vocabulary(spark, sf_dir):
-    sp, tc, train = _train_tc(spark, sf_dir)
-    return fe.vocabulary(tc.where(F.col("split") == "train"))
+    train = split_docs(spark, sf_dir).where(F.col("split") == "train")
+    return fe.vocabulary(fe.doc_terms(fe.doc_unigrams(train)))
 
 
 @register("tfidf", f"""WITH {RANKED_SQL}, {TERMS_SQL}, {VOCAB_SQL},
 w AS (SELECT doc_id, term, tf * idf AS w FROM tc JOIN idf USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def q_tfidf(spark, sf_dir):
-    sp, tc, train = _train_tc(spark, sf_dir)
-    vocab = fe.vocabulary(tc.where(F.col("split") == "train"))
-    idf = fe.idf_table(vocab, train)
-    return fe.tfidf(tc.drop("split"), idf).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    sp = split_docs(spark, sf_dir)
+    # texts are cleaned and split once: the vocabulary and the weights both read
+    # these tokens. A document may have rows in several splits: each counts its own terms
+    path = scratch_path(spark, f"tokens-{uuid.uuid4().hex}")
+    fe.doc_unigrams(sp, by="split", values=SPLITS).write.parquet(path)
+    docs = spark.read.parquet(path)
+    idf = fe.idf_table(fe.vocabulary(fe.doc_terms(docs)), sp.where(F.col("split") == SPLITS[0]))
+    every = fe.doc_terms(docs, [f"u{i}" for i in range(len(SPLITS))])
+    return fe.tfidf(every, idf).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @register("append_synthetic_train", f"""WITH {RANKED_SQL}, {invoices_sql_cte('inv')}

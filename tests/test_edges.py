@@ -1,8 +1,11 @@
 """Edge rows of readers, sinks and metrics."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import SF001
 from quarry.operators import dedup, metrics, profile
 from quarry.sources import files
 
@@ -64,3 +67,29 @@ def test_text_tree_on_a_mounted_folder_is_sparks_own(spark, tmp_path):
     assert used == 0 and tree(tmp_path / "own") == tree(tmp_path / "spark") and len(tree(tmp_path / "own")) == len(rows)
     back = files.read_text_tree(spark, str(tmp_path / "own"))
     assert back.count() == len(rows)
+
+
+def test_terms_are_not_grouped_by_document(spark):
+    """What is grouped has one row per document or per term, never one per both."""
+    from quarry.plans import feature_plans as fp
+    plan = fp.q_vocabulary(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Aggregate \[([^\]]*)\]", plan)
+    assert any("term" in k for k in keys) and not any("doc_id" in k and "term" in k for k in keys)
+
+
+def test_term_weights_of_repeated_keys(spark):
+    """Rows of one key are one document, also without a key; each split has its own counts, the norm is common."""
+    from quarry.operators import features as fe
+    rows = [(1, "a", "alpha beta alpha"), (1, "a", "beta gamma"), (1, "b", "alpha"), (2, "a", "alpha zeta"), (None, "a", "alpha"), (None, "a", "gamma"),
+            (3, "b", None), (4, "b", "unseen"), (5, "a", "")]
+    docs = fe.doc_unigrams(spark.createDataFrame(rows, "doc_id long, split string, text string"), by="split", values=("a", "b"))
+    assert docs.count() == 6
+    vocab = fe.vocabulary(fe.doc_terms(docs), min_df=2)
+    got = [(r.term, r.df, r.cf, r["index"]) for r in vocab.collect()]
+    assert got == [("alpha", 3, 4, 0), ("gamma", 2, 2, 1)]
+    idf = vocab.withColumn("idf", F.col("index") + 1.0)
+    found = sorted(((r.doc_id or 0, r.term, round(r.weight, 6)) for r in fe.tfidf(fe.doc_terms(docs, ["u0", "u1"]), idf).collect()))
+    one, none = (4 + 4 + 1) ** 0.5, 5 ** 0.5
+    assert found == sorted([(1, "alpha", round(2 / one, 6)), (1, "gamma", round(2 / one, 6)), (1, "alpha", round(1 / one, 6)), (2, "alpha", 1.0),
+                            (0, "alpha", round(1 / none, 6)), (0, "gamma", round(2 / none, 6))])
+    assert fe.tfidf(fe.doc_terms(docs), idf.limit(0)).count() == 0
