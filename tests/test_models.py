@@ -156,3 +156,32 @@ def test_top_coefficients_are_the_extremes(fit):
     for c, label in enumerate(fit.labels):
         top = [r.weight for r in sorted((r for r in rows if r.label == label and r.side == "top"), key=lambda r: r.rank)]
         assert top == [round(float(x), 6) for x in sorted(m[c], reverse=True)[:5]]
+
+
+def test_a_step_has_a_task_per_core(spark):
+    """What a step sends does not grow with the number of stored partitions."""
+    rows = spark.range(0, 1000, 1, 100)
+    assert linear.per_core(rows).rdd.getNumPartitions() == min(100, spark.sparkContext.defaultParallelism)
+    assert linear.per_core(rows.coalesce(1)).rdd.getNumPartitions() == 1
+
+
+def test_curve_has_every_subset(spark, monkeypatch):
+    """All fits of the curve go in one set of passes, over the subsets that are asked for."""
+    calls, fit_all = [], linear.fit
+    monkeypatch.setattr(linear, "fit", lambda blocks, problems: calls.append(problems) or fit_all(blocks, problems))
+    got = {r["size"]: r for r in mp.learning_curve(spark, SF001, sizes=(0.4, 1.0), k=2, vocab_size=500).collect()}
+    assert len(calls) == 1 and len(calls[0]) == 4
+    d = mp.fe.stratified_ranks(mp.cleaned(spark, SF001), "label", "doc_id").withColumn("fold", F.col("rank") % 2).cache()
+    for s in (0.4, 1.0):
+        n, scores = [], []
+        for f in (0, 1):
+            marked = d.where((F.col("fold") == f) | (F.col("rank") < F.col("class_n") * s)).withColumn("split", F.when(F.col("fold") == f, "val").otherwise("train"))
+            one = mp.Fit(marked, 500)
+            m = one.model("logistic_regression")
+            n.append(one.n)
+            scores.append([metrics.summary(train.evaluate(m, x, one.labels)).first()["macro_f1"] for x in (one.rows, one.part("val"))])
+            one.done()
+        assert got[s].n_train == sum(n) / 2
+        # ties at the end of a vocabulary may fall otherwise
+        assert abs(got[s].train_macro_f1 - sum(x for x, _ in scores) / 2) < 0.03 and abs(got[s].val_macro_f1 - sum(x for _, x in scores) / 2) < 0.05
+    d.unpersist()
