@@ -221,3 +221,15 @@ def test_pages_are_scanned_together_as_each_alone(spark):
     plan = el.extract_from_words(w)._jdf.queryExecution().optimizedPlan().toString()
     # the visual rows, a fold over a page's words, are not built for it
     assert "MapInArrow" in plan and "array_append" not in plan
+
+
+def test_words_dealt_by_document_are_not_dealt_again(spark):
+    """The words are most of what a layout query holds: they are moved only if they must be."""
+    words = spark.range(0, 400).selectExpr(
+        "id % 20 AS doc_id", "cast(id % 3 AS int) AS page", "id AS idx", "concat('w', id) AS text", "double(id) AS x0", "double(id + 5) AS x1",
+        "0D AS top", "10D AS bottom")
+    moves = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    dealt = words.repartition(7, "doc_id").select((F.col("doc_id") + 0).alias("other"), "*")
+    assert moves(el.pages(words)) == 1 and moves(el.pages(dealt)) == 1
+    listed = lambda df: sorted((r.doc_id, r.page, [w.idx for w in r.W]) for r in el.pages(df).collect())
+    assert listed(words) == listed(dealt) and len(listed(words)) == 60
