@@ -185,3 +185,34 @@ def test_curve_has_every_subset(spark, monkeypatch):
         # ties at the end of a vocabulary may fall otherwise
         assert abs(got[s].train_macro_f1 - sum(x for x, _ in scores) / 2) < 0.03 and abs(got[s].val_macro_f1 - sum(x for _, x in scores) / 2) < 0.05
     d.unpersist()
+
+
+def test_what_a_curve_stores_does_not_grow_with_its_fits(spark):
+    """A row is stored once, however many training sets it is part of."""
+    docs = [(i % 3, float(i % 2), [f"t{j}" for j in range(i % 7, i % 7 + 9)]) for i in range(120)]
+    rows = spark.createDataFrame(docs, ["cell", "y", "terms"]).coalesce(2)
+    size = {}
+    for sets in (1, 20):
+        trained = [[0, 1]] * sets
+        cells = linear.Cells(rows, linear.cell_terms(rows, trained, 10, 1), trained, [[2]] * sets, [5, 10])
+        size[sets] = [sum(len(r[c]) for r in cells.blocks.collect()) for c in ("idx", "val", "y")]
+        read = cells.where(held=False).reader()
+        assert {x[0] for b in cells.blocks.toArrow().to_batches() for x in read(b, range(2 * sets))} == set(range(2 * sets))
+    assert size[1] == size[20]
+
+
+def test_features_are_fitted_in_one_pass(spark):
+    """Counts of terms and of their rows, as written out; the texts are read once for both."""
+    docs = [(i, "alpha beta alpha" if i % 2 else None if i == 4 else "beta gamma") for i in range(9)]
+    rows = train.term_rows(spark.createDataFrame(docs, "doc_id int, text string").repartition(3), 1)
+    assert sorted(map(tuple, train.term_counts(rows).collect())) == [("alpha", 8, 4), ("beta", 8, 8), ("gamma", 4, 4)]
+    feats = train.fit_features(rows.drop("terms").where("text is not null"), min_df=4, vocab_size=2, ngram_max=1)
+    assert [s for s in feats.stages if hasattr(s, "vocabulary")][0].vocabulary == ["alpha", "beta"]
+    assert [s for s in feats.stages if hasattr(s, "getScalingVec")][0].getScalingVec().toArray().tolist() == pytest.approx([np.log(9 / 5) + 1, 1.0])
+
+
+def test_each_signal_is_looked_for_once(spark):
+    from quarry.functions import fixed
+    from quarry.functions import text as tx
+    out = spark.createDataFrame([("x",)], "raw string").select(tx.clean_for_classifier("raw").alias("text"))
+    assert out._jdf.queryExecution().analyzed().toString().count("RLIKE") == len(fixed.INVOICE_SIGNALS)
