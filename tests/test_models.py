@@ -216,3 +216,18 @@ def test_each_signal_is_looked_for_once(spark):
     from quarry.functions import text as tx
     out = spark.createDataFrame([("x",)], "raw string").select(tx.clean_for_classifier("raw").alias("text"))
     assert out._jdf.queryExecution().analyzed().toString().count("RLIKE") == len(fixed.INVOICE_SIGNALS)
+
+
+def test_finished_steps_leave_no_shuffle_files(spark, monkeypatch):
+    """Gradients that are summed on the way are dropped every so many bytes, not kept until the fit ends."""
+    x, y, rows = toy(spark)
+    counts, calls = linear.class_counts(rows, 3, "pid"), []
+    problems = {0: linear.Problem(counts[0,], x.shape[1], (0.3,), linear.SOFTMAX)}
+    want = linear.fit(linear.packed(rows.repartition(3)), problems)
+    monkeypatch.setattr(linear, "drop_shuffles", calls.append)
+    linear.fit(linear.packed(rows.repartition(3)), problems)
+    assert not calls
+    monkeypatch.setattr(linear, "DIRECT_BYTES", 1)
+    monkeypatch.setattr(linear, "LEFT_BYTES", 1000)
+    found = linear.fit(linear.packed(rows.repartition(3)), problems)
+    assert len(calls) > 1 and np.abs(found[0] - want[0]).max() < 1e-2
